@@ -129,16 +129,27 @@ def _words(c: Column) -> Column:
     return F.filter(F.split(strip_ws(c), f"{WS}+"), lambda w: w != F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it (possibly many times) in ``body``.
+
+    Column expressions are trees: a sub-expression used twice is computed
+    twice, and inside a lambda once per element.  Binding it to a lambda
+    variable of a one-element ``transform`` evaluates it exactly once.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def split_by_words(c: Column | str, max_tokens: int) -> Column:
     """Groups of ``max_tokens`` whitespace-separated words joined by a space.
     Groups are counted in words, not tokens, so a group can exceed the token
     budget.  Empty text gives an empty array."""
-    words = _words(_col(c))
-    n = F.size(words)
-    groups = F.sequence(F.lit(0), F.floor((n - 1) / max_tokens).cast("int"))
-    return F.when(n == 0, F.array().cast("array<string>")).otherwise(
-        F.transform(groups, lambda g: F.array_join(F.slice(words, g * max_tokens + 1, F.lit(max_tokens)), " "))
-    )
+    def groups(words: Column) -> Column:
+        n = F.size(words)
+        idx = F.sequence(F.lit(0), F.floor((n - 1) / max_tokens).cast("int"))
+        return F.when(n == 0, F.array().cast("array<string>")).otherwise(
+            F.transform(idx, lambda g: F.array_join(F.slice(words, g * max_tokens + 1, F.lit(max_tokens)), " ")))
+
+    return let(_words(_col(c)), groups)
 
 
 _SEG_TYPE = "array<struct<s:int,e:int,w:boolean>>"
@@ -187,53 +198,44 @@ def _with_counts(arr: Column, counter: Counter) -> Column:
     return F.transform(arr, lambda p: F.struct(p.alias("t"), counter(p).alias("n")))
 
 
-def _pieces(t: Column, n: Column, parts: Column, pc: Column, segs: Column, max_tokens: int,
-            counter: Counter) -> Column:
-    """C6 result for one unit as ``array<struct<t,n>>`` from its staged parts."""
-    words = _with_counts(split_by_words(t, max_tokens), counter)
-    packed = F.flatten(F.transform(
+def _pieces(parts: Column, pc: Column, segs: Column, max_tokens: int, counter: Counter) -> Column:
+    """Strings of the comma segments, with their token counts."""
+    return F.flatten(F.transform(
         segs,
         lambda sg: F.when(sg["w"], _with_counts(split_by_words(F.element_at(parts, sg["s"]), max_tokens), counter))
         .otherwise(F.array(F.struct(
             F.array_join(F.slice(parts, sg["s"], sg["e"] - sg["s"]), ", ").alias("t"),
             (F.aggregate(F.slice(pc, sg["s"], sg["e"] - sg["s"]), F.lit(0), lambda a, x: a + x)
              + sg["e"] - sg["s"] - 1).alias("n"))))))
-    return (F.when(n <= max_tokens, F.array(F.struct(t.alias("t"), n.alias("n"))))
-            .when(F.size(parts) <= 1, words)
-            .otherwise(packed))
 
 
-def expand_units_df(df: DataFrame, units_col: str, out_col: str, max_tokens: int = DEFAULT_MAX_TOKENS,
-                    counter: Counter = count_tokens) -> DataFrame:
-    """C6 on every unit of ``units_col`` -> ``out_col array<struct<t:string,n:int>>``.
+def _unit_pieces(u: Column, n: Column, max_tokens: int, counter: Counter) -> Column:
+    """C6 for one unit with known count ``n`` -> ``array<struct<t,n>>``."""
+    def over_budget(parts: Column) -> Column:
+        return F.when(F.size(parts) <= 1, _with_counts(split_by_words(u, max_tokens), counter)).otherwise(
+            let(F.transform(parts, lambda p: counter(p)),
+                lambda pc: let(_comma_segments(parts, pc, max_tokens),
+                               lambda segs: _pieces(parts, pc, segs, max_tokens, counter))))
 
-    Staged in separate projections so every intermediate is computed once.
-    Units within budget are counted once and never split.
-    """
-    tmp = f"__{out_col}_stage"
-    df = df.withColumn(tmp, F.transform(F.col(units_col), lambda u: F.struct(u.alias("t"), counter(u).alias("n"))))
-    df = df.withColumn(tmp, F.transform(F.col(tmp), lambda x: F.struct(
-        x["t"].alias("t"), x["n"].alias("n"),
-        F.when(x["n"] > max_tokens, comma_parts(x["t"])).otherwise(F.array().cast("array<string>")).alias("parts"))))
-    df = df.withColumn(tmp, F.transform(F.col(tmp), lambda x: F.struct(
-        x["t"].alias("t"), x["n"].alias("n"), x["parts"].alias("parts"),
-        F.transform(x["parts"], lambda p: counter(p)).alias("pc"))))
-    df = df.withColumn(tmp, F.transform(F.col(tmp), lambda x: F.struct(
-        x["t"].alias("t"), x["n"].alias("n"), x["parts"].alias("parts"), x["pc"].alias("pc"),
-        F.when(x["n"] > max_tokens, _comma_segments(x["parts"], x["pc"], max_tokens))
-        .otherwise(F.array().cast(_SEG_TYPE)).alias("segs"))))
-    df = df.withColumn(out_col, F.flatten(F.transform(
-        F.col(tmp), lambda x: _pieces(x["t"], x["n"], x["parts"], x["pc"], x["segs"], max_tokens, counter))))
-    return df.drop(tmp)
-
-
-def split_long_unit_df(df: DataFrame, unit_col: str, out_col: str, max_tokens: int = DEFAULT_MAX_TOKENS,
-                       counter: Counter = count_tokens) -> DataFrame:
-    """C6 on a single unit column -> ``out_col array<string>``."""
-    tmp = f"__{out_col}_u"
-    df = df.withColumn(tmp, F.array(F.col(unit_col)))
-    df = expand_units_df(df, tmp, tmp, max_tokens, counter)
-    return df.withColumn(out_col, F.transform(F.col(tmp), lambda x: x["t"])).drop(tmp)
+    return F.when(n <= max_tokens, F.array(F.struct(u.alias("t"), n.alias("n")))).otherwise(
+        let(comma_parts(u), over_budget))
+
+
+def split_long_unit(c: Column | str, max_tokens: int = DEFAULT_MAX_TOKENS,
+                    counter: Counter = count_tokens) -> Column:
+    """A unit within budget stays whole; otherwise split at commas and
+    greedily re-pack with ", "; a single part (or none) and any part over
+    budget fall back to word groups."""
+    pieces = let(_col(c), lambda u: let(counter(u), lambda n: _unit_pieces(u, n, max_tokens, counter)))
+    return F.transform(pieces, lambda x: x["t"])
+
+
+def expand_units(units: Column | str, max_tokens: int = DEFAULT_MAX_TOKENS,
+                 counter: Counter = count_tokens) -> Column:
+    """C6 on every unit -> ``array<struct<t:string, n:int>>``; units within
+    budget are counted once and never split."""
+    return F.flatten(F.transform(
+        _col(units), lambda u: let(counter(u), lambda n: _unit_pieces(u, n, max_tokens, counter))))
 
 
 def _chunk_starts(counts: Column, max_tokens: int, max_chunks: int | None) -> Column:
@@ -261,39 +263,51 @@ def _chunk_starts(counts: Column, max_tokens: int, max_chunks: int | None) -> Co
     return F.when(m == 0, empty).otherwise(F.aggregate(idx, init, step))
 
 
-def with_chunks(df: DataFrame, text_col: str, out_col: str = "chunks", max_tokens: int = DEFAULT_MAX_TOKENS,
-                max_chunks: int = DEFAULT_MAX_CHUNKS, counter: Counter = count_tokens,
-                titles: list[str] | None = None, units_col: str | None = None,
-                keep_units: bool = False) -> DataFrame:
-    """Add sentence-aligned chunks of ``text_col`` (already cleaned).
+def chunk_table(c: Column | str, max_tokens: int = DEFAULT_MAX_TOKENS, max_chunks: int = DEFAULT_MAX_CHUNKS,
+                counter: Counter = count_tokens, titles: list[str] | None = None,
+                units: Column | None = None) -> Column:
+    """Chunks of a cleaned text with packing facts, as one struct:
 
-    Adds ``out_col array<struct<chunk:string, n_tokens:int>>`` (first
-    ``max_chunks``), ``<out_col>_total int`` (chunks before the cut) and
-    ``<out_col>_units int``.  With ``units_col`` the units are taken as given.
+    ``chunks array<struct<chunk:string, n_tokens:int>>`` (first ``max_chunks``),
+    ``total_chunks`` (before the cut, Q10), ``units`` (number of units).
+    Every intermediate is let-bound, so it is evaluated once per row.
     """
-    u = units_col or f"__{out_col}_units"
-    if units_col is None:
-        df = df.withColumn(u, split_units(F.col(text_col), titles))
-    e = f"__{out_col}_exp"
-    df = expand_units_df(df, u, e, max_tokens, counter)
-    df = df.withColumn(e, F.struct(F.transform(F.col(e), lambda x: x["t"]).alias("t"),
-                                   F.transform(F.col(e), lambda x: x["n"]).alias("n")))
-    s = f"__{out_col}_st"
-    df = df.withColumn(s, _chunk_starts(F.col(e)["n"], max_tokens, max_chunks))
-    texts, counts, st = F.col(e)["t"], F.col(e)["n"], F.col(s)["st"]
-    m = F.size(texts)
-
-    def one(start, j):
-        end = F.coalesce(F.get(st, j + 1), m + 1)
-        return F.struct(
-            F.array_join(F.slice(texts, start, end - start), " ").alias("chunk"),
-            F.aggregate(F.slice(counts, start, end - start), F.lit(0), lambda a, x: a + x).alias("n_tokens"))
-
-    df = df.withColumn(out_col, F.transform(F.slice(st, 1, max_chunks), one)) \
-        .withColumn(f"{out_col}_total", F.col(s)["k"]) \
-        .withColumn(f"{out_col}_units", F.size(F.col(u)))
-    drop = [e, s] + ([] if (keep_units or units_col) else [u])
-    return df.drop(*drop)
+    def with_exp(exp: Column, n_units: Column) -> Column:
+        texts, counts = F.transform(exp, lambda x: x["t"]), F.transform(exp, lambda x: x["n"])
+
+        def with_st(st: Column) -> Column:
+            m = F.size(exp)
+
+            def one(start, j):
+                end = F.coalesce(F.get(st["st"], j + 1), m + 1)
+                sl = F.slice(exp, start, end - start)
+                return F.struct(
+                    F.array_join(F.transform(sl, lambda x: x["t"]), " ").alias("chunk"),
+                    F.aggregate(sl, F.lit(0), lambda a, x: a + x["n"]).alias("n_tokens"))
+
+            return F.struct(F.transform(F.slice(st["st"], 1, max_chunks), one).alias("chunks"),
+                            st["k"].alias("total_chunks"), n_units.alias("units"))
+
+        del texts
+        return let(_chunk_starts(counts, max_tokens, max_chunks), with_st)
+
+    u = units if units is not None else split_units(c, titles)
+    return let(u, lambda us: let(expand_units(us, max_tokens, counter), lambda exp: with_exp(exp, F.size(us))))
+
+
+def build_chunks(c: Column | str, max_tokens: int = DEFAULT_MAX_TOKENS, max_chunks: int = DEFAULT_MAX_CHUNKS,
+                 counter: Counter = count_tokens, titles: list[str] | None = None) -> Column:
+    """Sentence-aligned chunks (strings) under a token budget, first
+    ``max_chunks`` kept."""
+    return F.transform(chunk_table(c, max_tokens, max_chunks, counter, titles)["chunks"], lambda x: x["chunk"])
+
+
+def with_chunks(df: DataFrame, text_col: str, out_col: str = "chunks", max_tokens: int = DEFAULT_MAX_TOKENS,
+                max_chunks: int = DEFAULT_MAX_CHUNKS, counter: Counter = count_tokens,
+                titles: list[str] | None = None) -> DataFrame:
+    """Add ``out_col array<struct<chunk:string, n_tokens:int>>`` for the
+    (cleaned) ``text_col``."""
+    return df.withColumn(out_col, chunk_table(F.col(text_col), max_tokens, max_chunks, counter, titles)["chunks"])
 
 
 def chunk_texts(c: Column | str) -> Column:
@@ -304,12 +318,14 @@ def chunk_texts(c: Column | str) -> Column:
 def pad_chunks(chunks: Column | str, max_chunks: int = DEFAULT_MAX_CHUNKS) -> Column:
     """Fixed-width chunk list and mask: an empty list becomes ``[""]``; cut to
     ``max_chunks``; pad with ``""``.  Returns struct(chunks, chunk_mask)."""
+    def body(base: Column) -> Column:
+        real = F.size(base)
+        padded = F.concat(base, F.array_repeat(F.lit(""), F.lit(max_chunks) - real))
+        mask = F.concat(F.array_repeat(F.lit(1), real), F.array_repeat(F.lit(0), F.lit(max_chunks) - real))
+        return F.struct(padded.alias("chunks"), mask.alias("chunk_mask"))
+
     ch = _col(chunks)
-    base = F.when(F.size(ch) == 0, F.array(F.lit(""))).otherwise(F.slice(ch, 1, max_chunks))
-    real = F.size(base)
-    padded = F.concat(base, F.array_repeat(F.lit(""), F.lit(max_chunks) - real))
-    mask = F.transform(F.sequence(F.lit(1), F.lit(max_chunks)), lambda i: F.when(i <= real, 1).otherwise(0))
-    return F.struct(padded.alias("chunks"), mask.alias("chunk_mask"))
+    return let(F.when(F.size(ch) == 0, F.array(F.lit(""))).otherwise(F.slice(ch, 1, max_chunks)), body)
 
 
 def single_line(c: Column | str) -> Column:

@@ -88,7 +88,7 @@ def test_chunks_match_rules_on_documents(spark, budget, max_chunks):
 def test_split_long_unit_and_words(spark):
     rows = [("a b c d e f g",), ("x, y, z",), ("one two, three four five six seven, eight",), ("",)]
     df = spark.createDataFrame(rows, "u string")
-    df = T.split_long_unit_df(df, "u", "p", 3).withColumn("w", T.split_by_words("u", 3))
+    df = df.withColumn("p", T.split_long_unit("u", 3)).withColumn("w", T.split_by_words("u", 3))
     got = df.collect()
     for (u,), r in zip(rows, got):
         assert list(r["p"]) == rules.long_unit(u, 3)
