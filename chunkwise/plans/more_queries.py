@@ -1 +1,130 @@
-"""Vector, metric, feature, model and training-log queries (registered on import)."""
+"""Vector, metric and metric-log queries (registered on import).
+
+Bindings: chunk vectors from ``embeddings`` (``doc = vec_id div 4``), a
+deterministic linear head and attention scorer whose weights follow fixed
+rules (``operators.vectors.head_weights`` / ``attention_weights``), truth
+``embeddings.label``; metric logs from ``events``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from chunkwise.operators import metrics as M
+from chunkwise.operators import training as TR
+from chunkwise.operators import vectors as V
+from chunkwise.plans import tables as TB
+from chunkwise.plans.queries import query, r6
+
+N_CLASSES = 10
+WIDTH = 64
+
+
+def _head():
+    return V.head_weights(N_CLASSES, WIDTH)
+
+
+def scored_chunks(spark, sf) -> DataFrame:
+    w, b = _head()
+    v = TB.chunk_vectors(spark, sf)
+    return v.withColumn("logits", V.linear_logits(F.col("embedding"), w, b)) \
+        .withColumn("pred", V.argmax(F.col("logits")))
+
+
+def pairs(spark, sf) -> DataFrame:
+    return scored_chunks(spark, sf).select("vec_id", F.col("label").alias("true"), "pred")
+
+
+def label_list(spark, sf) -> DataFrame:
+    return TB.table(spark, sf, "embeddings").select("label").distinct()
+
+
+@query("linear_logits")
+def q_linear_logits(spark, sf):
+    s = scored_chunks(spark, sf)
+    o = s.select("vec_id", F.posexplode("logits").alias("class", "logit"))
+    return o.select("vec_id", "class", r6(F.col("logit")).alias("logit"))
+
+
+@query("argmax")
+def q_argmax(spark, sf):
+    return scored_chunks(spark, sf).select("vec_id", "pred")
+
+
+@query("pool_mean")
+def q_pool_mean(spark, sf):
+    p = V.pool_mean(TB.chunk_vectors(spark, sf))
+    return V.vector_long(p, ["doc"], "doc_vec")
+
+
+@query("pool_attention")
+def q_pool_attention(spark, sf):
+    w, b, v = V.attention_weights(WIDTH)
+    p = V.pool_attention(TB.chunk_vectors(spark, sf), w, b, v)
+    return V.vector_long(p, ["doc"], "doc_vec")
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return M.confusion_matrix(pairs(spark, sf), label_list(spark, sf))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf):
+    r = M.classification_report(pairs(spark, sf), label_list(spark, sf))
+    return r.select("label", r6(F.col("precision")).alias("precision"), r6(F.col("recall")).alias("recall"),
+                    r6(F.col("f1")).alias("f1"), "support")
+
+
+SUMMARY_COLS = ["accuracy", "micro_precision", "micro_recall", "micro_f1", "macro_precision", "macro_recall",
+                "macro_f1", "macro_all_precision", "macro_all_recall", "macro_all_f1", "weighted_precision",
+                "weighted_recall", "weighted_f1"]
+
+
+@query("metrics_summary")
+def q_metrics_summary(spark, sf):
+    s = M.metrics_summary(pairs(spark, sf), label_list(spark, sf))
+    return s.select("n", *[r6(F.col(c)).alias(c) for c in SUMMARY_COLS])
+
+
+@query("cross_entropy")
+def q_cross_entropy(spark, sf):
+    c = M.cross_entropy(scored_chunks(spark, sf))
+    return c.select("n", r6(F.col("loss")).alias("loss"))
+
+
+@query("top_confusions")
+def q_top_confusions(spark, sf):
+    return M.top_confusions(M.confusion_matrix(pairs(spark, sf), label_list(spark, sf)), 5)
+
+
+def doc_predictions(spark, sf) -> DataFrame:
+    """Attention-pooled document vectors -> linear head -> argmax; truth is
+    the label of the document's first chunk."""
+    w, b, v = V.attention_weights(WIDTH)
+    hw, hb = _head()
+    cv = TB.chunk_vectors(spark, sf)
+    docs = V.pool_attention(cv, w, b, v)
+    truth = cv.where(F.col("chunk_no") == 0).select("doc", F.col("label").alias("true"))
+    pred = docs.select("doc", V.argmax(V.linear_logits(F.col("doc_vec"), hw, hb)).alias("pred"))
+    return truth.join(pred, "doc")
+
+
+@query("evaluate")
+def q_evaluate(spark, sf):
+    s = M.metrics_summary(doc_predictions(spark, sf), label_list(spark, sf))
+    return s.select("n", r6(F.col("accuracy")).alias("accuracy"), r6(F.col("macro_f1")).alias("macro_f1"),
+                    r6(F.col("weighted_f1")).alias("weighted_f1"))
+
+
+@query("early_stop")
+def q_early_stop(spark, sf):
+    e = TR.early_stop(TB.metric_log(spark, sf), "run", ["ts", "event_id"], "metric", patience=2)
+    return e.select("run", "n_steps", "best_step", r6(F.col("best_metric")).alias("best_metric"), "stop_step")
+
+
+@query("running_mean")
+def q_running_mean(spark, sf):
+    m = TR.running_mean(TB.metric_log(spark, sf), "run", ["ts", "event_id"], "metric", every=10)
+    return m.select("run", "step", r6(F.col("running_mean")).alias("running_mean"))
