@@ -120,3 +120,40 @@ FROM b LEFT JOIN l ON l.run = b.run AND l.step = b.stop_step""")
 sql("running_mean", f"""
 SELECT run, step, round(avg(metric) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING
   AND CURRENT ROW), 6) AS running_mean FROM ({STEPS}) s QUALIFY step % 10 = 0""")
+
+# ------------------------------------------------------------------ features
+from chunkwise.plans import sqltext as S  # noqa: E402
+from chunkwise.plans.more_queries import STOP_WORDS, TFIDF_FEATURES, VOCAB_SIZE  # noqa: E402
+from chunkwise.plans.oracle import DOCS, KEPT, chunks  # noqa: E402
+
+_STOP = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
+sql("tfidf", f"""
+WITH d AS ({DOCS}),
+t AS (SELECT doc_id, list_filter(list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'),
+        lambda w: length(w) >= 2), lambda w: NOT list_contains({_STOP}, w)) AS t FROM d),
+g AS (SELECT doc_id, list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS g FROM t),
+tc AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(g) AS term FROM g) x GROUP BY 1, 2),
+n AS (SELECT count(DISTINCT doc_id) AS n FROM d),
+st AS (SELECT term, count(*) AS df, sum(tf) AS total FROM tc GROUP BY term),
+v AS (SELECT term, df FROM st, n WHERE df >= 2 AND df <= 0.9 * n.n ORDER BY total DESC, term LIMIT {TFIDF_FEATURES}),
+w AS (SELECT tc.doc_id, tc.term, tc.tf * (ln((1 + n.n) / (1 + v.df)) + 1) AS w FROM tc JOIN v ON v.term = tc.term, n)
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
+
+VOCAB = f"""SELECT term, CAST(row_number() OVER (ORDER BY n DESC, term) + 3 AS INTEGER) AS term_id, n FROM
+(SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '{S.TOKEN_PATTERN}')) AS term
+ FROM ({KEPT}) k) x GROUP BY term ORDER BY n DESC, term LIMIT {VOCAB_SIZE}) v"""
+sql("build_vocab", VOCAB)
+sql("encode_ids", f"""
+WITH c AS (SELECT doc_id, {chunks('text')} AS c FROM ({KEPT}) d),
+e AS (SELECT doc_id, unnest(range(0, len(c))) AS chunk_no, unnest(c) AS chunk FROM c),
+t AS (SELECT doc_id, chunk_no, (regexp_extract_all(lower(chunk), '{S.TOKEN_PATTERN}'))[1:510] AS t FROM e),
+u AS (SELECT doc_id, chunk_no, unnest(range(1, len(t) + 1)) AS pos, unnest(t) AS term FROM t),
+i AS (SELECT u.doc_id, u.chunk_no, list(coalesce(v.term_id, 1) ORDER BY u.pos) AS ids
+      FROM u LEFT JOIN ({VOCAB}) v ON v.term = u.term GROUP BY 1, 2),
+f AS (SELECT doc_id, chunk_no, list_concat([2], ids, [3]) AS r FROM i)
+SELECT doc_id, chunk_no, CAST(len(r) AS INTEGER) AS n_real,
+  array_to_string(list_concat(r, list_transform(range(512 - len(r)), lambda x: 0)), ' ') AS ids FROM f""")
+sql("rebalance", """
+WITH l AS (SELECT doc_id, quality * 2 + toxic AS label FROM labels),
+c AS (SELECT label, count(*) AS n FROM l GROUP BY label), m AS (SELECT max(n) AS m FROM c)
+SELECT label, m.m AS n, c.n AS n_docs, CAST(CEIL(m.m / c.n) AS INTEGER) AS max_copies FROM c, m""")

@@ -128,3 +128,48 @@ def q_early_stop(spark, sf):
 def q_running_mean(spark, sf):
     m = TR.running_mean(TB.metric_log(spark, sf), "run", ["ts", "event_id"], "metric", every=10)
     return m.select("run", "step", r6(F.col("running_mean")).alias("running_mean"))
+
+
+# ---------------------------------------------------------------- features (2.10)
+
+from chunkwise.functions import text as T  # noqa: E402
+from chunkwise.operators import features as FE  # noqa: E402
+from chunkwise.plans.queries import kept_documents  # noqa: E402
+
+# Fixed parameter of the registered TF-IDF query: one explicit stop-word
+# list, used identically by the oracle.
+STOP_WORDS = ["and", "are", "as", "at", "be", "by", "de", "des", "du", "en", "et", "for", "from", "in", "is",
+              "it", "la", "le", "les", "of", "on", "or", "the", "this", "to", "was", "with"]
+TFIDF_FEATURES = 5000
+VOCAB_SIZE = 5000
+
+
+@query("tfidf")
+def q_tfidf(spark, sf):
+    w, _ = FE.tfidf(TB.labelled_documents(spark, sf), ngram_max=2, max_features=TFIDF_FEATURES, min_df=2,
+                    max_df=0.9, stop_words=STOP_WORDS)
+    return w.select("doc_id", "term", r6(F.col("weight")).alias("weight"))
+
+
+@query("build_vocab")
+def q_build_vocab(spark, sf):
+    return FE.build_vocab(kept_documents(spark, sf), size=VOCAB_SIZE)
+
+
+@query("encode_ids")
+def q_encode_ids(spark, sf):
+    docs = kept_documents(spark, sf)
+    vocab = FE.build_vocab(docs, size=VOCAB_SIZE)
+    ch = T.with_chunks(docs, "text", "ch").select("doc_id", F.posexplode("ch").alias("chunk_no", "c"))
+    ch = ch.select("doc_id", "chunk_no", F.col("c")["chunk"].alias("chunk"))
+    e = FE.encode_ids(ch, vocab, "chunk", ["doc_id", "chunk_no"])
+    return e.select("doc_id", "chunk_no", F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_real"),
+                    F.array_join("input_ids", " ").alias("ids"))
+
+
+@query("rebalance")
+def q_rebalance(spark, sf):
+    lab = TB.table(spark, sf, "labels").select("doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("label"))
+    r = FE.rebalance(lab)
+    return r.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_docs"),
+                                  F.max("copy_no").alias("max_copies"))
