@@ -70,10 +70,9 @@ def tfidf(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_max: int
     weight ``tf * (ln((1 + N) / (1 + df)) + 1)``, L2-normalised per document.
     """
     tc = term_counts(df, text, key, ngram_max, stop_words)
-    n_docs = df.select(key).distinct().agg(F.count(F.lit(1)).alias("n_docs"))
-    stats = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-    # one-row N attached without a cross join: both sides keyed by a constant
-    stats = stats.withColumn("_k", F.lit(1)).join(F.broadcast(n_docs.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    n_docs = df.select(key).distinct().agg(F.count(F.lit(1))).scalar()  # scalar subquery, evaluated once
+    stats = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")) \
+        .withColumn("n_docs", n_docs)
     keep = (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * F.col("n_docs"))
     top = stats.where(keep).orderBy(F.col("total").desc(), F.col("term")).limit(max_features)
     vocab = top.withColumn("term_id", F.row_number().over(Window.orderBy(F.col("total").desc(), F.col("term"))) - 1) \
@@ -132,8 +131,8 @@ def rebalance(df: DataFrame, label: str = "label", key: str = "doc_id", seed: in
     exactly: each row of a class with n rows appears ``M div n`` times and the
     first ``M mod n`` rows of the seeded order once more.  Adds ``copy_no``."""
     r = SP.exact_rank(df, [label], SP.order_key(key, seed, "rebalance"), key, name="_r", with_total="_n")
-    m = df.groupBy(label).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c").alias("_m"))
-    r = r.withColumn("_k", F.lit(1)).join(F.broadcast(m.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    largest = df.groupBy(label).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).scalar()
+    r = r.withColumn("_m", largest)
     reps = (F.col("_m") / F.col("_n")).cast("bigint") + F.when(F.col("_r") <= F.col("_m") % F.col("_n"), 1).otherwise(0)
     out = r.withColumn("copy_no", F.explode(F.sequence(F.lit(1), reps.cast("int"))))
     return out.drop("_r", "_n", "_m")

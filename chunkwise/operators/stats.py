@@ -97,36 +97,37 @@ def dataset_manifest(split_df: DataFrame, chunk_count: str = "chunk_count", labe
                      max_chunks: int = T.DEFAULT_MAX_CHUNKS) -> DataFrame:
     """One-row manifest: sizes, ratio, label list, three label distributions
     (string -> count maps) and chunk statistics; ``to_json(struct(*))``
-    gives the file body.  One aggregation pass over (split, label) counts."""
-    per = split_df.groupBy("split", label).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(chunk_count).alias("cs"), F.max(chunk_count).alias("cm"))
-
-    def dist(where):
-        return F.map_from_entries(F.array_sort(F.collect_list(
-            F.when(where, F.struct(F.col(label).cast("string").alias("k"), F.col("n").alias("v"))))))
-
-    tot = per.groupBy(label).agg(F.sum("n").alias("n"))
-    total_map = tot.agg(F.map_from_entries(F.array_sort(F.collect_list(
-        F.struct(F.col(label).cast("string"), F.col("n"))))).alias("label_distribution_total"),
-        F.array_sort(F.collect_list(label)).alias("labels"))
+    gives the file body.  One per-label aggregate (one row per class), then
+    one global aggregate over it."""
+    def on(s):
+        return F.col("split") == s
+
+    per = split_df.groupBy(label).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(on("train")).alias("n_train"), F.count_if(on("test")).alias("n_test"),
+        F.sum(F.when(on("train"), F.col(chunk_count))).alias("cs_train"),
+        F.sum(F.when(on("test"), F.col(chunk_count))).alias("cs_test"),
+        F.max(F.when(on("train"), F.col(chunk_count))).alias("cm_train"),
+        F.max(F.when(on("test"), F.col(chunk_count))).alias("cm_test"))
+
+    def dist(col):
+        k = F.col(label).cast("string")
+        return F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col(col) > 0, F.struct(k.alias("k"),
+                                                                                           F.col(col).alias("v"))))))
 
     def avg_of(s):
-        return F.coalesce(F.sum(F.when(F.col("split") == s, F.col("cs"))) /
-                          F.sum(F.when(F.col("split") == s, F.col("n"))), F.lit(0.0))
+        return F.coalesce(F.sum(f"cs_{s}") / F.sum(f"n_{s}"), F.lit(0.0))
 
     def max_of(s):
-        return F.coalesce(F.max(F.when(F.col("split") == s, F.col("cm"))).cast("double"), F.lit(0.0))
-
-    body = per.agg(
-        F.sum("n").alias("total_samples"),
-        F.sum(F.when(F.col("split") == "train", F.col("n")).otherwise(0)).alias("train_samples"),
-        F.sum(F.when(F.col("split") == "test", F.col("n")).otherwise(0)).alias("test_samples"),
-        dist(F.col("split") == "train").alias("label_distribution_train"),
-        dist(F.col("split") == "test").alias("label_distribution_test"),
+        return F.coalesce(F.max(f"cm_{s}").cast("double"), F.lit(0.0))
+
+    m = per.agg(
+        F.sum("n").alias("total_samples"), F.sum("n_train").alias("train_samples"),
+        F.sum("n_test").alias("test_samples"), F.array_sort(F.collect_list(label)).alias("labels"),
+        dist("n").alias("label_distribution_total"), dist("n_train").alias("label_distribution_train"),
+        dist("n_test").alias("label_distribution_test"),
         avg_of("train").alias("train_avg_chunks"), max_of("train").alias("train_max_chunks"),
-        avg_of("test").alias("test_avg_chunks"), max_of("test").alias("test_max_chunks"),
-    )
-    m = body.crossJoin(total_map)  # both sides are single-row aggregates
+        avg_of("test").alias("test_avg_chunks"), max_of("test").alias("test_max_chunks"))
     return m.select(
         "total_samples", "train_samples", "test_samples", F.lit(test_size).alias("test_size"),
         F.size("labels").alias("num_labels"), "labels", "label_distribution_total", "label_distribution_train",
