@@ -36,10 +36,17 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def matvec(w: Column, x: Column, b: Column | None = None) -> Column:
-    """``W x (+ b)`` for a row vector ``x``; W is (out x in)."""
+    """``W x (+ b)`` for a row vector ``x``; W is (out x in).
+
+    ``x`` is bound once: referenced inside the per-row lambda it would
+    otherwise be re-evaluated for every row of W whenever the optimizer
+    inlines the expression that produced it.
+    """
+    from chunkwise.functions.text import let
+
     if b is None:
-        return F.transform(w, lambda row: dot(row, x))
-    return F.transform(w, lambda row, i: dot(row, x) + F.element_at(b, i + 1))
+        return let(x, lambda xv: F.transform(w, lambda row: dot(row, xv)))
+    return let(x, lambda xv: F.transform(w, lambda row, i: dot(row, xv) + F.element_at(b, i + 1)))
 
 
 def linear_logits(x: Column, w: list[list[float]], b: list[float], digits: int | None = 9) -> Column:
@@ -129,3 +136,34 @@ def attention_weights(width: int) -> tuple[list[list[float]], list[float], list[
     b = [((j * 3) % 7 - 3) / 100 for j in range(width)]
     v = [((j * 5) % 9 - 4) / 20 for j in range(width)]
     return w, b, v
+
+
+def pool_attention_rows(vecs: Column, mask: Column, w: list[list[float]], b: list[float],
+                        v: list[float]) -> Column:
+    """M7 inside one row: ``vecs array<array<double>>`` (the document's
+    padded chunks) and ``mask array<int>`` -> pooled vector.  Used where all
+    chunks of a document are already in its row (prediction, streaming), so
+    no grouping is needed."""
+    from chunkwise.functions.text import let
+
+    def pooled(sc: Column) -> Column:
+        mx = F.array_max(sc)
+        e = F.transform(sc, lambda s: F.exp(s - mx))
+        z = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
+        width = F.size(F.element_at(vecs, 1))
+        tot = F.aggregate(F.arrays_zip(vecs.alias("x"), e.alias("e")), F.array_repeat(F.lit(0.0), width),
+                          lambda acc, r: F.zip_with(acc, r["x"], lambda a, x: a + x * r["e"]))
+        return F.transform(tot, lambda t: t / z)
+
+    scores = F.transform(vecs, lambda x, i: F.when(F.element_at(mask, i + 1) == 0, F.lit(MASKED_SCORE))
+                         .otherwise(attention_score(x, w, b, v)))
+    return let(scores, pooled)
+
+
+def pool_mean_rows(vecs: Column, mask: Column) -> Column:
+    """M6 inside one row."""
+    width = F.size(F.element_at(vecs, 1))
+    tot = F.aggregate(F.arrays_zip(vecs.alias("x"), mask.alias("m")), F.array_repeat(F.lit(0.0), width),
+                      lambda acc, r: F.zip_with(acc, r["x"], lambda a, x: a + x * r["m"]))
+    denom = F.greatest(F.aggregate(mask, F.lit(0), lambda a, m: a + m), F.lit(1)).cast("double")
+    return F.transform(tot, lambda t: t / denom)

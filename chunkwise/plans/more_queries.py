@@ -173,3 +173,81 @@ def q_rebalance(spark, sf):
     r = FE.rebalance(lab)
     return r.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_docs"),
                                   F.max("copy_no").alias("max_copies"))
+
+
+# ---------------------------------------------------------------- models and stream (rows-only)
+
+from chunkwise.operators import models as MD  # noqa: E402
+from chunkwise.operators import splits as SP  # noqa: E402
+from chunkwise.streaming import scoring as SC  # noqa: E402
+
+DOC_CLASSES = 20
+
+
+@query("encode_chunks")
+def q_encode_chunks(spark, sf):
+    d = T.with_chunks(kept_documents(spark, sf), "text", "ch")
+    d = d.select("doc_id", T.pad_chunks(T.chunk_texts("ch"), 4)["chunks"].alias("chunks"))
+    e = MD.encode_chunks(d, "chunks", "vecs")
+    o = e.select("doc_id", F.posexplode("vecs").alias("chunk_no", "v"))
+    return o.select("doc_id", "chunk_no", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x).alias("sq_norm"))
+
+
+@query("predict")
+def q_predict(spark, sf):
+    docs = TB.raw_documents(spark, sf)
+    p = MD.predict(docs, MD.default_model(DOC_CLASSES), TB.categories(spark, sf))
+    return p.select("doc_id", "label", "category")
+
+
+@query("reduce_dims")
+def q_reduce_dims(spark, sf):
+    w, vocab = FE.tfidf(TB.labelled_documents(spark, sf), ngram_max=2, max_features=TFIDF_FEATURES, min_df=2,
+                        max_df=0.9, stop_words=STOP_WORDS)
+    return MD.reduce_dims(w, vocab, k=16)
+
+
+def _split_docs(spark, sf):
+    """Three-way split of the kept documents, materialised once in the
+    shared checkpoint folder: model fitting scans it many times."""
+    from chunkwise.session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    return SP.three_way_split(kept_documents(spark, sf)).checkpoint(eager=True)
+
+
+@query("tree_baseline")
+def q_tree_baseline(spark, sf):
+    s = _split_docs(spark, sf)
+    m = MD.fit_tree_baseline(s.where("split = 'train'"), STOP_WORDS, num_trees=30, max_depth=6,
+                             vocab_size=TFIDF_FEATURES)
+    return m.transform(s.where("split = 'test'")).select("doc_id", "label", F.col("prediction").cast("int")
+                                                         .alias("pred"))
+
+
+@query("wordvec_baseline")
+def q_wordvec_baseline(spark, sf):
+    s = _split_docs(spark, sf)
+    m = MD.fit_wordvec_baseline(s.where("split = 'train'"))
+    return m.transform(s.where("split = 'test'")).select("doc_id", "label", F.col("prediction").cast("int")
+                                                         .alias("pred"))
+
+
+@query("fit_select")
+def q_fit_select(spark, sf):
+    from pyspark.ml.functions import array_to_vector
+
+    s = MD.document_vectors(_split_docs(spark, sf), MD.default_model(DOC_CLASSES), clean=False)
+    s = s.select("doc_id", "label", "split", array_to_vector("doc_vec").alias("features")).checkpoint(eager=True)
+    labels = s.select("label").distinct()
+    _, grid, test = MD.fit_select(s.where("split = 'train'"), s.where("split = 'dev'"), s.where("split = 'test'"),
+                                  labels)
+    t = test.select(F.col("macro_f1").alias("test_macro_f1"), F.col("accuracy").alias("test_accuracy"))
+    return grid.join(F.broadcast(t), how="left", on=F.col("selected"))
+
+
+@query("score_stream")
+def q_score_stream(spark, sf):
+    stream = SC.document_stream(spark, sf).select("doc_id", "text")
+    scored = SC.score_stream(stream, MD.default_model(DOC_CLASSES), TB.categories(spark, sf), keep=["doc_id"])
+    return spark.read.parquet(SC.run_to_table(spark, scored))
