@@ -80,12 +80,23 @@ def clean_text(c: Column | str) -> Column:
     s = F.regexp_replace(s, '^"+|"+\\z', "")
     s = F.replace(s, F.lit(MOJIBAKE_COMMA), F.lit(","))
     s = F.replace(s, F.lit(MOJIBAKE_SPACE), F.lit(" "))
-    s = F.regexp_replace(s, f"{WS}+,", ",")
-    s = F.regexp_replace(s, f",{WS}*", ", ")
+    # "no whitespace before a comma" and "one space after it" in one pass:
+    # whitespace on either side of a comma can only end up as that one space
+    s = F.regexp_replace(s, f"{WS}*,{WS}*", ", ")
     s = F.regexp_replace(s, f"{WS}+", " ")
     return strip_ws(s)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it (possibly many times) in ``body``.
+
+    Column expressions are trees: a sub-expression used twice is computed
+    twice, and inside a lambda once per element.  Binding it to a lambda
+    variable of a one-element ``transform`` evaluates it exactly once.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _titles_longest_first(titles: list[str]) -> list[str]:
     return sorted(titles, key=len, reverse=True)
 
@@ -102,10 +113,18 @@ def mark_sections(c: Column | str, titles: list[str] | None = None) -> Column:
     ``and Training``), as in the reference.  Word boundaries are Unicode
     (``(?U)``), matching Python's ``\\b`` on ``str``.
     """
-    s = _col(c)
-    for title in _titles_longest_first(titles or SECTION_TITLES):
-        s = F.regexp_replace(s, f"(?iU)\\b{_java_quote(title)}\\b", f"\n{title}\n")
-    return s
+    ordered = _titles_longest_first(titles or SECTION_TITLES)
+
+    def body(x: Column) -> Column:
+        s = x
+        for title in ordered:
+            s = F.regexp_replace(s, f"(?iU)\\b{_java_quote(title)}\\b", f"\n{title}\n")
+        # one case-insensitive scan decides whether any title can match at
+        # all; most texts skip the per-title passes
+        any_title = "(?i)" + "|".join(_java_quote(t) for t in ordered)
+        return F.when(x.rlike(any_title), s).otherwise(x)
+
+    return let(_col(c), body)
 
 
 def split_units(c: Column | str, titles: list[str] | None = None) -> Column:
@@ -129,16 +148,6 @@ def _words(c: Column) -> Column:
     return F.filter(F.split(strip_ws(c), f"{WS}+"), lambda w: w != F.lit(""))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it (possibly many times) in ``body``.
-
-    Column expressions are trees: a sub-expression used twice is computed
-    twice, and inside a lambda once per element.  Binding it to a lambda
-    variable of a one-element ``transform`` evaluates it exactly once.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def split_by_words(c: Column | str, max_tokens: int) -> Column:
     """Groups of ``max_tokens`` whitespace-separated words joined by a space.
     Groups are counted in words, not tokens, so a group can exceed the token

@@ -50,24 +50,41 @@ def removal_reason(text: Column, limits: Limits = Limits(), counter: T.Counter =
     """First matching reason (chars before tokens, cheap before expensive);
     ``kept`` when none applies.  The token count is only evaluated for rows
     that pass the character test (CASE WHEN short-circuits)."""
-    n_chars = F.length(text)
-    reason = F.when(text.isNull(), F.lit(REASON_SHORT_CHARS))
-    if limits.min_chars is not None:
-        reason = reason.when(n_chars < limits.min_chars, F.lit(REASON_SHORT_CHARS))
-    if limits.min_tokens is not None or limits.max_tokens is not None:
-        n_tok = counter(text)
+    def by_tokens(n_tok: Column) -> Column:
+        r = F.when(F.lit(False), F.lit(None).cast("string"))
         if limits.min_tokens is not None:
-            reason = reason.when(n_tok < limits.min_tokens, F.lit(REASON_SHORT_TOKENS))
+            r = r.when(n_tok < limits.min_tokens, F.lit(REASON_SHORT_TOKENS))
         if limits.max_tokens is not None:
-            reason = reason.when(n_tok > limits.max_tokens, F.lit(REASON_OVERLONG))
-    return reason.otherwise(F.lit(REASON_KEPT))
+            r = r.when(n_tok > limits.max_tokens, F.lit(REASON_OVERLONG))
+        return r.otherwise(F.lit(REASON_KEPT))
+
+    reason = F.when(text.isNull(), F.lit(REASON_SHORT_CHARS))
+    if limits.min_chars is not None:
+        reason = reason.when(F.length(text) < limits.min_chars, F.lit(REASON_SHORT_CHARS))
+    if limits.min_tokens is None and limits.max_tokens is None:
+        return reason.otherwise(F.lit(REASON_KEPT))
+    # the token count is computed once, and only for rows past the char test
+    return reason.otherwise(T.let(counter(text), by_tokens))
+
+
+def materialize(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    """Add expensive columns so that they are evaluated once per row.
+
+    A filter on a projected column is normally pushed below the projection
+    with the expression substituted in, so the expression runs once for the
+    filter and again for the output.  Columns produced by a generator
+    (``inline`` of a one-element array) stay above it: predicates on them
+    are evaluated on the computed value.
+    """
+    keep = [c for c in df.columns if c not in cols]
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
 
 def filter_with_reason(df: DataFrame, limits: Limits = Limits(), text: str = "text",
                        counter: T.Counter = T.count_tokens) -> tuple[DataFrame, DataFrame]:
     """Return (kept rows, counts per reason).  Both derive from one tagged
     plan; cache or checkpoint the input when both are consumed."""
-    tagged = df.withColumn("_reason", removal_reason(F.col(text), limits, counter))
+    tagged = materialize(df, {"_reason": removal_reason(F.col(text), limits, counter)})
     kept = tagged.where(F.col("_reason") == REASON_KEPT).drop("_reason")
     counts = tagged.groupBy(F.col("_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
     return kept, counts

@@ -31,8 +31,10 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text, label) with ``clean_text`` applied (one projection)."""
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", T.clean_text("text").alias("text"), label_of_source().alias("label"))
+    from chunkwise.operators.filters import materialize
+
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", label_of_source().alias("label"))
+    return materialize(d, {"text": T.clean_text("text")}).select("doc_id", "text", "label")
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
