@@ -31,19 +31,38 @@ class Limits:
     max_tokens: int | None = MAX_TOKENS
 
 
+def materialize(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    """Add expensive columns so that they are evaluated once per row.
+
+    A filter on a projected column is normally pushed below the projection
+    with the expression substituted in, so the expression runs once for the
+    filter and again for the output.  Columns produced by a generator
+    (``inline`` of a one-element array) stay above it: predicates on them
+    are evaluated on the computed value.
+    """
+    keep = [c for c in df.columns if c not in cols]
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
+def where_once(df: DataFrame, predicate: Column) -> DataFrame:
+    """Filter on a predicate computed above the input's projection, so the
+    columns it reads (e.g. cleaned text) are not recomputed inside it."""
+    return materialize(df, {"_keep": F.coalesce(predicate, F.lit(False))}).where("_keep").drop("_keep")
+
+
 def filter_min_chars(df: DataFrame, min_chars: int = MIN_CHARS, text: str = "text") -> DataFrame:
     """Keep rows whose text has at least ``min_chars`` code points (null dropped)."""
-    return df.where(F.length(text) >= min_chars)
+    return where_once(df, F.length(text) >= min_chars)
 
 
 def filter_min_tokens(df: DataFrame, min_tokens: int = MIN_TOKENS, text: str = "text",
                       counter: T.Counter = T.count_tokens) -> DataFrame:
-    return df.where(counter(F.col(text)) >= min_tokens)
+    return where_once(df, counter(F.col(text)) >= min_tokens)
 
 
 def filter_max_tokens(df: DataFrame, max_tokens: int = MAX_TOKENS, text: str = "text",
                       counter: T.Counter = T.count_tokens) -> DataFrame:
-    return df.where(counter(F.col(text)) <= max_tokens)
+    return where_once(df, counter(F.col(text)) <= max_tokens)
 
 
 def removal_reason(text: Column, limits: Limits = Limits(), counter: T.Counter = T.count_tokens) -> Column:
@@ -67,19 +86,6 @@ def removal_reason(text: Column, limits: Limits = Limits(), counter: T.Counter =
     return reason.otherwise(T.let(counter(text), by_tokens))
 
 
-def materialize(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
-    """Add expensive columns so that they are evaluated once per row.
-
-    A filter on a projected column is normally pushed below the projection
-    with the expression substituted in, so the expression runs once for the
-    filter and again for the output.  Columns produced by a generator
-    (``inline`` of a one-element array) stay above it: predicates on them
-    are evaluated on the computed value.
-    """
-    keep = [c for c in df.columns if c not in cols]
-    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
-
-
 def filter_with_reason(df: DataFrame, limits: Limits = Limits(), text: str = "text",
                        counter: T.Counter = T.count_tokens) -> tuple[DataFrame, DataFrame]:
     """Return (kept rows, counts per reason).  Both derive from one tagged
