@@ -315,8 +315,13 @@ def with_chunks(df: DataFrame, text_col: str, out_col: str = "chunks", max_token
                 max_chunks: int = DEFAULT_MAX_CHUNKS, counter: Counter = count_tokens,
                 titles: list[str] | None = None) -> DataFrame:
     """Add ``out_col array<struct<chunk:string, n_tokens:int>>`` for the
-    (cleaned) ``text_col``."""
-    return df.withColumn(out_col, chunk_table(F.col(text_col), max_tokens, max_chunks, counter, titles)["chunks"])
+    (cleaned) ``text_col``.  The column is produced once per row (see
+    ``filters.materialize``): rewrites around a later ``explode`` or filter
+    cannot copy the chunking expression."""
+    from chunkwise.operators.filters import materialize
+
+    ch = chunk_table(F.col(text_col), max_tokens, max_chunks, counter, titles)["chunks"]
+    return materialize(df, {out_col: ch})
 
 
 def chunk_texts(c: Column | str) -> Column:

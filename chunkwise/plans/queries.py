@@ -77,7 +77,7 @@ def q_mark_sections(spark, sf):
 
 @query("split_units")
 def q_split_units(spark, sf):
-    d = TB.labelled_documents(spark, sf).select("doc_id", T.split_units("text").alias("u"))
+    d = FL.materialize(TB.labelled_documents(spark, sf).select("doc_id", "text"), {"u": T.split_units("text")})
     return long_form(d, "u", ["doc_id"], "unit_no", "unit")
 
 
@@ -90,14 +90,14 @@ def q_count_tokens(spark, sf):
 
 @query("split_by_words")
 def q_split_by_words(spark, sf):
-    d = TB.labelled_documents(spark, sf).select("doc_id", T.split_by_words("text", 64).alias("p"))
+    d = FL.materialize(TB.labelled_documents(spark, sf).select("doc_id", "text"), {"p": T.split_by_words("text", 64)})
     return long_form(d, "p", ["doc_id"], "piece_no", "piece")
 
 
 @query("split_long_unit")
 def q_split_long_unit(spark, sf):
-    d = TB.labelled_documents(spark, sf).select("doc_id", T.split_units("text").alias("u"))
-    u = long_form(d, "u", ["doc_id"], "unit_no", "unit").withColumn("p", T.split_long_unit("unit", 40))
+    d = FL.materialize(TB.labelled_documents(spark, sf).select("doc_id", "text"), {"u": T.split_units("text")})
+    u = FL.materialize(long_form(d, "u", ["doc_id"], "unit_no", "unit"), {"p": T.split_long_unit("unit", 40)})
     return long_form(u, "p", ["doc_id", "unit_no"], "piece_no", "piece")
 
 
@@ -118,7 +118,7 @@ def q_explode_chunks(spark, sf):
 @query("pad_chunks")
 def q_pad_chunks(spark, sf):
     d = T.with_chunks(TB.labelled_documents(spark, sf), "text", "ch")
-    d = d.select("doc_id", T.pad_chunks(T.chunk_texts("ch"), 4).alias("p"))
+    d = FL.materialize(d.select("doc_id", "ch"), {"p": T.pad_chunks(T.chunk_texts("ch"), 4)})
     d = d.select("doc_id", F.arrays_zip(F.col("p")["chunks"].alias("chunk"), F.col("p")["chunk_mask"].alias("mask"))
                  .alias("z"))
     return d.select("doc_id", F.posexplode("z").alias("slot", "s")).select(

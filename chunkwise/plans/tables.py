@@ -16,8 +16,29 @@ from pyspark.sql import functions as F
 from chunkwise.functions import text as T
 
 
+# Tables whose per-row work is CPU-heavy (regexes, folds over text).
+TEXT_TABLES = {"documents"}
+
+
+def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """Spread a small input over all cores.
+
+    A parquet file is split by row groups, so one small file (one row group)
+    is read and processed by a single task however many cores exist.  When
+    the input has fewer files than the default parallelism, rows are
+    redistributed round-robin (a cheap shuffle of a small input, made
+    deterministic for retries by Spark's sort-before-repartition).  Large
+    inputs (many files) are left as they are: no extra shuffle at scale.
+    """
+    target = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= target:
+        return df
+    return df.repartition(target * 2)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, spark) if name in TEXT_TABLES else df
 
 
 def label_of_source(source: str = "source"):
