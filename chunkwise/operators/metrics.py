@@ -62,7 +62,7 @@ def classification_report(pairs: DataFrame, labels: DataFrame, names: DataFrame
     """Per-class rows over all listed labels, with category names if given."""
     rep = per_class(confusion_matrix(pairs, labels, label))
     if names is not None:
-        rep = rep.join(F.broadcast(names), "label", "left")
+        rep = rep.join(names, "label", "left")  # small; AQE broadcasts after measuring
     return rep
 
 
@@ -93,11 +93,13 @@ def metrics_summary(pairs: DataFrame, labels: DataFrame, label: str = "label") -
 
 def cross_entropy(df: DataFrame, logits: str = "logits", label: str = "label") -> DataFrame:
     """mean of ``logsumexp(logits) - logits[label]`` (one row: n, loss)."""
-    lg = F.col(logits)
-    mx = F.array_max(lg)
-    lse = mx + F.log(F.aggregate(lg, F.lit(0.0), lambda s, v: s + F.exp(v - mx)))
-    loss = lse - F.element_at(lg, F.col(label) + 1)
-    return df.agg(F.count(F.lit(1)).alias("n"), F.avg(loss).alias("loss"))
+    from chunkwise.functions.text import let
+
+    def row_loss(lg: Column) -> Column:
+        return let(F.array_max(lg), lambda mx: mx + F.log(F.aggregate(lg, F.lit(0.0), lambda s, v: s + F.exp(v - mx)))
+                   - F.element_at(lg, F.col(label) + 1))
+
+    return df.agg(F.count(F.lit(1)).alias("n"), F.avg(let(F.col(logits), row_loss)).alias("loss"))
 
 
 def top_confusions(cm: DataFrame, k: int = 5) -> DataFrame:

@@ -114,7 +114,10 @@ def predict(df: DataFrame, model: ChunkModel, categories: DataFrame | None = Non
     logits = V.linear_logits(F.col("doc_vec"), model.head_w, model.head_b)
     d = d.withColumn("label", T.let(logits, V.argmax)).drop("doc_vec")
     if categories is not None:
-        d = d.join(F.broadcast(categories.select("label", F.col("name").alias("category"))), "label", "left")
+        # only labels the head can emit, one row each: at most len(head_b) rows
+        n = len(model.head_b)
+        cats = categories.where((F.col("label") >= 0) & (F.col("label") < n)).dropDuplicates(["label"])
+        d = d.join(F.broadcast(cats.select("label", F.col("name").alias("category"))), "label", "left")
     return d
 
 

@@ -66,7 +66,7 @@ def class_balance(df: DataFrame, categories: DataFrame | None = None, label: str
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     c = c.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
     if categories is not None:
-        c = c.join(F.broadcast(categories), label, "left")
+        c = c.join(categories, label, "left")  # small; AQE broadcasts after measuring
     return c.orderBy(F.col("n").desc(), F.col(label))
 
 

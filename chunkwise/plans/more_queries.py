@@ -242,8 +242,9 @@ def q_fit_select(spark, sf):
     labels = s.select("label").distinct()
     _, grid, test = MD.fit_select(s.where("split = 'train'"), s.where("split = 'dev'"), s.where("split = 'test'"),
                                   labels)
-    t = test.select(F.col("macro_f1").alias("test_macro_f1"), F.col("accuracy").alias("test_accuracy"))
-    return grid.join(F.broadcast(t), how="left", on=F.col("selected"))
+    sel = F.col("selected")
+    return grid.withColumn("test_macro_f1", F.when(sel, test.select("macro_f1").scalar())) \
+        .withColumn("test_accuracy", F.when(sel, test.select("accuracy").scalar()))
 
 
 @query("score_stream")

@@ -188,7 +188,8 @@ def q_drop_rarest(spark, sf):
 def q_with_category(spark, sf):
     d = TB.labelled_documents(spark, sf).select("doc_id", "label")
     cats = TB.categories(spark, sf)
-    return d.join(F.broadcast(cats), "label", "left").select("doc_id", "label", F.col("name").alias("category"))
+    # the category table is derived from the data: AQE broadcasts it once its size is measured
+    return d.join(cats, "label", "left").select("doc_id", "label", F.col("name").alias("category"))
 
 
 @query("default_categories")
