@@ -40,24 +40,29 @@ def exact_rank(df: DataFrame, partition_by: list[str], okey: Column, tie: str, n
 
     ``okey`` must be a hex hash string (its prefix preserves order).  Adds
     ``name`` and, when ``with_total`` is given, the partition's row count.
+
+    The input is shuffled once, by (partition, bucket): the local row number
+    and the bucket size come from windows over that partitioning; the small
+    table of bucket sizes (at most #groups x 16^digits rows) gives every
+    bucket the count of the buckets before it.  Both branches share the same
+    shuffle, which Spark reuses, so the input is read once.
     """
-    d = df.withColumn("_ok", okey).withColumn("_b", F.substring("_ok", 1, digits))
     keys = list(partition_by) + ["_b"]
-    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
+    d = df.withColumn("_ok", okey).withColumn("_b", F.substring("_ok", 1, digits))
+    wb = Window.partitionBy(*keys)
+    d = d.withColumn("_rn", F.row_number().over(wb.orderBy("_ok", tie))).withColumn("_c", F.count(F.lit(1)).over(wb))
+    sizes = d.where(F.col("_rn") == 1).select(*keys, "_c")
     w = Window.partitionBy(*partition_by).orderBy("_b") if partition_by else Window.orderBy("_b")
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                                F.lit(0)))
+    offs = sizes.withColumn("_off", F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                               F.lit(0)))
     cols = keys + ["_off"]
     if with_total:
         wt = Window.partitionBy(*partition_by) if partition_by else Window.partitionBy()
         offs = offs.withColumn(with_total, F.sum("_c").over(wt))
         cols.append(with_total)
-    # The offsets table has at most (#groups x 16^digits) rows and is usually
-    # far smaller; AQE turns this into a broadcast join once its real size is
-    # known, otherwise it stays a shuffle join.
+    # small side: AQE broadcasts it once its real size is known
     d = d.join(offs.select(*cols), on=keys, how="inner")
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy("_ok", tie))
-    return d.withColumn(name, (F.col("_off") + rn).cast("bigint")).drop("_ok", "_b", "_off")
+    return d.withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_ok", "_b", "_off", "_rn", "_c")
 
 
 def held_out_count(n: Column, ratio: float) -> Column:
