@@ -131,10 +131,17 @@ def reduce_dims(weights: DataFrame, vocab: DataFrame, k: int = 16, key: str = "d
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
 
+    from chunkwise.session import checkpoint_dir
+
     n = vocab.count()  # vocabulary width (bounded by max_features)
     rows = weights.join(F.broadcast(vocab.select("term", "term_id")), "term") \
         .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("e"))
+    # the eigen-solver passes over the rows many times: cut the lineage once
+    # (shared checkpoint folder), keep the vectors cached between passes
+    checkpoint_dir(weights.sparkSession)
+    rows = rows.checkpoint(eager=True)
     rdd = rows.rdd.map(lambda r: IndexedRow(r[0], Vectors.sparse(n, [x[0] for x in r[1]], [x[1] for x in r[1]])))
+    rdd = rdd.cache()
     svd = IndexedRowMatrix(rdd).computeSVD(k, computeU=True)
     s = [float(x) for x in svd.s.toArray()]
     spark = weights.sparkSession

@@ -43,3 +43,29 @@ def test_tfidf_rows_are_unit_length(spark):
     assert len(v) <= 500 and sorted(r["term_id"] for r in v) == list(range(len(v)))
     n = docs.count()
     assert all(abs(r["idf"] - (math.log((1 + n) / (1 + r["df"])) + 1)) < 1e-12 for r in v)
+
+
+def test_reduce_dims_matches_numpy_svd(spark):
+    import numpy as np
+
+    from chunkwise.operators import models as MD
+
+    docs = TB.labelled_documents(spark, SF_SMALL)
+    w, vocab = FE.tfidf(docs, max_features=300, min_df=2, max_df=0.9, stop_words=["the", "of"])
+    k = 5
+    got = MD.reduce_dims(w, vocab, k=k).collect()
+    ids = {r["term"]: r["term_id"] for r in vocab.collect()}
+    doc_ids = sorted({r["doc_id"] for r in w.collect()})
+    row = {d: i for i, d in enumerate(doc_ids)}
+    a = np.zeros((len(doc_ids), len(ids)))
+    for r in w.collect():
+        a[row[r["doc_id"]], ids[r["term"]]] = r["weight"]
+    u, s, _ = np.linalg.svd(a, full_matrices=False)
+    us = np.zeros((len(doc_ids), k))
+    for r in got:
+        us[row[r["doc_id"]], r["dim"]] = r["value"]
+    # singular values: column norms of U*S; vectors equal up to sign
+    assert np.allclose(np.linalg.norm(us, axis=0), s[:k], rtol=1e-6)
+    for j in range(k):
+        ref = u[:, j] * s[j]
+        assert min(np.abs(us[:, j] - ref).max(), np.abs(us[:, j] + ref).max()) < 1e-6
