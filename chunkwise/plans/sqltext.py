@@ -10,9 +10,6 @@ from __future__ import annotations
 
 from chunkwise.functions.text import SECTION_TITLES, TOKEN_PATTERN, WS
 
-NL = "chr(10)"
-
-
 def strip(x: str) -> str:
     return f"regexp_replace({x}, '^{WS}+|{WS}+\\z', '', 'g')"
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chunkwise.operators import models as MD
 from chunkwise.session import checkpoint_dir
@@ -42,5 +41,3 @@ def document_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int
     return (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(sf_dir))
 
-
-_ = F
