@@ -145,7 +145,7 @@ VOCAB = f"""SELECT term, CAST(row_number() OVER (ORDER BY n DESC, term) + 3 AS I
 sql("build_vocab", VOCAB)
 sql("encode_ids", f"""
 WITH c AS (SELECT doc_id, {chunks('text')} AS c FROM ({KEPT}) d),
-e AS (SELECT doc_id, unnest(range(0, len(c))) AS chunk_no, unnest(c) AS chunk FROM c),
+e AS (SELECT doc_id, CAST(unnest(range(0, len(c))) AS INTEGER) AS chunk_no, unnest(c) AS chunk FROM c),
 t AS (SELECT doc_id, chunk_no, (regexp_extract_all(lower(chunk), '{S.TOKEN_PATTERN}'))[1:510] AS t FROM e),
 u AS (SELECT doc_id, chunk_no, unnest(range(1, len(t) + 1)) AS pos, unnest(t) AS term FROM t),
 i AS (SELECT u.doc_id, u.chunk_no, list(coalesce(v.term_id, 1) ORDER BY u.pos) AS ids

@@ -38,36 +38,36 @@ SPLIT = split_sql(MINCH)
 # ------------------------------------------------------------------ flagship
 sql("chunks_per_class", f"""
 WITH c AS (SELECT label, len({chunks('text')}) AS n FROM ({KEPT}) k)
-SELECT label, count(*) AS n_docs, round(avg(n), 6) AS avg_chunks, max(n) AS max_chunks FROM c GROUP BY label""")
+SELECT label, count(*) AS n_docs, round(avg(n), 6) AS avg_chunks, CAST(max(n) AS INTEGER) AS max_chunks FROM c GROUP BY label""")
 
 # ------------------------------------------------------------------ text
 sql("clean_text", f"SELECT doc_id, text FROM ({DOCS}) d")
 sql("mark_sections", f"SELECT doc_id, {S.mark('text')} AS marked FROM ({DOCS}) d")
 sql("split_units", f"""
 WITH u AS (SELECT doc_id, {S.units('text')} AS u FROM ({DOCS}) d)
-SELECT doc_id, unnest(range(1, len(u) + 1)) AS unit_no, unnest(u) AS unit FROM u""")
-sql("count_tokens", f"SELECT doc_id, {S.ntok('text')} AS n_tokens_raw, {S.ntok(S.clean('text'))} AS n_tokens "
+SELECT doc_id, CAST(unnest(range(1, len(u) + 1)) AS INTEGER) AS unit_no, unnest(u) AS unit FROM u""")
+sql("count_tokens", f"SELECT doc_id, CAST({S.ntok('text')} AS INTEGER) AS n_tokens_raw, CAST({S.ntok(S.clean('text'))} AS INTEGER) AS n_tokens "
                     f"FROM documents")
 sql("split_by_words", f"""
 WITH p AS (SELECT doc_id, {S.by_words('text', 64)} AS p FROM ({DOCS}) d)
-SELECT doc_id, unnest(range(1, len(p) + 1)) AS piece_no, unnest(p) AS piece FROM p""")
+SELECT doc_id, CAST(unnest(range(1, len(p) + 1)) AS INTEGER) AS piece_no, unnest(p) AS piece FROM p""")
 sql("split_long_unit", f"""
 WITH u AS (SELECT doc_id, {S.units('text')} AS u FROM ({DOCS}) d),
-l AS (SELECT doc_id, unnest(range(1, len(u) + 1)) AS unit_no, unnest(u) AS unit FROM u),
+l AS (SELECT doc_id, CAST(unnest(range(1, len(u) + 1)) AS INTEGER) AS unit_no, unnest(u) AS unit FROM u),
 p AS (SELECT doc_id, unit_no, {S.long_unit('unit', 40)} AS p FROM l)
-SELECT doc_id, unit_no, unnest(range(1, len(p) + 1)) AS piece_no, unnest(p) AS piece FROM p""")
+SELECT doc_id, unit_no, CAST(unnest(range(1, len(p) + 1)) AS INTEGER) AS piece_no, unnest(p) AS piece FROM p""")
 sql("build_chunks", f"""
 WITH c AS (SELECT doc_id, {chunks('text', 128, 8)} AS c FROM ({DOCS}) d)
-SELECT doc_id, unnest(range(1, len(c) + 1)) AS chunk_no, unnest(c) AS chunk FROM c""")
+SELECT doc_id, CAST(unnest(range(1, len(c) + 1)) AS INTEGER) AS chunk_no, unnest(c) AS chunk FROM c""")
 sql("explode_chunks", f"""
 WITH c AS (SELECT doc_id, {chunks('text')} AS c FROM ({KEPT}) d),
-e AS (SELECT doc_id, unnest(range(0, len(c))) AS chunk_no, unnest(c) AS chunk FROM c)
+e AS (SELECT doc_id, CAST(unnest(range(0, len(c))) AS INTEGER) AS chunk_no, unnest(c) AS chunk FROM c)
 SELECT doc_id, chunk_no, chunk, CAST({S.ntok('chunk')} AS INTEGER) AS n_tokens FROM e""")
 sql("pad_chunks", f"""
 WITH c AS (SELECT doc_id, {chunks('text')} AS c FROM ({DOCS}) d),
 p AS (SELECT doc_id, CASE WHEN len(c) = 0 THEN [''] ELSE c[1:4] END AS b FROM c),
 q AS (SELECT doc_id, list_concat(b, list_transform(range(len(b), 4), lambda x: '')) AS ch, len(b) AS r FROM p)
-SELECT doc_id, unnest(range(0, 4)) AS slot, unnest(ch) AS chunk,
+SELECT doc_id, CAST(unnest(range(0, 4)) AS INTEGER) AS slot, unnest(ch) AS chunk,
        unnest(list_transform(range(1, 5), lambda i: CASE WHEN i <= r THEN 1 ELSE 0 END)) AS mask FROM q""")
 ONE_LINE = "translate(text, chr(10) || chr(13), '  ')"
 sql("single_line", f"SELECT doc_id, {S.strip(ONE_LINE)} AS line FROM documents")
@@ -77,9 +77,9 @@ SELECT doc_id, '__label__' || CAST(label AS VARCHAR) || ' ' || {S.strip(ONE_LINE
 sql("cast_label", "SELECT doc_id, source, TRY_CAST(substr(source, 4) AS INTEGER) AS label FROM documents")
 
 # ------------------------------------------------------------------ filters
-sql("filter_min_chars", f"SELECT doc_id, length(text) AS n_chars FROM ({MINCH}) d")
-sql("filter_min_tokens", f"SELECT doc_id, {S.ntok('text')} AS n_tokens FROM ({DOCS}) d WHERE {S.ntok('text')} >= 50")
-sql("filter_max_tokens", f"SELECT doc_id, {S.ntok('text')} AS n_tokens FROM ({DOCS}) d WHERE {S.ntok('text')} <= 2040")
+sql("filter_min_chars", f"SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM ({MINCH}) d")
+sql("filter_min_tokens", f"SELECT doc_id, CAST({S.ntok('text')} AS INTEGER) AS n_tokens FROM ({DOCS}) d WHERE {S.ntok('text')} >= 50")
+sql("filter_max_tokens", f"SELECT doc_id, CAST({S.ntok('text')} AS INTEGER) AS n_tokens FROM ({DOCS}) d WHERE {S.ntok('text')} <= 2040")
 sql("filter_with_reason", f"SELECT {S.reason('text')} AS reason, count(*) AS n FROM ({DOCS}) d GROUP BY 1")
 sql("reject_empty", f"""
 SELECT doc_id, CASE WHEN text IS NULL OR {S.strip('text')} = '' THEN 'empty' ELSE 'ok' END AS status FROM documents""")
@@ -106,7 +106,7 @@ WITH s AS ({SPLIT})
 SELECT split, label, count(*) AS n FROM s GROUP BY split, label
 UNION ALL SELECT 'total' AS split, label, count(*) AS n FROM s GROUP BY label""")
 sql("label_set", f"""
-SELECT count(*) AS num_labels, string_agg(CAST(label AS VARCHAR), ',' ORDER BY label) AS labels
+SELECT CAST(count(*) AS INTEGER) AS num_labels, string_agg(CAST(label AS VARCHAR), ',' ORDER BY label) AS labels
 FROM (SELECT DISTINCT label FROM ({KEPT}) k) l""")
 sql("split_sizes", f"""
 SELECT count(*) AS total_samples, count(*) FILTER (WHERE split = 'train') AS train_samples,
@@ -117,7 +117,7 @@ SELECT split, round(avg(chunk_count), 6) AS avg_chunks, CAST(max(chunk_count) AS
 FROM ({SPLIT_CHUNKS}) c GROUP BY split""")
 sql("length_stats", f"""
 SELECT count(*) AS n_docs, round(avg(length(text)), 6) AS mean_chars, round(median(length(text)), 6) AS median_chars,
-       min(length(text)) AS min_chars, max(length(text)) AS max_chars FROM ({DOCS}) d""")
+       CAST(min(length(text)) AS INTEGER) AS min_chars, CAST(max(length(text)) AS INTEGER) AS max_chars FROM ({DOCS}) d""")
 sql("token_coverage", f"""
 SELECT count(*) AS n_docs, CAST(sum(CASE WHEN {S.ntok('text')} <= 2040 THEN 1 ELSE 0 END) AS BIGINT) AS n_within,
        round(avg(CASE WHEN {S.ntok('text')} <= 2040 THEN 1 ELSE 0 END), 6) AS share_within FROM ({MINCH}) d""")
@@ -128,15 +128,15 @@ ON c.label = cat.label""")
 sql("dataset_manifest", f"""
 WITH c AS ({SPLIT_CHUNKS})
 SELECT count(*) AS total_samples, count(*) FILTER (WHERE split = 'train') AS train_samples,
-       count(*) FILTER (WHERE split = 'test') AS test_samples, 0.1 AS test_size,
-       count(DISTINCT label) AS num_labels,
+       count(*) FILTER (WHERE split = 'test') AS test_samples, CAST(0.1 AS DOUBLE) AS test_size,
+       CAST(count(DISTINCT label) AS INTEGER) AS num_labels,
        round(coalesce(avg(chunk_count) FILTER (WHERE split = 'train'), 0.0), 6) AS train_avg_chunks,
        coalesce(CAST(max(chunk_count) FILTER (WHERE split = 'train') AS DOUBLE), 0.0) AS train_max_chunks,
        round(coalesce(avg(chunk_count) FILTER (WHERE split = 'test'), 0.0), 6) AS test_avg_chunks,
        coalesce(CAST(max(chunk_count) FILTER (WHERE split = 'test') AS DOUBLE), 0.0) AS test_max_chunks FROM c""")
 sql("chunk_records", f"""
 SELECT split, row_number() OVER (PARTITION BY split ORDER BY {S.okey('doc_id', 42, 'order')}, doc_id) - 1 AS id,
-       label, chunk_count, text FROM ({SPLIT_CHUNKS}) c""")
+       label, CAST(chunk_count AS INTEGER) AS chunk_count, text FROM ({SPLIT_CHUNKS}) c""")
 
 # ------------------------------------------------------------------ splits
 sql("stratified_split", f"SELECT doc_id, label, split FROM ({SPLIT}) s")
