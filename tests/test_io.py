@@ -112,3 +112,24 @@ def test_model_round_trip(spark):
     m2, meta = K.load_model(spark, d, defaults={"max_chunks": 8, "pad_size": 512})
     assert meta == {"max_chunks": 4, "pad_size": 512, "pooling": "attention"}
     assert m2.transform(spark.createDataFrame([(2,)], "label int")).collect()[0]["y"] == 3
+
+
+def test_read_documents_csv_multiline(spark):
+    d = scratch()
+    p = write(os.path.join(d, "raw.csv"),
+              'ID,Resume_str,Resume_html,Category\n'
+              '1,"Line one,\nline ""two""","<p>x</p>",HR\n'
+              '2,plain,"<b>\nhtml\n</b>",CHEF\n')
+    got = sorted(tuple(r) for r in R.read_documents_csv(spark, p).collect())
+    assert got == [("1", 'Line one,\nline "two"', "HR"), ("2", "plain", "CHEF")]
+
+
+def test_label_maps_written_as_json(spark):
+    from chunkwise.operators import stats as ST
+
+    d = scratch()
+    df = spark.createDataFrame([(3,), (1,), (3,), (12,)], "label int")
+    K.write_label_maps(ST.label_maps(df), d)
+    l2i = json.loads(spark.read.text(os.path.join(d, "label2id")).collect()[0][0])["label2id"]
+    i2l = json.loads(spark.read.text(os.path.join(d, "id2label")).collect()[0][0])["id2label"]
+    assert l2i == {"1": 1, "12": 12, "3": 3} and i2l == {"1": "1", "12": "12", "3": "3"}
