@@ -69,7 +69,11 @@ def tfidf(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_max: int
     the ``max_features`` terms with the largest corpus count (ties by term);
     weight ``tf * (ln((1 + N) / (1 + df)) + 1)``, L2-normalised per document.
     """
-    tc = term_counts(df, text, key, ngram_max, stop_words)
+    # Partition the documents by key once: the per-(key, term) counts and the
+    # per-key norm window are then both satisfied by that partitioning, so the
+    # exploded term rows (about twice the tokens) are never shuffled by key;
+    # only the per-term statistics shuffle, after map-side aggregation.
+    tc = term_counts(df.select(key, text).repartition(key), text, key, ngram_max, stop_words)
     n_docs = df.select(key).distinct().agg(F.count(F.lit(1))).scalar()  # scalar subquery, evaluated once
     stats = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")) \
         .withColumn("n_docs", n_docs)
