@@ -104,3 +104,18 @@ def test_clean_units_tokens_match_rules(spark):
         assert r["c"] == rules.clean(r["text"])
         assert list(r["u"]) == rules.units(r["c"])
         assert r["n"] == rules.ntok(r["text"])
+
+
+def test_total_chunks_reports_the_cut(spark):
+    # 14 words at budget 6 give 3 chunks; keeping 2 drops one
+    df = spark.createDataFrame([(W14,)], "t string")
+    r = df.select(T.chunk_table("t", max_tokens=6, max_chunks=2).alias("c")).collect()[0]["c"]
+    assert [c["chunk"] for c in r["chunks"]] == ["w0 w1 w2 w3 w4 w5", "w6 w7 w8 w9 w10 w11"]
+    assert r["total_chunks"] == 3 and r["units"] == 1
+
+
+def test_over_budget_unit_kept_whole(spark):
+    # a unit without commas or spaces past the budget stays one chunk
+    df = spark.createDataFrame([("a-b-c-d-e-f-g. Next",)], "t string")
+    r = df.select(T.chunk_table("t", max_tokens=5, max_chunks=4).alias("c")).collect()[0]["c"]
+    assert [(c["chunk"], c["n_tokens"]) for c in r["chunks"]] == [("a-b-c-d-e-f-g.", 14), ("Next", 1)]
