@@ -138,7 +138,8 @@ def dataset_manifest(split_df: DataFrame, chunk_count: str = "chunk_count", labe
     )
 
 
-# Output file names recorded in the manifest.
+# Output file names recorded in the manifest (the manifest's
+# chunk-statistics key is "hbert", also a fixed format value).
 OUTPUT_NAMES = {
     "train_split": "train_split.txt",
     "test_split": "test_split.txt",

@@ -117,6 +117,9 @@ def default_categories(spark: SparkSession, n: int = DEFAULT_N_CATEGORIES) -> Da
     return spark.range(n).select(F.col("id").cast("int").alias("label"), F.col("id").cast("string").alias("name"))
 
 
+# ---------------------------------------------------------------------------
+# Column names of the original four-column document CSV.
+# ---------------------------------------------------------------------------
 RAW_CSV_SCHEMA = TY.StructType([
     TY.StructField("ID", TY.StringType()),
     TY.StructField("Resume_str", TY.StringType()),
