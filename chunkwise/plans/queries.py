@@ -231,12 +231,11 @@ def q_split_sizes(spark, sf):
 
 
 def _split_chunks(spark, sf) -> DataFrame:
-    """Chunk counts per split document.  Chunking is per row and does not
-    depend on the split, so it runs before the split's shuffle, in the
-    scan-side stage, and only the count travels through the shuffle."""
-    d = FL.filter_min_chars(TB.labelled_documents(spark, sf))
-    d = T.with_chunks(d, "text", "ch").withColumn("chunk_count", F.size("ch")).drop("ch")
-    return SP.stratified_split(d)
+    """Chunk counts per split document.  Chunking runs after the split: the
+    rank's bucket-size branch reads only keys, so the chunk generator sits
+    on the main branch alone."""
+    d = T.with_chunks(split_documents(spark, sf), "text", "ch")
+    return d.withColumn("chunk_count", F.size("ch"))
 
 
 @query("chunk_stats")
