@@ -19,3 +19,16 @@ def test_every_query_has_oracle_or_is_rows_only():
     assert set(o) <= set(q)
     assert set(q) - set(o) == ROWS_ONLY
     assert len(q) == 60
+
+
+def test_results_do_not_depend_on_ansi_mode(spark):
+    q = E.queries()
+    sf = "/root/testdata/sf0.001"
+    keys = ["split_long_unit", "pad_chunks", "cast_label"]
+    on = {k: sorted(map(tuple, q[k](spark, sf).collect())) for k in keys}
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        off = {k: sorted(map(tuple, q[k](spark, sf).collect())) for k in keys}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert on == off
