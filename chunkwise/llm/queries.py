@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkwise.llm import decontaminate, piece_codec, quality_rules, secret_scan, sharding
+from chunkwise.llm import (
+    decontaminate,
+    line_dedup,
+    order_minhash,
+    piece_codec,
+    quality_fm,
+    quality_rules,
+    secret_scan,
+    sharding,
+)
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -20,6 +29,13 @@ def table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op2_quality_fm(spark, sf):
+    docs = table(spark, sf, "documents")
+    d = quality_fm.score(docs.select("doc_id", "text"), quality_fm.train(docs, table(spark, sf, "labels")))
+    return d.select("doc_id", quality_fm.held_out().alias("held_out"), "score", (F.col("score") >= quality_fm.CUT).cast("int").alias("predicted"))
+
+
 @query
 def op3_decontaminate(spark, sf):
     d = decontaminate.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -46,3 +62,14 @@ def op6_secret_scan(spark, sf):
 @query
 def op7_quality_rules(spark, sf):
     return quality_rules.evaluate(table(spark, sf, "documents"))
+
+
+@query
+def op9_line_dedup(spark, sf):
+    d = line_dedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return d.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query
+def op10_order_minhash(spark, sf):
+    return order_minhash.classes(table(spark, sf, "documents"))
