@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chunkwise.llm import (
     decontaminate,
+    license_scan,
     line_dedup,
     order_minhash,
     piece_codec,
@@ -14,6 +15,7 @@ from chunkwise.llm import (
     quality_rules,
     secret_scan,
     sharding,
+    token_count,
 )
 
 QUERIES: dict = {}
@@ -29,6 +31,11 @@ def table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_token_count(spark, sf):
+    return token_count.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op2_quality_fm(spark, sf):
     docs = table(spark, sf, "documents")
@@ -64,6 +71,11 @@ def op7_quality_rules(spark, sf):
     return quality_rules.evaluate(table(spark, sf, "documents"))
 
 
+@query
+def op8_license_scan(spark, sf):
+    return license_scan.scan(table(spark, sf, "documents"))
+
+
 @query
 def op9_line_dedup(spark, sf):
     d = line_dedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
