@@ -76,14 +76,14 @@ def clean_text(c: Column | str) -> Column:
     strip.  The reference's intermediate CR/LF/tab collapsing steps are implied
     by the final collapse and therefore not repeated.
     """
-    s = strip_ws(c)
+    s = strip_ws(F.regexp_replace(_col(c), f"{WS}+", " "))  # runs first: every later pass is linear
     s = F.regexp_replace(s, '^"+|"+\\z', "")
     s = F.replace(s, F.lit(MOJIBAKE_COMMA), F.lit(","))
     s = F.replace(s, F.lit(MOJIBAKE_SPACE), F.lit(" "))
+    s = F.regexp_replace(s, f"{WS}+", " ")
     # "no whitespace before a comma" and "one space after it" in one pass:
     # whitespace on either side of a comma can only end up as that one space
     s = F.regexp_replace(s, f"{WS}*,{WS}*", ", ")
-    s = F.regexp_replace(s, f"{WS}+", " ")
     return strip_ws(s)
 
 

@@ -42,6 +42,12 @@ def confusion_matrix(pairs: DataFrame, labels: DataFrame, label: str = "label")
         "true", "pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
+def all_cells(pairs: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
+    """Cells of the label list (zeros included) and every other cell of the
+    pairs, so that support, predictions and totals lose no row."""
+    return label_spine(labels, label).withColumn("n", F.lit(0).cast("bigint")).union(confusion_counts(pairs))
+
+
 def per_class(cm: DataFrame) -> DataFrame:
     """``label, precision, recall, f1, support`` (+ ``predicted``, ``tp``)."""
     g = cm.groupBy("true").agg(F.sum(F.when(F.col("true") == F.col("pred"), F.col("n")).otherwise(0)).alias("tp"),
@@ -60,7 +66,8 @@ def per_class(cm: DataFrame) -> DataFrame:
 def classification_report(pairs: DataFrame, labels: DataFrame, names: DataFrame | None = None,
                           label: str = "label") -> DataFrame:
     """Per-class rows over all listed labels, with category names if given."""
-    rep = per_class(confusion_matrix(pairs, labels, label))
+    listed = labels.select(F.col(label).alias("label")).distinct()
+    rep = per_class(all_cells(pairs, labels, label)).join(listed, "label", "left_semi")
     if names is not None:
         rep = rep.join(names, "label", "left")  # small; AQE broadcasts after measuring
     return rep
@@ -70,7 +77,8 @@ def metrics_summary(pairs: DataFrame, labels: DataFrame, label: str = "label") -
     """F10-F13 in one row: accuracy; micro P/R/F1; macro over classes present
     in truth or prediction (``macro_*``) and over all listed classes
     (``macro_all_*``, the report's ``macro avg``); support-weighted P/R/F1."""
-    rep = per_class(confusion_matrix(pairs, labels, label))
+    listed = labels.select(F.col(label).alias("label")).distinct().withColumn("_in", F.lit(True))
+    rep = per_class(all_cells(pairs, labels, label)).join(listed, "label", "left")
     present = (F.col("support") > 0) | (F.col("predicted") > 0)
 
     def pavg(c: str) -> Column:
@@ -83,8 +91,8 @@ def metrics_summary(pairs: DataFrame, labels: DataFrame, label: str = "label") -
         _div(tp, sup).alias("accuracy"),
         mp.alias("micro_precision"), mr.alias("micro_recall"), _f1(mp, mr).alias("micro_f1"),
         pavg("precision").alias("macro_precision"), pavg("recall").alias("macro_recall"), pavg("f1").alias("macro_f1"),
-        F.avg("precision").alias("macro_all_precision"), F.avg("recall").alias("macro_all_recall"),
-        F.avg("f1").alias("macro_all_f1"),
+        F.avg(F.when(F.col("_in"), F.col("precision"))).alias("macro_all_precision"), F.avg(F.when(F.col("_in"), F.col("recall"))).alias("macro_all_recall"),
+        F.avg(F.when(F.col("_in"), F.col("f1"))).alias("macro_all_f1"),
         _div(F.sum(F.col("precision") * F.col("support")), sup).alias("weighted_precision"),
         _div(F.sum(F.col("recall") * F.col("support")), sup).alias("weighted_recall"),
         _div(F.sum(F.col("f1") * F.col("support")), sup).alias("weighted_f1"),

@@ -27,6 +27,13 @@ SEED = 42
 BUCKET_DIGITS = 4  # 65,536 order-preserving buckets per class
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a null key finds the null key of the other side."""
+    r = right.withColumnsRenamed({k: f"_r{k}" for k in keys})
+    cond = [left[k].eqNullSafe(r[f"_r{k}"]) for k in keys]
+    return left.join(r, cond, how).drop(*[f"_r{k}" for k in keys])
+
+
 def order_key(key: str | Column, seed: int = SEED, salt: str | None = None) -> Column:
     """Seeded pseudo-random order: md5 of ``seed|salt|key`` (hex string)."""
     k = F.col(key) if isinstance(key, str) else key
@@ -61,7 +68,7 @@ def exact_rank(df: DataFrame, partition_by: list[str], okey: Column, tie: str, n
         offs = offs.withColumn(with_total, F.sum("_c").over(wt))
         cols.append(with_total)
     # small side: AQE broadcasts it once its real size is known
-    d = d.join(offs.select(*cols), on=keys, how="inner")
+    d = null_safe_join(d, offs.select(*cols), keys)
     return d.withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_ok", "_b", "_off", "_rn", "_c")
 
 

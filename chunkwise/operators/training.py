@@ -16,6 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chunkwise.operators.splits import null_safe_join
+from chunkwise.session import checkpoint_dir
+
 # ---------------------------------------------------------------------------
 # Reference defaults.
 # ---------------------------------------------------------------------------
@@ -28,9 +31,14 @@ _U = Window.unboundedPreceding
 
 
 def assign_blocks(df: DataFrame, run: str, order: list[str], n_blocks: int | None = None) -> DataFrame:
-    """Range-partition on (run, order...) and tag each row with its block."""
+    """Range-partition on (run, order...) and tag each row with its block.
+
+    Range bounds are sampled per exchange, so the tagged rows are written to
+    the shared checkpoint folder once and every branch reads those.
+    """
+    checkpoint_dir(df.sparkSession)
     n = n_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, run, *order).withColumn("_blk", F.spark_partition_id())
+    return df.repartitionByRange(n, run, *order).withColumn("_blk", F.spark_partition_id()).checkpoint()
 
 
 def block_prefix(df: DataFrame, run: str, order: list[str], specs: dict[str, tuple[str, Column, bool]]) -> DataFrame:
@@ -45,7 +53,7 @@ def block_prefix(df: DataFrame, run: str, order: list[str], specs: dict[str, tup
     roll = {"sum": F.sum, "max": F.max, "count": F.sum}
     offs = blocks.select(run, "_blk", *[roll[k](f"_b_{n}").over(wb).alias(f"_o_{n}") for n, (k, _, _) in specs.items()])
     # one row per (run, block): at most #runs + #blocks rows; AQE broadcasts it
-    d = df.join(offs, [run, "_blk"], "left")
+    d = null_safe_join(df, offs, [run, "_blk"], "left")
     wl = Window.partitionBy(run, "_blk").orderBy(*order)
     for n, (k, v, inclusive) in specs.items():
         local = agg[k](v).over(wl.rowsBetween(_U, 0 if inclusive else -1))

@@ -67,14 +67,10 @@ def attention_score(x: Column, w: list[list[float]], b: list[float], v: list[flo
     return dot(const_vector(v), h)
 
 
-def _bounded(df: DataFrame, chunk_no: str, max_chunks: int | None) -> DataFrame:
-    return df.where(F.col(chunk_no) < max_chunks) if max_chunks else df
-
-
 def pool_mean(df: DataFrame, doc: str = "doc", embedding: str = "embedding", mask: str | None = "mask",
-              chunk_no: str = "chunk_no", max_chunks: int | None = 4, out: str = "doc_vec") -> DataFrame:
+              out: str = "doc_vec") -> DataFrame:
     """M6: mean over real chunks, divisor at least 1; without a mask a plain mean."""
-    d = _bounded(df, chunk_no, max_chunks)
+    d = df
     m = F.col(mask).cast("double") if mask else F.lit(1.0)
     g = d.groupBy(doc).agg(F.collect_list(F.struct(F.col(embedding).alias("x"), m.alias("m"))).alias("_c"))
 
@@ -89,11 +85,11 @@ def pool_mean(df: DataFrame, doc: str = "doc", embedding: str = "embedding", mas
 
 
 def pool_attention(df: DataFrame, w: list[list[float]], b: list[float], v: list[float], doc: str = "doc",
-                   embedding: str = "embedding", mask: str | None = "mask", chunk_no: str = "chunk_no",
-                   max_chunks: int | None = 4, out: str = "doc_vec") -> DataFrame:
+                   embedding: str = "embedding", mask: str | None = "mask",
+                   out: str = "doc_vec") -> DataFrame:
     """M7: score each chunk, mask padding with -1e4, softmax over the
     document's chunks, weighted sum of chunk vectors."""
-    d = _bounded(df, chunk_no, max_chunks)
+    d = df
     score = attention_score(F.col(embedding), w, b, v)
     if mask:
         score = F.when(F.col(mask) == 0, F.lit(MASKED_SCORE)).otherwise(score)

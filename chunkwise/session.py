@@ -46,6 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="chunkwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     if spark.sparkContext.getCheckpointDir() is None:

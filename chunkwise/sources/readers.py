@@ -48,7 +48,7 @@ def read_labeled(spark: SparkSession, path: str, text_col: str = "text", label_c
     """
     first = _first_line(spark, path)
     names = first.split("\t") if first is not None else []
-    lines = spark.read.text(path)
+    lines = spark.read.text(path).where(T.strip_ws(F.col("value")) != "")
     if text_col in names and label_col in names:
         ti, li = names.index(text_col), names.index(label_col)
         lines = lines.where(F.col("value") != first)
