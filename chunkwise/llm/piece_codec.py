@@ -2,7 +2,9 @@
 
 A unit is a maximal run of word-start marks with the characters up to the next one; no piece
 holds a mark after another character (checked at load), so units encode independently and their
-ids are memoised in a bounded cache.  Inside a unit, an Aho-Corasick automaton gives the pieces
+ids are memoised in a bounded cache.  Units also end before punctuation that no piece holds after a
+letter, and a long unit (scripts without spaces) is cut wherever no piece holds the two neighbouring
+characters, as no merge can cross there.  Inside a unit, an Aho-Corasick automaton gives the pieces
 starting at each position, the longest is tried first, a piece is kept if re-merging it with its
 left neighbour gives back the two, and a bitfield marks positions from which encoding failed.
 Characters outside the vocabulary become byte ids and separate what stands around them.
@@ -14,13 +16,15 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 MARK = "▁"
-CACHE = 400_000  # units kept per worker; the cache is emptied when full
+CACHE = 600_000  # units kept per worker; the cache is emptied when full
+LONG = 64  # longer units are cut into parts; longer parts are not kept
 _LOADED: dict = {}
 
 
@@ -40,11 +44,19 @@ class PieceCodec:
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids):
             raise ValueError("a piece holds a word-start mark after another character")
         self.known = {p for p in self.ids if len(p) == 1}
+        self.joins = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.trie = ahocorasick.Automaton()
         for p in self.ids:
-            self.trie.add_word(p, p)
+            self.trie.add_word(p, (p, len(p)))
         self.trie.make_automaton()
-        self.units = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        ends, before = set(string.punctuation + "\n"), 0
+        while before != len(ends):  # marks that no piece holds after another kind of character
+            before = len(ends)
+            ends -= {j[1] for j in self.joins if j[0] != MARK and j[0] not in ends}
+        e = re.escape("".join(sorted(ends)))
+        self.units = (re.compile(f"{MARK}*[^{MARK}{e}]+|{MARK}*[{e}]+[^{MARK}{e}]*|{MARK}+") if e
+                      else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+"))
+        self.whole = {p for p in self.ids if self.merge(p) == [p]}
         self.pairs: dict = {}
         self.cache: dict = {}
 
@@ -72,37 +84,44 @@ class PieceCodec:
     def span(self, s: str) -> list[str]:
         """Backtracking over a span of known characters."""
         n = len(s)
+        if n == 1:
+            return [s]
         at: list[list[str]] = [[] for _ in range(n)]
-        for end, p in self.trie.iter(s):
-            at[end - len(p) + 1].append(p)  # shorter pieces come first
+        for end, (p, size) in self.trie.iter(s):
+            at[end - size + 1].append(p)  # shorter pieces come first
         failed = bytearray(n + 1)
         out: list[str] = []
-        tried: list[int] = [len(at[0])]
-        pos = 0
+        untried, pos, pairs = [at[0]], 0, self.pairs
         while pos < n:
-            k, left = tried[-1], out[-1] if out else None
-            got = None
-            while k:
-                k -= 1
-                p = at[pos][k]
-                if not failed[pos + len(p)] and (self.fits(left, p) if left else self.merge(p) == [p]):
+            options, left, got = untried[-1], out[-1] if out else None, None
+            while options:
+                p = options.pop()
+                if failed[pos + len(p)]:
+                    continue
+                if left is None:
+                    ok = p in self.whole
+                else:
+                    ok = pairs.get((left, p))
+                    if ok is None:
+                        ok = self.fits(left, p)
+                if ok:
                     got = p
                     break
-            tried[-1] = k
-            if got is None:
-                if not out:
-                    return self.merge(s)
+            if got is not None:
+                out.append(got)
+                pos += len(got)
+                if pos < n:
+                    untried.append(at[pos].copy())
+            elif out:
                 failed[pos] = 1
-                tried.pop()
+                untried.pop()
                 pos -= len(out.pop())
             else:
-                out.append(got)
-                pos += len(got)
-                tried.append(len(at[pos]) if pos < n else 0)
+                return self.merge(s)
         return out
 
-    def unit(self, u: str) -> tuple[str, str, int]:
-        """Ids joined by commas, decoded text, number of ids."""
+    def unit(self, u: str) -> tuple[str, str | None, int]:
+        """Ids joined by commas, decoded text (None: the unit itself), number of ids."""
         ids: list[int] = []
         run: list[str] = []
 
@@ -120,7 +139,14 @@ class PieceCodec:
                 flush()
                 ids.extend(self.byte[b] for b in c.encode("utf-8"))
         flush()
-        return ",".join(map(str, ids)), self.text(ids), len(ids)
+        back = self.text(ids)
+        return ",".join(map(str, ids)), None if back == u.replace(MARK, " ") else back, len(ids)
+
+    def parts(self, u: str) -> list[str]:
+        """Cuts where no piece holds both neighbours; byte pieces on both sides of one decode alone."""
+        joins = self.joins
+        at = [0, *(i for i in range(1, len(u)) if u[i - 1:i + 1] not in joins), len(u)]
+        return [u[a:b] for a, b in zip(at, at[1:], strict=False)]
 
     def text(self, ids) -> str:
         out, raw = [], bytearray()
@@ -142,17 +168,18 @@ class PieceCodec:
             return 0, "", ""
         cache, ids, out, n = self.cache, [], [], 0
         for u in self.units.findall(MARK + text.replace(" ", MARK)):
-            got = cache.get(u)
-            if got is None:
-                got = self.unit(u)
-                if len(u) <= 64:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[u] = got
-            ids.append(got[0])
-            out.append(got[1])
-            n += got[2]
-        return n, ",".join(ids), "".join(out)[1:]
+            for part in (u,) if len(u) <= LONG else self.parts(u):
+                got = cache.get(part)
+                if got is None:
+                    got = self.unit(part)
+                    if len(part) <= LONG:
+                        if len(cache) >= CACHE:
+                            cache.clear()
+                        cache[part] = got
+                ids.append(got[0])
+                out.append(part if got[1] is None else got[1])
+                n += got[2]
+        return n, ",".join(ids), "".join(out).replace(MARK, " ")[1:]
 
 
 def codec(path: str) -> PieceCodec:
