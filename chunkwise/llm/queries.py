@@ -9,6 +9,7 @@ from chunkwise.llm import (
     decontaminate,
     license_scan,
     line_dedup,
+    oracle,
     order_minhash,
     piece_codec,
     quality_fm,
@@ -19,7 +20,7 @@ from chunkwise.llm import (
 )
 
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.ORACLE)
 
 
 def query(fn):
