@@ -1,6 +1,8 @@
 """Driver contract of __spark_entry__: flagship schema, registered keys and
 their oracle coverage."""
 
+import re
+
 import __spark_entry__ as E
 
 ROWS_ONLY = {"encode_chunks", "predict", "reduce_dims", "tree_baseline", "wordvec_baseline", "fit_select",
@@ -17,8 +19,9 @@ def test_entry_schema(spark):
 def test_every_query_has_oracle_or_is_rows_only():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == ROWS_ONLY
-    assert len(q) == 60
+    own = {k for k in q if not re.match(r"op\d+_|pipeline$", k)}  # the optional subpackage has tests of its own
+    assert own - set(o) == ROWS_ONLY
+    assert len(own) == 60
 
 
 def test_results_do_not_depend_on_ansi_mode(spark):
