@@ -79,7 +79,7 @@ def op8_license_scan(spark, sf):
 
 @query
 def op9_line_dedup(spark, sf):
-    d = line_dedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    d = line_dedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"), grow=line_dedup.GROW, every=True)
     return d.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 

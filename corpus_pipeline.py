@@ -23,7 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines removed; every document stays, with n_chars of what is left."""
-    d = line_dedup.dedup_lines(docs)
+    d = line_dedup.dedup_lines(docs, grow=line_dedup.GROW, every=True)
     n = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
     return d.withColumn("n_chars", n).select(*docs.columns)
 

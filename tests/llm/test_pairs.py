@@ -55,6 +55,37 @@ def test_line_dedup_brute_force(spark):
     assert got == want
 
 
+def test_line_dedup_whole(spark):
+    """Edits that grow with the line, repeats of any length, and rows equal in id and text."""
+    r = random.Random(6)
+    spell = lambda n: "".join(r.choice("abcdefgh é") for _ in range(n))
+
+    def vary(s, most):
+        for _ in range(r.randint(0, most)):
+            p = r.randrange(len(s))
+            s = s[:p] + r.choice(["", "x", "yz"]) + s[p + r.randint(0, 1):]
+        return s
+
+    bases = [spell(n) for n in (20, 40, 60, 63, 64, 66, 100, 127, 130, 200, 257, 300, 520, 600)] + ["ab" * 70, "=" * 150]
+    rows = [(i, "\n".join(vary(b, 2 + len(b) // 24) for b in r.sample(bases, 6)) + "\n}\n ") for i in range(40)]
+    rows += [(50, rows[0][1]), (None, "once\n\ntwo"), (None, "once\n\ntwo"), (60, "twice"), (60, "twice")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), grow=line_dedup.GROW, every=True).collect()
+    firsts, seen, want = [], set(), []
+    rest = sorted([x for x in rows if x[0] is not None and x[0] != 60])
+    for d, t in [(None, "once\n\ntwo")] * 2 + rest + [(60, "twice")] * 2:
+        kept = []
+        for x in t.split("\n"):
+            gone = x.strip() and (x in seen or len(x) >= 32 and any(
+                len(y) >= 32 and line_dedup.within(x, y, line_dedup.allowed(max(len(x), len(y)), 2, line_dedup.GROW)) for y in firsts))
+            if x not in seen:
+                seen.add(x)
+                firsts.append(x)
+            kept += [] if gone else [x]
+        want.append((d, "\n".join(kept)))
+    assert sorted(map(str, [(x.doc_id, x.text) for x in got])) == sorted(map(str, want))
+    assert line_dedup.allowed(600, 2, line_dedup.GROW) == 19
+
+
 @pytest.mark.parametrize("small", [32, 0])
 def test_near_duplicates_brute_force(spark, monkeypatch, small):
     monkeypatch.setattr(order_minhash, "SMALL", small)
