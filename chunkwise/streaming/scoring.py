@@ -36,8 +36,11 @@ def run_to_table(spark: SparkSession, scored: DataFrame, name: str = "scores") -
 
 
 def document_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """The driver's ``documents`` table as a file stream."""
-    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(sf_dir))
-
+    """The driver's ``documents`` table as a file stream: all files of a folder, or the one file."""
+    table = f"{sf_dir}/documents.parquet"
+    stream = (spark.readStream.schema(spark.read.parquet(table).schema)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    if path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(path).isDirectory():
+        return stream.parquet(table)
+    return stream.option("pathGlobFilter", "documents.parquet").parquet(sf_dir)

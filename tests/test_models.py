@@ -20,6 +20,14 @@ def test_stream_equals_batch(spark):
     assert out.exceptAll(batch).count() == 0 and batch.exceptAll(out).count() == 0
 
 
+def test_stream_reads_every_part(spark, tmp_path):
+    docs = TB.raw_documents(spark, SF_SMALL)
+    docs.repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    stream = SC.document_stream(spark, str(tmp_path)).select("doc_id")
+    out = spark.read.parquet(SC.run_to_table(spark, stream))
+    assert out.count() == docs.count() > 0 and out.exceptAll(docs.select("doc_id")).count() == 0
+
+
 def test_predict_rejects_empty(spark):
     df = spark.createDataFrame([(1, "   "), (2, "Some text. Another sentence here.")], "doc_id int, text string")
     got = MD.predict(df, MD.default_model(5)).collect()
