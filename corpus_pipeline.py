@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkwise.llm import decontaminate, line_dedup, order_minhash, piece_codec, quality_fm
+from chunkwise.llm.store import stored
 from chunkwise.session import checkpoint_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -28,17 +29,26 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return d.withColumn("n_chars", n).select(*docs.columns)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with ``row_``, a number of its own for every row, written once."""
+    return stored(docs.withColumn("row_", F.monotonically_increasing_id()), "keyed")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each class; rows without an id stay."""
-    c = order_minhash.classes(docs).where("class_id <> doc_id").select("doc_id").distinct()
-    return docs.join(c, "doc_id", "left_anti").select(*docs.columns)
+    """The least row of each class by (doc_id, text hash), rows without an id last; decided by row."""
+    k = keyed(docs)
+    c = order_minhash.classes(k.select(F.col("row_").alias("doc_id"), "text")).withColumnRenamed("doc_id", "row_")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("th"), "row_")
+    keep = k.select("row_", at.alias("at")).join(c, "row_").groupBy("class_id").agg(F.min("at").alias("at"))
+    return k.join(keep.select(F.col("at.row_").alias("row_")), "row_", "left_semi").select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark window."""
-    bad = (decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-           .where("contaminated").select(F.col("doc_id").alias("bad")).distinct())
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad")), "left_anti").select(*docs.columns)
+    """Documents that hold no benchmark window; decided by row."""
+    k = keyed(docs)
+    bad = (decontaminate.decontaminate(k.select(F.col("row_").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+           .where("contaminated").select(F.col("doc_id").alias("row_")))
+    return k.join(bad, "row_", "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

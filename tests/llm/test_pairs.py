@@ -147,3 +147,18 @@ def test_quality_held_out(spark):
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and 0 < out.count() < 200
+
+
+def test_pipeline_decides_by_row(spark, tmp_path):
+    r = random.Random(8)
+    say = lambda n: " ".join(f"v{r.randrange(900)}" for _ in range(n))
+    a, b, c, d = say(90), say(90), say(90), say(90)
+    rows = [(1, a), (2, a + " end"), (2, b), (3, c), (3, c), (None, d), (None, d), (None, a), (4, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(9, " ".join(d.split()[20:40]))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    look = lambda x: sorted(map(str, ((v.doc_id, v.text) for v in x.collect())))
+    near = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert near.columns == docs.columns
+    assert look(near) == sorted(map(str, [(1, a), (2, b), (3, c), (None, d), (4, None), (None, None)]))
+    clean = corpus_pipeline.benchmark(spark, docs, str(tmp_path))
+    assert look(clean) == sorted(map(str, [x for x in rows if x[1] != d]))
