@@ -1,15 +1,22 @@
-"""License scan: lines and whole texts against licence templates by Dice over word bigrams (native).
+"""License scan: word windows against licence notices and whole licence texts by Dice over word bigrams.
 
-A unit (each line, and the whole text) is lower-cased to words ``[a-z0-9.]+``, version numbers kept.
-Dice >= t needs a bigram count between t / (2 - t) and (2 - t) / t times the template's, so other
-units are pruned before any comparison.  The best template wins, ties by name.  Null and empty
-texts match nothing; each input row gives one row; extra columns are ignored.
+A text is lower-cased to words ``[a-z0-9.]+`` over line ends, version numbers kept.  Dice >= t needs
+t / (2 - t) of the template's bigrams, so a text with fewer of them is pruned at once, and a window
+holds at most (2 - t) / t times as many distinct bigrams as the template.  Within that bound every
+window that starts and ends with a bigram of the template is compared (others are no better).  Units
+are the windows with Dice >= t, best first (ties by name, then place), that share no word; equal
+ones count once.  Null and empty texts match nothing; each input row gives one row; extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from itertools import repeat
+from pathlib import Path
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,38 +30,97 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+#: Whole licence texts, one file each.
+TEXTS = {p.stem: p.read_text(encoding="utf-8") for p in sorted(Path(__file__).with_name("licenses").glob("*.txt"))}
 DICE = 0.8
+WORD = re.compile("[a-z0-9.]+")
+
+
+def words(text: str) -> list[str]:
+    return [x for x in (w.strip(".") for w in WORD.findall(text.lower())) if x]
 
 
 def bigrams(text: str) -> list[str]:
-    w = [x.strip(".") for x in re.findall("[a-z0-9.]+", text.lower()) if x.strip(".")]
+    w = words(text)
     return sorted({f"{a} {b}" for a, b in zip(w, w[1:], strict=False)})
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = DICE) -> DataFrame:
+class Scanner:
+    """Windows of a text that match a template."""
+
+    def __init__(self, templates: list[tuple[str, str]], least: float):
+        self.least, self.names = least, [k for k, _ in templates]
+        sized = [bigrams(v) for _, v in templates]
+        self.n = [len(v) for v in sized]
+        self.of: dict[str, int] = {}
+        for v in sized:
+            for g in v:
+                for w in g.split(" "):
+                    self.of.setdefault(w, len(self.of))
+        self.v = len(self.of) + 1
+        code = lambda g: [self.of[w] for w in g.split(" ")]
+        pairs = sorted({(a * self.v + b, t) for t, v in enumerate(sized) for a, b in map(code, v)})
+        self.key = np.array(sorted({k for k, _ in pairs}), np.int64)
+        self.has = np.zeros((len(self.key), len(templates)), bool)  # which template holds which bigram
+        for k, t in pairs:
+            self.has[np.searchsorted(self.key, k), t] = True
+
+    def windows(self, hit: np.ndarray, before: np.ndarray, n: int) -> list[tuple[float, int, int]]:
+        """(dice, first, last bigram) of the best window from each start; ``before``: where the same bigram was last."""
+        out, most = [], (2 - self.least) / self.least * n
+        for i in np.flatnonzero(hit).tolist():
+            size = int(most) + 64
+            while True:
+                new = before[i:i + size] < i
+                d = np.cumsum(new)
+                if d[-1] > most or i + size >= len(hit):
+                    break
+                size *= 2
+            m = np.cumsum(new & hit[i:i + size])
+            dice = 2.0 * m / (d + n)
+            j = int(dice.argmax())
+            if dice[j] >= self.least:
+                out.append((float(dice[j]), i, i + j))
+        return out
+
+    def __call__(self, text: str | None) -> tuple[int, str | None, float | None]:
+        w = words(text or "")
+        if len(w) < 2 or not len(self.key):
+            return 0, None, None
+        c = np.fromiter(map(self.of.get, w, repeat(self.v - 1)), np.int64, len(w))
+        g = c[:-1] * self.v + c[1:]
+        at = np.minimum(np.searchsorted(self.key, g), len(self.key) - 1)
+        known = (c[:-1] < self.v - 1) & (c[1:] < self.v - 1) & (self.key[at] == g)
+        if not known.any():
+            return 0, None, None
+        enough = self.has[np.unique(at[known])].sum(0) >= np.array(self.n) * (self.least / (2 - self.least)) - 1e-9
+        if not enough.any():
+            return 0, None, None
+        last: dict[tuple[str, str], int] = {}
+        before = np.empty(len(g), np.int64)
+        for i, x in enumerate(zip(w, w[1:], strict=False)):
+            before[i] = last.get(x, -1)
+            last[x] = i
+        found = sorted((-d, self.names[t], i, j) for t in np.flatnonzero(enough).tolist()
+                       for d, i, j in self.windows(known & self.has[at, t], before, self.n[t]))
+        taken, units = np.zeros(len(w), bool), set()
+        for _, _, i, j in found:
+            if not taken[i:j + 2].any():
+                taken[i:j + 2] = True
+                units.add(" ".join(w[i:j + 2]))
+        return (len(units), found[0][1], -found[0][0]) if found else (0, None, None)
+
+
+def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = DICE, texts: dict[str, str] = TEXTS) -> DataFrame:
     """doc_id, n_license_units, license (best; null: none), dice."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    units = F.array_distinct(F.concat(F.split(text, "\n"), F.array(text)))
-    sized = {k: bigrams(v) for k, v in templates.items()}
-    top = max(map(len, sized.values())) * (2 - least) / least + 1
-    # no more words than delimiters plus one: longer units are pruned without being cut into words
-    short = F.filter(units, lambda u: F.size(F.split(u, r"[^A-Za-z0-9.]+", int(top * 4) + 4)) <= top * 4)
-
-    def grams(u):
-        w = F.filter(F.transform(F.split(F.lower(u), "[^a-z0-9.]+"), lambda x: F.btrim(x, F.lit("."))), lambda x: x != "")
-        return F.transform(F.array(w), lambda v: F.array_distinct(F.zip_with(
-            F.slice(v, 1, F.greatest(F.size(v) - 1, F.lit(0))), F.slice(v, 2, F.greatest(F.size(v) - 1, F.lit(0))),
-            lambda a, b: F.concat_ws(" ", a, b))))[0]
-
-    def best(g):
-        n, c = F.size(g), []
-        for name, t in sorted(sized.items()):
-            fits = (n >= len(t) * least / (2 - least)) & (n <= len(t) * (2 - least) / least)
-            d = F.lit(2.0) * F.size(F.array_intersect(g, F.array(*map(F.lit, t)))) / (n + len(t))
-            c.append(F.when(fits, F.struct((-d).alias("d"), F.lit(name).alias("name"))))
-        return F.least(*c)
-
-    hits = F.filter(F.transform(F.transform(short, grams), best), lambda m: m.d <= -least)
-    return (docs.select("doc_id", hits.alias("h"))
-            .select("doc_id", F.size("h").cast("long").alias("n_license_units"), F.array_min("h").alias("m"))
-            .select("doc_id", "n_license_units", F.col("m.name").alias("license"), (-F.col("m.d")).alias("dice")))
+    both = [(k, v) for d in (templates, texts) for k, v in sorted(d.items())]
+    held: list[Scanner] = []
+
+    @F.pandas_udf("n long, license string, dice double")
+    def best(text: pd.Series) -> pd.DataFrame:
+        if not held:
+            held.append(Scanner(both, least))
+        return pd.DataFrame([held[0](t) for t in text], columns=["n", "license", "dice"])
+
+    return (docs.select("doc_id", best("text").alias("m"))
+            .select("doc_id", F.col("m.n").alias("n_license_units"), F.col("m.license").alias("license"), F.col("m.dice").alias("dice")))

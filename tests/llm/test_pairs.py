@@ -137,6 +137,32 @@ def test_license_scan(spark):
     assert got == [(1, 1, "Apache-2.0"), (2, 0, None), (3, 0, None), (4, 0, None), (5, 1, "MIT"), (5, 1, "MIT")]
 
 
+def test_license_windows(spark):
+    notice = license_scan.TEMPLATES["MIT"]
+    mit, gpl = license_scan.TEXTS["MIT"], license_scan.TEXTS["GPL-3.0"]
+    rows = [(1, f"Copyright (c) 2020 Foo. {notice}"), (2, f"{notice} See the file LICENSE for details."), (3, "a b " * 50 + notice.replace(" ", "\n")),
+            (4, "x = 1\n\n" + mit.replace("\n", "\n# ") + "\nimport os"), (5, "Preface to it.\n" + gpl), (6, f"{notice} Then {license_scan.TEMPLATES['CC-BY-NC-4.0']}")]
+    got = {r.doc_id: (r.n_license_units, r.license, r.dice) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, "MIT", 1.0), 2: (1, "MIT", 1.0), 3: (1, "MIT", 1.0), 4: (1, "MIT", 1.0), 5: (1, "GPL-3.0", 1.0), 6: (2, "CC-BY-NC-4.0", 1.0)}
+
+
+def test_license_scan_brute_force():
+    r = random.Random(5)
+    templates = [("A", "a b c d e a b f"), ("B", "d e f c")]
+    scanner = license_scan.Scanner(templates, 0.8)
+    for _ in range(300):
+        w = [r.choice("abcdef") for _ in range(r.randint(0, 22))]
+        best = []
+        for name, t in templates:
+            n = set(license_scan.bigrams(t))
+            for i in range(len(w)):
+                for j in range(i + 2, len(w) + 1):
+                    g = set(license_scan.bigrams(" ".join(w[i:j])))
+                    best.append((-2 * len(g & n) / (len(g) + len(n)), name))
+        d, name = min(best, default=(0, ""))
+        assert scanner(" ".join(w))[1:] == ((name, -d) if -d >= 0.8 else (None, None)), w
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
