@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -87,3 +88,35 @@ def test_secret_scan(docs):
     r = {x.doc_id: x for x in secret_scan.scan(docs, net).collect()}[11]
     assert (r.n_assign, r.n_access, r.n_hex) == (1, 1, 1)
     assert r.spans == "assign:0:22,access:23:43,hex:44:60"
+
+
+def test_secret_windows_are_whole():
+    net, head = secret_scan.CharNet(), "x1" * 40
+    long = head + "Zq9" * 20
+    a, b, c = (secret_scan.window(t, 3, 3 + n) for t, n in (("is " + long + " end", len(long)), ("is " + head + " end", len(head)), ("is " + head + " END", len(head))))
+    assert len(a) == len(long) + 2 * secret_scan.CONTEXT
+    assert len(set(net.logit([a, b, c]).tolist())) == 3
+    big = np.arange(secret_scan.PIECE * 3) % 97
+    h = sum(net.k[j][big[j:len(big) - secret_scan.TAPS + 1 + j]] for j in range(secret_scan.TAPS))
+    got, at = net.hidden([a, big, b])
+    assert np.allclose(got[1], np.maximum(h.max(0), 0)) and np.allclose(h[at[1], np.arange(secret_scan.FILTERS)], h.max(0))
+
+
+@pytest.mark.parametrize("n", [5, 60])
+def test_secret_threshold_keeps_recall(spark, n):
+    text = lambda i: f"the key is {i * 7919:032x} and see docs/guide/Part{i}/chapter-{i}.section for more"
+    docs = spark.createDataFrame([(i, text(i)) for i in range(n)], "doc_id long, text string")
+    net = secret_scan.train(docs)
+    assert 0 < net.cut < 1
+    pos = net.score([secret_scan.window(text(i), 11, 43) for i in range(n)])
+    assert (pos >= net.cut - 1e-12).mean() >= 0.9
+    assert not any("net" in r.spans for r in secret_scan.scan(docs, net).collect())
+
+
+def test_secret_threshold_has_no_floor():
+    r = np.random.default_rng(1)
+    xs = [r.integers(1, 97, 60) for _ in range(400)]
+    y = (np.arange(400) % 7 == 0).astype(float)
+    net = secret_scan.CharNet().fit(xs, y, epochs=1)
+    held = np.flatnonzero((np.arange(400) % 5 == 0) & (y == 1))
+    assert (net.score([xs[i] for i in held]) >= net.cut).mean() >= secret_scan.RECALL
