@@ -1,8 +1,8 @@
 """Line-first quality rules (native).
 
-Per line: a line with words fails if over half of its words are navigation marks (``|``), if fewer
-than 40 % of its characters are letters, or if it is a boilerplate phrase on a short line.  Failed
-lines are removed; a document that keeps under half of its word characters is rejected.  The base
+Per line: a line with words fails if it holds a navigation mark (``|``) for every three of its words or
+fewer, if fewer than 40 % of its characters are letters, or if it holds a boilerplate phrase and is short.
+There is no punctuation rule.  Failed lines are removed (``cleaned``, blank lines stay); a document that keeps under half of its word characters is rejected.  The base
 counts are over whole texts.  A repeated 5-word window is found by sorting (hash, position) pairs
 inside the row; the words covered are the sum of min(5, gap to the next repeated window).
 
@@ -42,10 +42,10 @@ def repeated_words(w):
     return F.when(n < 6, F.lit(0)).otherwise(let(F.sort_array(pairs), covered)).cast("long")
 
 
-def evaluate(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept."""
+def cleaned(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, cleaned (null: null text)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select("doc_id", text.alias("t"), F.array_remove(F.split(text, SPACE), "").alias("w"),
+    d = docs.select("doc_id", F.col("text").alias("raw"), text.alias("t"), F.array_remove(F.split(text, SPACE), "").alias("w"),
                     F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
     chars = lambda c: F.length(F.regexp_replace(c, SPACE, ""))
 
@@ -56,10 +56,17 @@ def evaluate(docs: DataFrame) -> DataFrame:
                 & ~(x.rlike(BOILERPLATE) & (F.length(x) < 80)))
 
     kept_chars = F.aggregate(F.filter("lines", passes), F.lit(0), lambda a, x: a + chars(x))
+    blank = lambda x: ~x.rlike(r"[^\x20\x09-\x0D]")
+    clean = F.array_join(F.filter(F.split("raw", "\n"), lambda x: blank(x) | passes(x)), "\n")
     m = d.select("doc_id", F.size("w").cast("long").alias("n_words"), chars(F.col("t")).cast("long").alias("word_chars"),
                  F.length(F.regexp_replace("t", SYMBOLS, "")).cast("long").alias("n_symbols"),
                  (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-                 let(F.col("w"), repeated_words).alias("n_repeat_words"), kept_chars.alias("k"))
+                 let(F.col("w"), repeated_words).alias("n_repeat_words"), kept_chars.alias("k"), clean.alias("cleaned"))
     m = m.withColumn("base_failed", F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words"))
     return m.select(*m.columns[:6], "base_failed",
-                    (~F.col("base_failed") & (F.col("k") >= LOST * F.col("word_chars"))).alias("kept"))
+                    (~F.col("base_failed") & (F.col("k") >= LOST * F.col("word_chars"))).alias("kept"), "cleaned")
+
+
+def evaluate(docs: DataFrame) -> DataFrame:
+    """``cleaned`` without the text."""
+    return cleaned(docs).drop("cleaned")

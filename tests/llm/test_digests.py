@@ -61,6 +61,13 @@ def test_quality_rules(docs):
         assert g.base_failed == (len(w) < 10 or 100 * rep > 20 * len(w))
 
 
+def test_quality_rules_clean_text(spark):
+    good = "A whole sentence with enough letters in it."
+    rows = [(1, f"{good}\nHome | News | About\n\n123 456 --- 789\n{good}\nPlease accept cookies"), (2, None), (3, ""), (4, "one two three | four five six seven")]
+    got = {r.doc_id: r.cleaned for r in quality_rules.cleaned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: f"{good}\n\n{good}", 2: None, 3: "", 4: rows[3][1]}
+
+
 def test_piece_codec(docs):
     path = public_tokenizers.path("piece_bpe_32k.model")
     sp, c = sentencepiece.SentencePieceProcessor(model_file=path), piece_codec.codec(path)
