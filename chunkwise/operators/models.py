@@ -182,16 +182,23 @@ def fit_tree_baseline(train: DataFrame, stop_words: list[str], num_trees: int =
     return Pipeline(stages=tfidf_pipeline_stages(stop_words, vocab_size) + [rf]).fit(train)
 
 
-def fit_wordvec_baseline(train: DataFrame, dim: int = 64, seed: int = 42, min_count: int = 2):
+def fit_wordvec_baseline(train: DataFrame, dim: int = 64, seed: int = 42, min_count: int = 2,
+                         partitions: int | None = None):
     """M4: averaged word vectors + multinomial logistic regression (the
-    supervised word-vector shape; vectors here are trained unsupervised)."""
+    supervised word-vector shape; vectors here are trained unsupervised).
+
+    The vectors are trained in ``partitions`` tasks (default: the session's
+    parallelism), each on its share of the texts; Spark averages the vectors
+    of a word over the tasks after each iteration.  The vocabulary goes to
+    the driver."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import RegexTokenizer, Word2Vec
 
     return Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="_w", pattern=T.TOKEN_PATTERN, gaps=False, toLowercase=True),
-        Word2Vec(inputCol="_w", outputCol="features", vectorSize=dim, minCount=min_count, seed=seed),
+        Word2Vec(inputCol="_w", outputCol="features", vectorSize=dim, minCount=min_count, seed=seed,
+                 numPartitions=partitions or train.sparkSession.sparkContext.defaultParallelism),
         LogisticRegression(featuresCol="features", labelCol="label", family="multinomial", maxIter=50),
     ]).fit(train)
 

@@ -140,8 +140,8 @@ from chunkwise.plans.queries import kept_documents  # noqa: E402
 # list, used identically by the oracle.
 STOP_WORDS = ["and", "are", "as", "at", "be", "by", "de", "des", "du", "en", "et", "for", "from", "in", "is",
               "it", "la", "le", "les", "of", "on", "or", "the", "this", "to", "was", "with"]
-TFIDF_FEATURES = 5000
-VOCAB_SIZE = 5000
+TFIDF_FEATURES = 50_000  # the operators' defaults
+VOCAB_SIZE = 30_000
 
 
 @query("tfidf")
@@ -223,8 +223,7 @@ def _split_docs(spark, sf):
 @query("tree_baseline")
 def q_tree_baseline(spark, sf):
     s = _split_docs(spark, sf)
-    m = MD.fit_tree_baseline(s.where("split = 'train'"), STOP_WORDS, num_trees=30, max_depth=6,
-                             vocab_size=TFIDF_FEATURES)
+    m = MD.fit_tree_baseline(s.where("split = 'train'"), STOP_WORDS, vocab_size=TFIDF_FEATURES)
     return m.transform(s.where("split = 'test'")).select("doc_id", "label", F.col("prediction").cast("int")
                                                          .alias("pred"))
 

@@ -58,3 +58,20 @@ def test_pad_and_encode_shapes(spark):
     d = df.select(T.pad_chunks(T.build_chunks("text"), 4).alias("p"))
     e = MD.encode_chunks(d.select(F.col("p")["chunks"].alias("c")), "c", "v")
     assert all(len(r["v"]) == 4 and all(len(x) == 64 for x in r["v"]) for r in e.collect())
+
+
+def test_queries_take_the_operators_defaults():
+    import inspect
+
+    from chunkwise.operators import features as FE
+    from chunkwise.plans import more_queries as Q
+
+    assert inspect.signature(FE.tfidf).parameters["max_features"].default == Q.TFIDF_FEATURES
+    assert inspect.signature(FE.build_vocab).parameters["size"].default == Q.VOCAB_SIZE
+    assert "num_trees" not in inspect.getsource(Q.q_tree_baseline)
+
+
+def test_word_vectors_train_in_partitions(spark):
+    df = spark.createDataFrame([(f"alpha beta gamma {w} delta", i % 2) for i, w in enumerate(["one", "two"] * 20)], "text string, label int")
+    stage = MD.fit_wordvec_baseline(df, dim=4).stages[1]
+    assert stage.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
