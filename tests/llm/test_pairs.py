@@ -31,6 +31,15 @@ def test_within_matches_edit_distance():
             assert line_dedup.within(a, b, k) == (distance(a, b) <= k), (a, b, k)
 
 
+def test_diagonals_match_edit_distance():
+    r = random.Random(9)
+    for _ in range(3000):
+        a = "".join(r.choice("ab") for _ in range(r.randint(0, 12)))
+        b = "".join(r.choice("ab") for _ in range(r.randint(0, 12)))
+        for k in (0, 1, 3, 6, 9):
+            assert line_dedup.reaches(a, b, k) == line_dedup.alike(a, b, k) == (distance(a, b) <= k), (a, b, k)
+
+
 def test_line_dedup_brute_force(spark):
     r = random.Random(2)
     bases = ["".join(r.choice("abcdef ") for _ in range(r.randint(30, 40))) for _ in range(12)]
