@@ -48,4 +48,56 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND kept_chars * 2 >= word_chars AS kept
 FROM m"""
 
-ORACLE = {"op3_decontaminate": DECONTAMINATE, "op7_quality_rules": QUALITY_RULES}
+
+def crc32(text: str) -> str:
+    """Unsigned crc32 of the UTF-8 bytes of a SQL string; the one row of ``CRC_TABLE`` must be joined."""
+    octets = f"list_transform(range(1, len(hex(encode({text}))) // 2 + 1), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i - 1, 2) AS BIGINT))"
+    step = "lambda c, b: xor(c >> 8, crc.t[CAST(xor(c & 255, b) AS BIGINT) + 1])"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), {step}), 4294967295)"
+
+
+#: The 256 steps of the crc's polynomial, from its rule.
+CRC_TABLE = """crc AS (SELECT list(list_reduce(list_prepend(k, [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY k) AS t
+    FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS k))"""
+
+
+def leaf_sql(text: str) -> str:
+    def enc(c):
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c} END"
+
+    return "sha256(" + " || ".join(map(enc, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: Trees level by level; every path node by node; the tampered leaf folded step by step.
+MERKLE = f"""
+WITH RECURSIVE {CRC_TABLE},
+d AS (SELECT row_number() OVER () AS rid, *, {leaf_sql("text")} AS leaf,
+             coalesce({crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0, false) AS hit FROM documents, crc),
+a AS (SELECT *, CASE WHEN hit THEN {leaf_sql(LOW)} ELSE leaf END AS alt FROM d),
+pos AS (SELECT rid, doc_id, leaf, alt, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+               row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n FROM a),
+node AS (SELECT tree, 0 AS level, idx, n, leaf AS h FROM pos
+         UNION ALL SELECT tree, level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM node WHERE n > 1 GROUP BY tree, level, idx // 8, n),
+sub AS (SELECT tree, level, h FROM node WHERE n = 1),
+top AS (SELECT 0 AS level, tree AS idx, count(*) OVER () AS n, h FROM sub
+        UNION ALL SELECT level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY level, idx // 8, n),
+every AS (SELECT tree, level, idx, h FROM node WHERE n > 1 UNION ALL SELECT -1, level, idx, h FROM top WHERE n > 1),
+p1 AS (SELECT rid, l AS step, pos.tree AS tree, l AS level, CAST(floor(idx / pow(8, l)) AS BIGINT) AS at
+       FROM pos JOIN sub ON sub.tree = pos.tree CROSS JOIN (SELECT unnest(range(40)) AS l) WHERE l < sub.level),
+p2 AS (SELECT rid, sub.level + l AS step, -1 AS tree, l AS level, CAST(floor(pos.tree / pow(8, l)) AS BIGINT) AS at
+       FROM pos JOIN sub ON sub.tree = pos.tree CROSS JOIN (SELECT unnest(range(40)) AS l) WHERE l < (SELECT max(level) FROM top)),
+step AS (SELECT rid, step, coalesce(string_agg(e.h, '' ORDER BY e.idx) FILTER (e.idx < p.at), '') AS pre,
+                coalesce(string_agg(e.h, '' ORDER BY e.idx) FILTER (e.idx > p.at), '') AS post
+         FROM (SELECT * FROM p1 UNION ALL SELECT * FROM p2) p JOIN every e ON e.tree = p.tree AND e.level = p.level AND e.idx // 8 = p.at // 8
+         GROUP BY rid, step),
+proof AS (SELECT rid, string_agg(pre || post, '' ORDER BY step) AS s FROM step GROUP BY rid),
+fold AS (SELECT rid, 0 AS step, alt AS h FROM pos
+         UNION ALL SELECT fold.rid, fold.step + 1, sha256(step.pre || fold.h || step.post) FROM fold JOIN step ON step.rid = fold.rid AND step.step = fold.step),
+folded AS (SELECT rid, max_by(h, step) AS h FROM fold GROUP BY rid),
+root AS (SELECT h FROM top WHERE n = 1)
+SELECT doc_id, leaf, sub.h AS subroot, root.h AS root, sha256(coalesce(proof.s, '')) AS proof_sha256, folded.h AS folded_root, folded.h = root.h AS verified
+FROM pos JOIN sub ON sub.tree = pos.tree JOIN folded ON folded.rid = pos.rid LEFT JOIN proof ON proof.rid = pos.rid, root"""
+
+ORACLE = {"op3_decontaminate": DECONTAMINATE, "op7_quality_rules": QUALITY_RULES, "op11_merkle_manifest": MERKLE}

@@ -9,6 +9,7 @@ from chunkwise.llm import (
     decontaminate,
     license_scan,
     line_dedup,
+    merkle,
     oracle,
     order_minhash,
     piece_codec,
@@ -86,3 +87,8 @@ def op9_line_dedup(spark, sf):
 @query
 def op10_order_minhash(spark, sf):
     return order_minhash.classes(table(spark, sf, "documents"))
+
+
+@query
+def op11_merkle_manifest(spark, sf):
+    return merkle.audit(merkle.manifest(table(spark, sf, "documents")))
