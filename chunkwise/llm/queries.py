@@ -18,6 +18,7 @@ from chunkwise.llm import (
     secret_scan,
     sharding,
     token_count,
+    vantage,
 )
 
 QUERIES: dict = {}
@@ -92,3 +93,8 @@ def op10_order_minhash(spark, sf):
 @query
 def op11_merkle_manifest(spark, sf):
     return merkle.audit(merkle.manifest(table(spark, sf, "documents")))
+
+
+@query
+def op12_vantage_simhash(spark, sf):
+    return vantage.digest(vantage.near(table(spark, sf, "documents")))
