@@ -168,7 +168,7 @@ def prove(wanted: DataFrame, all_nodes: DataFrame, tails: DataFrame | None = Non
                 siblings[k].append(run[:32 * p] + run[32 * p + 32:])
             seen = {r: parent(run) for r, run in runs.items()}
             level, size = level + 1, -(-size // FAN)
-        return g[more].assign(places=[p + end[0] for p in places], siblings=[s + end[1] for s in siblings])
+        return pd.DataFrame({c: g[c].tolist() for c in more}).assign(places=[p + end[0] for p in places], siblings=[s + end[1] for s in siblings])
 
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema.fields)
     return rows.groupBy("tree", "block").cogroup(found.groupBy("tree", "block")).applyInPandas(expand, f"{types}, places array<int>, siblings array<binary>")
@@ -215,7 +215,7 @@ def audit(proofs: DataFrame) -> DataFrame:
             tops = [fold(x, p, s) for x, p, s in zip(use, f["places"], f["siblings"], strict=True)]
             text = {c: [h.hex() for h in f[c]] for c in ("leaf", "subroot", "root")}
             yield pd.DataFrame({"doc_id": f["doc_id"], **text, "proof_sha256": [parent(b"".join(s)).hex() for s in f["siblings"]],
-                                "folded_root": [t.hex() for t in tops], "verified": [t == r for t, r in zip(tops, f["root"], strict=True)]})
+                                "folded_root": [t.hex() for t in tops], "verified": [t == r for t, r in zip(tops, f["root"], strict=True)]}, dtype=object)
 
     id_type = proofs.schema["doc_id"].dataType
     out = proofs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(

@@ -100,4 +100,26 @@ root AS (SELECT h FROM top WHERE n = 1)
 SELECT doc_id, leaf, sub.h AS subroot, root.h AS root, sha256(coalesce(proof.s, '')) AS proof_sha256, folded.h AS folded_root, folded.h = root.h AS verified
 FROM pos JOIN sub ON sub.tree = pos.tree JOIN folded ON folded.rid = pos.rid LEFT JOIN proof ON proof.rid = pos.rid, root"""
 
-ORACLE = {"op3_decontaminate": DECONTAMINATE, "op7_quality_rules": QUALITY_RULES, "op11_merkle_manifest": MERKLE}
+#: Near words by equal patterns: one place replaced by a mark, or one place left out.
+SPELLING = rf"""
+WITH RECURSIVE {CRC_TABLE},
+run AS (SELECT doc_id, unnest(regexp_extract_all({LOW}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents WHERE text IS NOT NULL),
+part AS (SELECT doc_id, r, count(*) AS c FROM run GROUP BY doc_id, r),
+hashed AS (SELECT r, c, CAST({crc32("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r)")} AS BIGINT) AS h FROM part, crc),
+spelt AS (SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, c FROM hashed),
+v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM spelt GROUP BY word HAVING length(word) >= 5 AND sum(c) >= 3),
+place AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+mark AS (SELECT word, n, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS p FROM place),
+less AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS p FROM place),
+near AS (SELECT a.word, b.word AS other, b.n FROM mark a JOIN mark b ON a.p = b.p AND a.word <> b.word
+         UNION SELECT less.word, v.word, v.n FROM less JOIN v ON v.word = less.p
+         UNION SELECT v.word, less.word, less.n FROM less JOIN v ON v.word = less.p),
+best AS (SELECT word, other, n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, other) AS k FROM near),
+f AS (SELECT v.word, v.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN best.n >= 2 * v.n THEN other END AS form,
+             CASE WHEN best.n >= 2 * v.n THEN best.n END AS form_n FROM v LEFT JOIN best ON best.word = v.word AND k = 1),
+walk AS (SELECT word, word AS now, 0 AS k FROM f UNION ALL SELECT walk.word, f.form, k + 1 FROM walk JOIN f ON f.word = walk.now WHERE f.form IS NOT NULL),
+root AS (SELECT word, max_by(now, k) AS root FROM walk GROUP BY word)
+SELECT f.word, n, n_near, form, form_n, root FROM f JOIN root ON root.word = f.word"""
+
+ORACLE = {"op3_decontaminate": DECONTAMINATE, "op7_quality_rules": QUALITY_RULES, "op11_merkle_manifest": MERKLE,
+          "op13_spelling_variants": SPELLING}

@@ -17,6 +17,7 @@ from chunkwise.llm import (
     quality_rules,
     secret_scan,
     sharding,
+    spelling,
     token_count,
     vantage,
 )
@@ -98,3 +99,8 @@ def op11_merkle_manifest(spark, sf):
 @query
 def op12_vantage_simhash(spark, sf):
     return vantage.digest(vantage.near(table(spark, sf, "documents")))
+
+
+@query
+def op13_spelling_variants(spark, sf):
+    return spelling.variants(table(spark, sf, "documents"))
