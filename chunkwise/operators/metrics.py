@@ -36,16 +36,20 @@ def label_spine(labels: DataFrame, label: str = "label") -> DataFrame:
 def confusion_matrix(pairs: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
     """F8 in long form over the fixed label list: ``(true, pred, n)``, zeros
     included.  Wide form: ``.groupBy('true').pivot('pred', ids).sum('n')``."""
-    counts = confusion_counts(pairs)
+    return matrix_of(confusion_counts(pairs), labels, label)
+
+
+def matrix_of(counts: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
+    """F8 from the non-zero cells."""
     spine = label_spine(labels, label)
     return spine.join(counts, ["true", "pred"], "left").select(
         "true", "pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
-def all_cells(pairs: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
-    """Cells of the label list (zeros included) and every other cell of the
-    pairs, so that support, predictions and totals lose no row."""
-    return label_spine(labels, label).withColumn("n", F.lit(0).cast("bigint")).union(confusion_counts(pairs))
+def all_cells(counts: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
+    """Cells of the label list (zeros included) and every other non-zero
+    cell, so that support, predictions and totals lose no row."""
+    return label_spine(labels, label).withColumn("n", F.lit(0).cast("bigint")).union(counts)
 
 
 def per_class(cm: DataFrame) -> DataFrame:
@@ -66,8 +70,13 @@ def per_class(cm: DataFrame) -> DataFrame:
 def classification_report(pairs: DataFrame, labels: DataFrame, names: DataFrame | None = None,
                           label: str = "label") -> DataFrame:
     """Per-class rows over all listed labels, with category names if given."""
+    return report_of(confusion_counts(pairs), labels, names, label)
+
+
+def report_of(counts: DataFrame, labels: DataFrame, names: DataFrame | None = None, label: str = "label") -> DataFrame:
+    """F9 from the non-zero cells."""
     listed = labels.select(F.col(label).alias("label")).distinct()
-    rep = per_class(all_cells(pairs, labels, label)).join(listed, "label", "left_semi")
+    rep = per_class(all_cells(counts, labels, label)).join(listed, "label", "left_semi")
     if names is not None:
         rep = rep.join(names, "label", "left")  # small; AQE broadcasts after measuring
     return rep
@@ -77,8 +86,13 @@ def metrics_summary(pairs: DataFrame, labels: DataFrame, label: str = "label") -
     """F10-F13 in one row: accuracy; micro P/R/F1; macro over classes present
     in truth or prediction (``macro_*``) and over all listed classes
     (``macro_all_*``, the report's ``macro avg``); support-weighted P/R/F1."""
+    return summary_of(confusion_counts(pairs), labels, label)
+
+
+def summary_of(counts: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
+    """F10-F13 from the non-zero cells."""
     listed = labels.select(F.col(label).alias("label")).distinct().withColumn("_in", F.lit(True))
-    rep = per_class(all_cells(pairs, labels, label)).join(listed, "label", "left")
+    rep = per_class(all_cells(counts, labels, label)).join(listed, "label", "left")
     present = (F.col("support") > 0) | (F.col("predicted") > 0)
 
     def pavg(c: str) -> Column:

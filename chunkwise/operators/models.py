@@ -1,77 +1,39 @@
-"""Chunk encoding, batch prediction and model fitting.
+"""Batch prediction, evaluation and model fitting.
 
 Prediction is one row-wise projection: clean -> chunk -> pad -> encode each
-chunk -> attention pooling -> linear head -> argmax, then a broadcast
-lookup of the category name (a dimension of one row per class).  It needs
-no shuffle, so the same Columns run in batch and in a stateless stream.
-
-The default chunk encoder is native (hashed term counts, L2-normalised) so
-tests and the registered queries need no Python worker.  A user encoder
-runs through ``predict_batch_udf``: Arrow batches, model loaded once per
-Python worker.
+chunk -> pooling -> linear head -> argmax, then a broadcast lookup of the
+category name (a dimension of one row per class).  It needs no shuffle, so
+the same Columns run in batch and in a stateless stream.
+
+The default chunk encoder is native, so the registered queries need no
+Python worker.  A user encoder runs inside the row on Arrow batches
+(``operators.encoders``) and is loaded once per Python worker.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as TY
 
 from chunkwise.functions import text as T
+from chunkwise.operators import encoders as EN
 from chunkwise.operators import filters as FL
 from chunkwise.operators import metrics as M
 from chunkwise.operators import vectors as V
-
-ENCODER_DIM = 64
-
-
-# ------------------------------------------------------------------ M5 encoders
-
-def hashed_vector(chunk: Column, dim: int = ENCODER_DIM) -> Column:
-    """Default chunk encoder: counts of lower-cased tokens hashed into
-    ``dim`` buckets, L2-normalised (an empty chunk gives zeros)."""
-    def body(h: Column) -> Column:
-        counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                             lambda i: F.size(F.filter(h, lambda x: x == i)).cast("double"))
-
-        def norm(c: Column) -> Column:
-            n = F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
-            return F.transform(c, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0)))
-        return T.let(counts, norm)
-
-    toks = F.regexp_extract_all(F.lower(chunk), F.lit(T.TOKEN_PATTERN), 0)
-    return T.let(F.transform(toks, lambda t: F.pmod(F.xxhash64(t), F.lit(dim)).cast("int")), body)
-
-
-def encode_chunks(df: DataFrame, chunks: str = "chunks", out: str = "chunk_vecs",
-                  make_encoder: Callable | None = None, dim: int = ENCODER_DIM, batch_size: int = 64,
-                  key: str = "doc_id") -> DataFrame:
-    """M5: every chunk (padding included) -> fixed-width vector.
-
-    Without ``make_encoder`` the native hashed encoder runs inside the row.
-    With it, ``make_encoder()`` must return ``fn(np.ndarray[str]) ->
-    np.ndarray[float, (n, dim)]``; chunks are exploded, encoded by
-    ``predict_batch_udf`` in Arrow batches of ``batch_size`` and regrouped
-    per document (at most ``len(chunks)`` rows per group).
-    """
-    if make_encoder is None:
-        return df.withColumn(out, F.transform(F.col(chunks), lambda c: hashed_vector(c, dim)))
-    from pyspark.ml.functions import predict_batch_udf
-
-    enc = predict_batch_udf(make_encoder, return_type=TY.ArrayType(TY.DoubleType()), batch_size=batch_size)
-    rows = df.select(key, F.posexplode(chunks).alias("_i", "_c")).withColumn("_v", enc("_c"))
-    g = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_g"))
-    return df.join(g.select(key, F.transform("_g", lambda x: x["_v"]).alias(out)), key)
-
+from chunkwise.operators.encoders import ENCODER_DIM, MakeEncoder, encode_chunks, hashed_vector  # noqa: F401
 
 # ------------------------------------------------------------------ M9 predict
 
 @dataclass
 class ChunkModel:
-    """Parameters of the chunk-pooling classifier."""
+    """Parameters of the chunk-pooling classifier.
+
+    ``encoder`` names a user encoder as ``package.module:factory``;
+    ``make_encoder`` gives one directly (not persisted).  Without either the
+    native encoder of width ``dim`` is used.
+    """
     head_w: list[list[float]]
     head_b: list[float]
     att_w: list[list[float]] | None = None
@@ -81,8 +43,14 @@ class ChunkModel:
     max_tokens: int = T.DEFAULT_MAX_TOKENS
     max_chunks: int = T.DEFAULT_MAX_CHUNKS
     dim: int = ENCODER_DIM
+    encoder: str | None = None
+    batch_size: int = 64
+    make_encoder: MakeEncoder | None = None
     extra: dict = field(default_factory=dict)
 
+    def factory(self) -> MakeEncoder | None:
+        return self.make_encoder or (EN.named_encoder(self.encoder) if self.encoder else None)
+
 
 def default_model(n_classes: int, dim: int = ENCODER_DIM) -> ChunkModel:
     hw, hb = V.head_weights(n_classes, dim)
@@ -96,31 +64,83 @@ def document_vectors(df: DataFrame, model: ChunkModel, text: str = "text", clean
     t = T.clean_text(text) if clean else F.col(text)
     padded = T.pad_chunks(T.build_chunks(t, model.max_tokens, model.max_chunks), model.max_chunks)
 
-    def body(p: Column) -> Column:
-        def pool(vecs: Column) -> Column:
-            if model.pooling == "attention":
-                return V.pool_attention_rows(vecs, p["chunk_mask"], model.att_w, model.att_b, model.att_v)
-            return V.pool_mean_rows(vecs, p["chunk_mask"])
-        return T.let(F.transform(p["chunks"], lambda c: hashed_vector(c, model.dim)), pool)
+    def pool(vecs: Column, mask: Column) -> Column:
+        if model.pooling == "attention":
+            return V.pool_attention_rows(vecs, mask, model.att_w, model.att_b, model.att_v)
+        return V.pool_mean_rows(vecs, mask)
 
-    return df.withColumn(out, T.let(padded, body))
+    make = model.factory()
+    if make is None:
+        def body(p: Column) -> Column:
+            return T.let(F.transform(p["chunks"], lambda c: hashed_vector(c, model.dim)), lambda v: pool(v, p["chunk_mask"]))
+        return df.withColumn(out, T.let(padded, body))
+    d = FL.materialize(df, {"_padded": padded})
+    d = d.withColumn("_vecs", EN.encoder_udf(make, model.batch_size)(F.col("_padded")["chunks"]))
+    return d.withColumn(out, T.let(F.col("_vecs"), lambda v: pool(v, F.col("_padded")["chunk_mask"]))).drop("_padded", "_vecs")
 
 
-def predict(df: DataFrame, model: ChunkModel, categories: DataFrame | None = None, text: str = "text") -> DataFrame:
+def predict_labels(df: DataFrame, model: ChunkModel, text: str = "text", out: str = "label") -> DataFrame:
+    """``df`` with the predicted class index in ``out``; every row is kept."""
+    d = document_vectors(df, model, text, out="_doc_vec")
+    logits = V.linear_logits(F.col("_doc_vec"), model.head_w, model.head_b)
+    return d.withColumn(out, T.let(logits, V.argmax)).drop("_doc_vec")
+
+
+def predict(df: DataFrame, model, categories: DataFrame | None = None, text: str = "text") -> DataFrame:
     """M9: ``label`` and ``category`` per row; empty texts are rejected first
-    (D6).  ``categories`` is the (label, name) dimension, one row per class."""
+    (D6).  ``model`` is a ``ChunkModel`` or a fitted ``ChunkClassifierModel``
+    (which brings its own categories).  ``categories`` is the (label, name)
+    dimension, one row per class; of several names the least is taken."""
+    if not isinstance(model, ChunkModel):
+        categories = categories if categories is not None else model.categories(df.sparkSession)
+        model = model.chunk_model
     ok, _ = FL.reject_empty(df, text)
-    d = document_vectors(ok, model, text)
-    logits = V.linear_logits(F.col("doc_vec"), model.head_w, model.head_b)
-    d = d.withColumn("label", T.let(logits, V.argmax)).drop("doc_vec")
+    d = predict_labels(ok, model, text)
     if categories is not None:
-        # only labels the head can emit, one row each: at most len(head_b) rows
-        n = len(model.head_b)
-        cats = categories.where((F.col("label") >= 0) & (F.col("label") < n)).dropDuplicates(["label"])
-        d = d.join(F.broadcast(cats.select("label", F.col("name").alias("category"))), "label", "left")
+        d = d.join(F.broadcast(category_names(categories, len(model.head_b))), "label", "left")
     return d
 
 
+def category_names(categories: DataFrame, n_classes: int) -> DataFrame:
+    """(label, category) of the labels a head of ``n_classes`` can emit: at most that many rows."""
+    return (categories.where((F.col("label") >= 0) & (F.col("label") < n_classes))
+            .groupBy("label").agg(F.min("name").alias("category")))
+
+
+# ------------------------------------------------------------------ M10 evaluate
+
+@dataclass
+class Evaluation:
+    """Metric tables of one prediction run; ``cells`` are the counts they all derive from."""
+    summary: DataFrame
+    report: DataFrame
+    confusion: DataFrame
+    cells: DataFrame
+
+
+def evaluate(df: DataFrame, model, truth: str = "label", text: str = "text", labels: DataFrame | None = None,
+             names: DataFrame | None = None) -> Evaluation:
+    """Predict a labelled set once and derive F8-F13 from its confusion
+    counts (at most one row per pair of classes, written once).
+
+    ``labels`` (label) is the class list, by default the indices of the head;
+    ``names`` (label, name) adds class names to the report.  Empty texts are
+    predicted too, as the truth counts them.
+    """
+    from chunkwise.session import checkpoint_dir
+
+    spark = df.sparkSession
+    model_c = model if isinstance(model, ChunkModel) else model.chunk_model
+    if labels is None:
+        labels = spark.range(len(model_c.head_b)).select(F.col("id").cast("int").alias("label"))
+    if names is None and not isinstance(model, ChunkModel):
+        names = model.categories(spark)
+    p = predict_labels(df.select(F.col(truth).alias("true"), F.coalesce(F.col(text), F.lit("")).alias("text")), model_c, out="pred")
+    checkpoint_dir(spark)
+    cells = M.confusion_counts(p).checkpoint(eager=True)
+    return Evaluation(M.summary_of(cells, labels), M.report_of(cells, labels, names), M.matrix_of(cells, labels), cells)
+
+
 # ------------------------------------------------------------------ M2 SVD
 
 def reduce_dims(weights: DataFrame, vocab: DataFrame, k: int = 16, key: str = "doc_id") -> DataFrame:
@@ -205,29 +225,53 @@ def fit_wordvec_baseline(train: DataFrame, dim: int = 64, seed: int = 42, min_co
 
 # ------------------------------------------------------------------ M11 fit and select
 
+@dataclass
+class Selected:
+    """The head of the best grid point and what led to it."""
+    model: object
+    grid: list[tuple[float, float, bool]]
+    reg_param: float
+    dev_macro_f1: float
+
+
+def select_head(train: DataFrame, dev: DataFrame, labels: DataFrame, reg_params: tuple[float, ...] = (0.0, 0.01, 0.1),
+                features: str = "features", label: str = "label", max_iter: int = 50) -> Selected:
+    """Fit a multinomial logistic head per grid point on ``train`` and keep
+    the first one with the strictly best dev macro F1 (classes present in
+    truth or prediction).  Rows without a label are left out."""
+    from pyspark.ml.classification import LogisticRegression
+
+    train, dev = train.where(F.col(label).isNotNull()), dev.where(F.col(label).isNotNull())
+    best, rows = None, []
+    for rp in reg_params:  # a few distributed fits; one metric row each
+        m = LogisticRegression(featuresCol=features, labelCol=label, family="multinomial", regParam=rp,
+                               maxIter=max_iter).fit(train)
+        f1 = M.metrics_summary(scored(m, dev, label), labels).first()["macro_f1"]
+        rows.append((float(rp), float(f1 or 0.0)))
+        if best is None or rows[-1][1] > best[1]:
+            best = (m, rows[-1][1], float(rp))
+    return Selected(best[0], [(rp, f1, rp == best[2]) for rp, f1 in rows], best[2], best[1])
+
+
+def scored(model, df: DataFrame, label: str = "label") -> DataFrame:
+    return model.transform(df).select(F.col(label).alias("true"), F.col("prediction").cast("int").alias("pred"))
+
+
 def fit_select(train: DataFrame, dev: DataFrame, test: DataFrame, labels: DataFrame,
                reg_params: tuple[float, ...] = (0.0, 0.01, 0.1), features: str = "features",
                label: str = "label", max_iter: int = 50):
-    """Fit a multinomial logistic head per grid point on ``train``,
-    keep the first one with the strictly best dev macro F1 (classes present
-    in truth or prediction), then evaluate that model on ``test`` once.
+    """``select_head`` on train and dev, then evaluate that model on
+    ``test`` once.
 
     Returns ``(best_model, grid_df, test_summary_df)``; the grid rows hold
-    ``reg_param, dev_macro_f1, selected``.
+    ``reg_param, dev_macro_f1, selected``.  ``operators.stages`` has the same
+    as an ``Estimator`` from texts to a model that predicts and persists.
     """
-    from pyspark.ml.classification import LogisticRegression
+    s = select_head(train, dev, labels, reg_params, features, label, max_iter)
+    grid = train.sparkSession.createDataFrame(s.grid, "reg_param double, dev_macro_f1 double, selected boolean")
+    return s.model, grid, M.metrics_summary(scored(s.model, test.where(F.col(label).isNotNull()), label), labels)
 
-    spark = train.sparkSession
-    best, best_f1, rows = None, -1.0, []
-    for rp in reg_params:  # a few distributed fits; one metric row each
-        m = LogisticRegression(featuresCol=features, labelCol=label, family="multinomial", regParam=rp,
-                               maxIter=max_iter).fit(train)
-        pd_ = m.transform(dev).select(F.col(label).alias("true"), F.col("prediction").cast("int").alias("pred"))
-        f1 = M.metrics_summary(pd_, labels).select("macro_f1").collect()[0][0]
-        rows.append((float(rp), float(f1)))
-        if f1 > best_f1:
-            best, best_f1, best_rp = m, f1, rp
-    grid = spark.createDataFrame([(rp, f1, rp == best_rp) for rp, f1 in rows],
-                                 "reg_param double, dev_macro_f1 double, selected boolean")
-    tp = best.transform(test).select(F.col(label).alias("true"), F.col("prediction").cast("int").alias("pred"))
-    return best, grid, M.metrics_summary(tp, labels)
+
+def head_of(model) -> tuple[list[list[float]], list[float]]:
+    """Weights and biases of a multinomial logistic model as a linear head."""
+    return model.coefficientMatrix.toArray().tolist(), model.interceptVector.toArray().tolist()

@@ -106,20 +106,23 @@ def write_evaluation(report: DataFrame, cm: DataFrame, categories: DataFrame, pa
     out.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path}/{prefix}_confusion_matrix.csv")
 
 
-def save_model(model, metadata: dict, path: str, spark: SparkSession) -> None:
-    """K8: persist a fitted ``PipelineModel`` and its metadata (class list,
-    chunk limits, pooling, dev metrics) beside it."""
+def save_model(model, metadata: dict | None, path: str, spark: SparkSession) -> None:
+    """K8: persist a fitted model (any ML stage that can be written) and its
+    metadata (class list, chunk limits, pooling, dev metrics) beside it; a
+    model that knows its metadata needs none given, and given fields win."""
+    own = model.metadata() if hasattr(model, "metadata") else {}
     model.write().overwrite().save(f"{path}/model")
-    spark.createDataFrame([(json.dumps(metadata),)], "value string").coalesce(1).write.mode("overwrite") \
+    spark.createDataFrame([(json.dumps(own | (metadata or {})),)], "value string").coalesce(1).write.mode("overwrite") \
         .text(f"{path}/metadata")
 
 
 def load_model(spark: SparkSession, path: str, defaults: dict | None = None):
-    """K8: ``(PipelineModel, metadata)``; stored metadata overrides defaults."""
-    from pyspark.ml import PipelineModel
+    """K8: ``(model, metadata)``; the model has the class it was saved with,
+    and stored metadata overrides defaults."""
+    from pyspark.ml.util import DefaultParamsReader
 
     meta = dict(defaults or {})
     rows = spark.read.text(f"{path}/metadata").collect()  # one small row
     if rows:
         meta.update(json.loads(rows[0][0]))
-    return PipelineModel.load(f"{path}/model"), meta
+    return DefaultParamsReader.loadParamsInstance(f"{path}/model", spark), meta

@@ -17,12 +17,11 @@ from chunkwise.operators import models as MD
 from chunkwise.session import checkpoint_dir
 
 
-def score_stream(stream_df: DataFrame, model: MD.ChunkModel, categories: DataFrame | None = None,
+def score_stream(stream_df: DataFrame, model, categories: DataFrame | None = None,
                  text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Streaming DataFrame of ``keep..., label, category``."""
+    """Streaming DataFrame of ``keep..., label, category``; ``model`` as for ``models.predict``."""
     p = MD.predict(stream_df, model, categories, text)
-    cols = (keep or []) + ["label"] + (["category"] if categories is not None else [])
-    return p.select(*cols)
+    return p.select(*(keep or []), "label", *[c for c in ("category",) if c in p.columns])
 
 
 def run_to_table(spark: SparkSession, scored: DataFrame, name: str = "scores") -> str:
