@@ -157,3 +157,43 @@ sql("rebalance", """
 WITH l AS (SELECT doc_id, quality * 2 + toxic AS label FROM labels),
 c AS (SELECT label, count(*) AS n FROM l GROUP BY label), m AS (SELECT max(n) AS m FROM c)
 SELECT label, m.m AS n, c.n AS n_docs, CAST(CEIL(m.m / c.n) AS INTEGER) AS max_copies FROM c, m""")
+
+# ------------------------------------------------------------------ encoder and prediction
+from chunkwise.plans.oracle import CATS  # noqa: E402
+
+
+def slots(docs: str) -> str:
+    """(doc_id, slot, chunk, mask): four padded chunks a document."""
+    return f"""SELECT doc_id, CAST(unnest(range(0, 4)) AS INTEGER) AS slot,
+  unnest(list_transform(range(1, 5), lambda i: CASE WHEN i <= len(c) THEN c[i] ELSE '' END)) AS chunk,
+  unnest(list_transform(range(1, 5), lambda i: CASE WHEN i <= greatest(len(c), 1) THEN 1 ELSE 0 END)) AS mask
+FROM (SELECT doc_id, {chunks('text')} AS c FROM ({docs}) d) c"""
+
+
+def chunk_vector(docs: str) -> str:
+    """(doc_id, slot, i, x): the non-zero places of each chunk's unit vector."""
+    return f"""SELECT doc_id, slot, i, n / sqrt(sum(n * n) OVER (PARTITION BY doc_id, slot)) AS x FROM (
+  SELECT doc_id, slot, CAST('0x' || substr(md5(w), 1, 7) AS BIGINT) % 64 AS i, CAST(count(*) AS DOUBLE) AS n
+  FROM (SELECT doc_id, slot, unnest(regexp_extract_all(lower(chunk), '{S.TOKEN_PATTERN}')) AS w FROM ({slots(docs)}) p) t GROUP BY 1, 2, 3) c"""
+
+
+sql("encode_chunks", f"""
+SELECT doc_id, slot AS chunk_no, CAST(i AS INTEGER) AS dim, round(x, 6) AS value FROM ({chunk_vector(KEPT)}) x""")
+
+SCORED = f"SELECT doc_id, {S.clean('text')} AS text FROM documents WHERE text IS NOT NULL AND {S.strip('text')} <> ''"
+HEAD20 = "SELECT c, i, ((c * 31 + i * 17) % 13 - 6) / 13 AS w FROM (SELECT c, unnest(range(64)) AS i FROM range(20) t(c)) h"
+PREDICTED = f"""
+WITH p AS ({slots(SCORED)}), x AS ({chunk_vector(SCORED)}),
+wx AS (SELECT x.doc_id, x.slot, w.j, sum(w.w * x.x) AS s FROM x JOIN ({ATT_W}) w ON w.i = x.i GROUP BY 1, 2, 3),
+s AS (SELECT p.doc_id, p.slot, CASE WHEN p.mask = 0 THEN -1e4 ELSE sum(tanh(coalesce(wx.s, 0) + b.b) * b.v) END AS s
+      FROM p CROSS JOIN ({ATT_B}) b LEFT JOIN wx ON wx.doc_id = p.doc_id AND wx.slot = p.slot AND wx.j = b.j GROUP BY p.doc_id, p.slot, p.mask),
+e AS (SELECT doc_id, slot, exp(s - max(s) OVER (PARTITION BY doc_id)) AS e FROM s),
+wt AS (SELECT doc_id, slot, e / sum(e) OVER (PARTITION BY doc_id) AS wt FROM e),
+dv AS (SELECT x.doc_id, x.i, sum(x.x * wt.wt) AS x FROM x JOIN wt ON wt.doc_id = x.doc_id AND wt.slot = x.slot GROUP BY 1, 2),
+dl AS (SELECT dv.doc_id, w.c, sum(w.w * dv.x) AS s FROM dv JOIN ({HEAD20}) w ON w.i = dv.i GROUP BY 1, 2),
+l AS (SELECT d.doc_id, t.c, round(coalesce(dl.s, 0) + ((t.c * 7) % 5 - 2) / 10, 9) AS logit
+      FROM (SELECT DISTINCT doc_id FROM p) d CROSS JOIN range(20) t(c) LEFT JOIN dl ON dl.doc_id = d.doc_id AND dl.c = t.c),
+b AS (SELECT doc_id, CAST(c AS INTEGER) AS label FROM l QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY logit DESC, c) = 1)
+SELECT b.doc_id, b.label, c.name AS category FROM b LEFT JOIN ({CATS}) c ON c.label = b.label"""
+sql("predict", PREDICTED)
+sql("score_stream", PREDICTED)
