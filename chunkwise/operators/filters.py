@@ -96,10 +96,15 @@ def filter_with_reason(df: DataFrame, limits: Limits = Limits(), text: str = "te
     return kept, counts
 
 
+def empty_reason(text: str = "text") -> Column:
+    """``empty`` for null and blank texts, null for others: tags a table in one pass."""
+    return F.when(F.col(text).isNull() | (T.strip_ws(F.col(text)) == ""), F.lit(REASON_EMPTY))
+
+
 def reject_empty(df: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Split into (accepted, rejected-with-reason) on empty/blank text."""
-    blank = F.col(text).isNull() | (T.strip_ws(F.col(text)) == "")
-    return df.where(~blank), df.where(blank).withColumn("reason", F.lit(REASON_EMPTY))
+    reason = empty_reason(text)
+    return df.where(reason.isNull()), df.where(reason.isNotNull()).withColumn("reason", F.lit(REASON_EMPTY))
 
 
 def drop_rarest(df: DataFrame, k: int = 4, label: str = "label") -> DataFrame:

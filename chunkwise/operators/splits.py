@@ -4,11 +4,17 @@ Membership is decided by a seeded md5 order instead of a process-local
 random generator: the same rows go to the same split on every run, under
 any partitioning, with exactly the reference's per-class counts.
 
-Ranks inside a class are computed with a two-level scheme so that no class,
-however large, is sorted by one task: the md5 hex prefix (order preserving)
-cuts every class into up to 16^d buckets; a small table of bucket counts
-gives each bucket its offset; the final ``row_number`` runs per
-(class, bucket).  Result is identical to one ``row_number`` per class.
+A split needs no rank of every row, only each class's k-th row in that
+order.  It is found by radix selection over a narrow table of labels and
+keys: a histogram of the first hash digits (summed map-side) names the
+bucket that holds the k-th row, and the distinct hashes of that bucket give
+the row itself.  The rows of the input are then compared with the cut of
+their class where they are, so their texts are never shuffled.
+
+Ranks of every row (``seeded_order``, row ids) use a two-level scheme so
+that no class, however large, is sorted by one task: the md5 prefix cuts
+every class into up to 16^d buckets; a small table of bucket counts gives
+each bucket its offset; ``row_number`` runs per (class, bucket).
 """
 
 from __future__ import annotations
@@ -16,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chunkwise.operators.store import written
+
 # ---------------------------------------------------------------------------
 # Reference defaults.
 # ---------------------------------------------------------------------------
@@ -25,6 +33,7 @@ SEED = 42
 # ---------------------------------------------------------------------------
 
 BUCKET_DIGITS = 4  # 65,536 order-preserving buckets per class
+BROADCAST_CLASSES = 100_000  # cuts are broadcast up to this many classes (about 10 MB)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -79,25 +88,106 @@ def held_out_count(n: Column, ratio: float) -> Column:
     return F.when(n <= 1, F.lit(0).cast("bigint")).otherwise(k)
 
 
+def narrow_rows(df: DataFrame, label: str, key: str) -> DataFrame:
+    """(g, k, id) of every row, written once: its label, its key and its place in the input."""
+    return written(df.select(F.col(label).alias("g"), F.col(key).alias("k"), F.monotonically_increasing_id().alias("id")), "split-keys")
+
+
+def running(df: DataFrame, order: list[str], n: str) -> DataFrame:
+    """``df`` with ``before``, the sum of ``n`` over the earlier rows of its class."""
+    w = Window.partitionBy("g").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumn("before", F.coalesce(F.sum(n).over(w), F.lit(0)))
+
+
+def kth(df: DataFrame, order: list[str], n: str = "n") -> DataFrame:
+    """Of each class the row that holds its ``need``-th unit, with the units still needed of that row."""
+    d = running(df, order, n).where((F.col("before") < F.col("need")) & (F.col("need") <= F.col("before") + F.col(n)))
+    return d.withColumn("need", F.col("need") - F.col("before")).drop("before")
+
+
+def cuts(rows: DataFrame, ratio: float, seed: int, salt: str) -> DataFrame:
+    """(g, cut) of every class with held-out rows; ``cut`` has the hash, key
+    and place of the last of them in the seeded order.
+
+    Rows equal in label and key follow each other by their place in the
+    input; ``cut.tied`` says that the cut runs between such rows.
+    """
+    d = rows.withColumn("h", order_key("k", seed, salt)).withColumn("b", F.substring("h", 1, BUCKET_DIGITS))
+    sizes = d.groupBy("g", "b").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy("g"))
+    bucket = kth(sizes.withColumn("need", held_out_count(total, ratio)), ["b"]).select("g", "b", "need")
+    # the rows of one bucket a class, summed over equal keys before they meet
+    inside = null_safe_join(d, bucket, ["g", "b"]).groupBy("g", "h", "k", "need").agg(F.count(F.lit(1)).alias("n"))
+    row = written(kth(inside, ["h", "k"]), "split-cuts")
+    split = row.where("need < n")
+    if not split.isEmpty():  # equal keys on both sides: the place decides, by input partition, then inside one
+        tied = null_safe_join(d, split.select("g", "h", "k", "need"), ["g", "h", "k"]).withColumn("p", F.shiftright("id", 33))
+        part = kth(tied.groupBy("g", "h", "k", "need", "p").agg(F.count(F.lit(1)).alias("n")), ["p"])
+        one = null_safe_join(tied.drop("need"), part.select("g", "h", "k", "p", "need"), ["g", "h", "k", "p"]).withColumn("n", F.lit(1))
+        row = null_safe_join(row, kth(one, ["id"]).select("g", F.col("id").alias("last")), ["g"], "left")
+    else:
+        row = row.withColumn("last", F.lit(None).cast("long"))
+    cut = F.struct("h", "k", "last", F.col("last").isNotNull().alias("tied"))
+    return written(row.select("g", cut.alias("cut")), "split-cuts")
+
+
+def held_out(cut: Column, key: Column, place: Column, seed: int, salt: str) -> Column:
+    """Whether a row comes no later than its class's cut."""
+    h = order_key(key, seed, salt)
+    same = key.eqNullSafe(cut["k"])
+    # nulls come first in the order
+    before = F.when(cut["k"].isNull(), F.lit(False)).otherwise(key.isNull() | (key < cut["k"]))
+    return F.coalesce((h < cut["h"]) | ((h == cut["h"]) & (before | (same & (~cut["tied"] | (place <= cut["last"]))))), F.lit(False))
+
+
+def with_cuts(df: DataFrame, label: str, found: dict[str, DataFrame]) -> DataFrame:
+    """``df`` with a column for each table of cuts, null for classes without one."""
+    for name, c in found.items():
+        small = c.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES
+        c = c.select(F.col("g").alias(label), F.col("cut").alias(name))
+        df = null_safe_join(df, F.broadcast(c) if small else c, [label], "left")
+    return df
+
+
+def place_of(found: dict[str, DataFrame]) -> Column:
+    """The row's place, only where some cut runs between equal keys (it keeps filters from moving below)."""
+    if any(not c.where("cut.tied").isEmpty() for c in found.values()):
+        return F.monotonically_increasing_id()
+    return F.lit(0).cast("long")
+
+
 def stratified_split(df: DataFrame, label: str = "label", ratio: float = TEST_RATIO, seed: int = SEED,
                      key: str = "doc_id", names: tuple[str, str] = ("train", "test"), salt: str | None = None,
                      split_col: str = "split") -> DataFrame:
     """Add ``split_col``: per class, the first k rows of the seeded order go to
-    ``names[1]``, the rest to ``names[0]``."""
-    r = exact_rank(df, [label], order_key(key, seed, salt or names[1]), key, name="_r", with_total="_n")
-    k = held_out_count(F.col("_n"), ratio)
-    return r.withColumn(split_col, F.when(F.col("_r") <= k, F.lit(names[1])).otherwise(F.lit(names[0]))) \
-        .drop("_r", "_n")
+    ``names[1]``, the rest to ``names[0]``.
+
+    The cuts are found when this is called, over a narrow table of ``df``;
+    hand in a written table if ``df`` is costly to compute.  Null labels are
+    a class; null and repeated keys count as rows.  Rows equal in label and
+    key are told apart by their place in the input, so where such rows fall
+    on both sides, the counts are exact for inputs that give their rows in
+    the same order twice, as files and written tables do.
+    """
+    salt = salt or names[1]
+    found = {"_cut": cuts(narrow_rows(df, label, key), ratio, seed, salt)}
+    d = with_cuts(df.withColumn("_place", place_of(found)), label, found)
+    out = F.when(held_out(F.col("_cut"), F.col(key), F.col("_place"), seed, salt), F.lit(names[1])).otherwise(F.lit(names[0]))
+    return d.withColumn(split_col, out).drop("_cut", "_place")
 
 
 def three_way_split(df: DataFrame, label: str = "label", test_ratio: float = TEST_RATIO,
                     dev_ratio: float = DEV_RATIO, seed: int = SEED, key: str = "doc_id") -> DataFrame:
-    """Test first, then dev out of the remaining train rows (its own salt)."""
-    s1 = stratified_split(df, label, test_ratio, seed, key, ("train", "test"))
-    train = s1.where(F.col("split") == "train").drop("split")
-    test = s1.where(F.col("split") == "test")
-    s2 = stratified_split(train, label, dev_ratio, seed, key, ("train", "dev"))
-    return s2.unionByName(test)
+    """Test first, then dev out of the remaining train rows (its own salt);
+    both cuts come from one narrow table, as in ``stratified_split``."""
+    rows = narrow_rows(df, label, key)
+    test = cuts(rows, test_ratio, seed, "test")
+    left = with_cuts(rows, "g", {"_cut": test}).where(~held_out(F.col("_cut"), F.col("k"), F.col("id"), seed, "test")).select("g", "k", "id")
+    found = {"_test": test, "_dev": cuts(left, dev_ratio, seed, "dev")}
+    d = with_cuts(df.withColumn("_place", place_of(found)), label, found)
+    side = F.when(held_out(F.col("_test"), F.col(key), F.col("_place"), seed, "test"), F.lit("test")) \
+        .when(held_out(F.col("_dev"), F.col(key), F.col("_place"), seed, "dev"), F.lit("dev")).otherwise(F.lit("train"))
+    return d.withColumn("split", side).drop("_test", "_dev", "_place")
 
 
 def seeded_order(df: DataFrame, key: str = "doc_id", seed: int = SEED, salt: str = "order",

@@ -136,7 +136,8 @@ SELECT count(*) AS total_samples, count(*) FILTER (WHERE split = 'train') AS tra
        coalesce(CAST(max(chunk_count) FILTER (WHERE split = 'test') AS DOUBLE), 0.0) AS test_max_chunks FROM c""")
 sql("chunk_records", f"""
 SELECT split, row_number() OVER (PARTITION BY split ORDER BY {S.okey('doc_id', 42, 'order')}, doc_id) - 1 AS id,
-       label, CAST(chunk_count AS INTEGER) AS chunk_count, text FROM ({SPLIT_CHUNKS}) c""")
+       label, CAST(len(c) AS INTEGER) AS chunk_count, text, array_to_string(c, chr(10)) AS chunks
+FROM (SELECT *, {chunks('text')} AS c FROM ({SPLIT}) s) c""")
 
 # ------------------------------------------------------------------ splits
 sql("stratified_split", f"SELECT doc_id, label, split FROM ({SPLIT}) s")

@@ -16,6 +16,8 @@ from chunkwise.functions import text as T
 from chunkwise.operators import filters as FL
 from chunkwise.operators import splits as SP
 from chunkwise.operators import stats as ST
+from chunkwise.operators.store import written
+from chunkwise.sources import sinks as K
 from chunkwise.plans import tables as TB
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,9 +43,15 @@ def kept_documents(spark, sf) -> DataFrame:
     return kept
 
 
+def long_documents(spark, sf) -> DataFrame:
+    """(doc_id, label) of cleaned documents with at least 200 characters,
+    written once: the splits read these two columns, not the texts."""
+    return written(FL.filter_min_chars(TB.labelled_documents(spark, sf)).select("doc_id", "label"), "long-documents")
+
+
 def split_documents(spark, sf) -> DataFrame:
-    """Cleaned documents with at least 200 characters, split train/test."""
-    return SP.stratified_split(FL.filter_min_chars(TB.labelled_documents(spark, sf)))
+    """``long_documents`` split train/test."""
+    return SP.stratified_split(long_documents(spark, sf))
 
 
 def long_form(df: DataFrame, arr: str, keys: list[str], pos: str, val: str, base: int = 1) -> DataFrame:
@@ -171,14 +179,12 @@ def q_filter_with_reason(spark, sf):
 @query("reject_empty")
 def q_reject_empty(spark, sf):
     d = TB.table(spark, sf, "documents")
-    ok, bad = FL.reject_empty(d)
-    return ok.select("doc_id", F.lit("ok").alias("status")).unionByName(
-        bad.select("doc_id", F.col("reason").alias("status")))
+    return d.select("doc_id", F.coalesce(FL.empty_reason("text"), F.lit("ok")).alias("status"))
 
 
 @query("drop_rarest")
 def q_drop_rarest(spark, sf):
-    d = FL.drop_rarest(kept_documents(spark, sf), k=4)
+    d = FL.drop_rarest(written(kept_documents(spark, sf).select("doc_id", "label"), "kept-labels"), k=4)
     return d.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -231,11 +237,10 @@ def q_split_sizes(spark, sf):
 
 
 def _split_chunks(spark, sf) -> DataFrame:
-    """Chunk counts per split document.  Chunking runs after the split: the
-    rank's bucket-size branch reads only keys, so the chunk generator sits
-    on the main branch alone."""
-    d = T.with_chunks(split_documents(spark, sf), "text", "ch")
-    return d.withColumn("chunk_count", F.size("ch"))
+    """(doc_id, label, chunk_count, split): texts are cleaned and chunked in
+    one scan and only the counts are written and split."""
+    d = T.with_chunks(FL.filter_min_chars(TB.labelled_documents(spark, sf)), "text", "ch")
+    return SP.stratified_split(written(d.select("doc_id", "label", F.size("ch").alias("chunk_count")), "chunk-counts"))
 
 
 @query("chunk_stats")
@@ -274,8 +279,9 @@ def q_dataset_manifest(spark, sf):
 
 @query("chunk_records")
 def q_chunk_records(spark, sf):
-    d = SP.with_row_id(_split_chunks(spark, sf))
-    return d.select("split", "id", "label", "chunk_count", "text")
+    d = written(FL.filter_min_chars(TB.labelled_documents(spark, sf)), "clean-documents")
+    return K.chunk_records(SP.with_row_id(SP.stratified_split(d)), keep=["split"]) \
+        .withColumn("chunks", F.array_join("chunks", "\n"))
 
 
 # ---------------------------------------------------------------- splits (2.7)
@@ -287,14 +293,12 @@ def q_stratified_split(spark, sf):
 
 @query("dev_split")
 def q_dev_split(spark, sf):
-    train = split_documents(spark, sf).where(F.col("split") == "train").drop("split")
-    return SP.stratified_split(train, names=("train", "dev")).select("doc_id", "label", "split")
+    return SP.three_way_split(long_documents(spark, sf)).where("split <> 'test'").select("doc_id", "label", "split")
 
 
 @query("three_way_split")
 def q_three_way_split(spark, sf):
-    d = FL.filter_min_chars(TB.labelled_documents(spark, sf))
-    return SP.three_way_split(d).select("doc_id", "label", "split")
+    return SP.three_way_split(long_documents(spark, sf)).select("doc_id", "label", "split")
 
 
 @query("seeded_order")

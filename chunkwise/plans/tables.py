@@ -21,17 +21,15 @@ TEXT_TABLES = {"documents"}
 
 
 def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """Spread a small input over all cores.
-
-    A parquet file is split by row groups, so one small file (one row group)
-    is read and processed by a single task however many cores exist.  When
-    the input has fewer files than the default parallelism, rows are
-    redistributed round-robin (a cheap shuffle of a small input, made
-    deterministic for retries by Spark's sort-before-repartition).  Large
-    inputs (many files) are left as they are: no extra shuffle at scale.
+    """Rows of a scan of fewer tasks than there are cores, dealt round-robin.
+
+    A parquet file is split by row groups, so one small file is read and
+    processed by one task however many cores exist.  A scan of as many tasks
+    as cores or more is left as it is, so no large table is shuffled; the
+    rows are the same both ways.
     """
     target = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= target:
+    if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target * 2)
 
