@@ -3,16 +3,15 @@
 Vectors are ``array<double>`` columns.  Parameters (weight matrices, bias
 and scorer vectors) are passed as Python lists and enter the plan as one
 constant each, so scoring is a per-row projection with no shuffle.  Pooling
-groups rows by document; a document has at most ``max_chunks`` chunks (rows
-beyond are dropped before grouping, as the chunker keeps only the first
-``max_chunks``), so every group is bounded.
+over rows is one sum per place of the vector, which Spark adds up before the
+shuffle, so a document may have any number of chunks: no task holds them.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -67,46 +66,56 @@ def attention_score(x: Column, w: list[list[float]], b: list[float], v: list[flo
     return dot(const_vector(v), h)
 
 
+def width_of(df: DataFrame, embedding: str) -> int:
+    """Width of the vectors, from one row; 0 without any."""
+    row = df.where(F.col(embedding).isNotNull()).select(F.size(embedding)).first()
+    return row[0] if row else 0
+
+
+def weighted_sums(weight: Column, embedding: str, width: int) -> list[Column]:
+    """One sum for each place of the vectors; null vectors add nothing."""
+    return [F.coalesce(F.sum(weight * F.get(F.col(embedding), F.lit(i))), F.lit(0.0)).alias(f"_s{i}") for i in range(width)]
+
+
 def pool_mean(df: DataFrame, doc: str = "doc", embedding: str = "embedding", mask: str | None = "mask",
-              out: str = "doc_vec") -> DataFrame:
-    """M6: mean over real chunks, divisor at least 1; without a mask a plain mean."""
-    d = df
-    m = F.col(mask).cast("double") if mask else F.lit(1.0)
-    g = d.groupBy(doc).agg(F.collect_list(F.struct(F.col(embedding).alias("x"), m.alias("m"))).alias("_c"))
+              out: str = "doc_vec", width: int | None = None) -> DataFrame:
+    """M6: mean over real chunks, divisor at least 1; without a mask a plain
+    mean.  A null vector or mask counts as padding; a null document is one."""
+    width = width_of(df, embedding) if width is None else width
+    m = F.when(F.col(embedding).isNotNull(), F.coalesce(F.col(mask).cast("double"), F.lit(0.0)) if mask else F.lit(1.0)).otherwise(F.lit(0.0))
+    g = df.groupBy(doc).agg(F.greatest(F.sum(m), F.lit(1.0)).alias("_n"), *weighted_sums(m, embedding, width))
+    return g.select(doc, F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(width)]).cast("array<double>").alias(out))
 
-    def body(c: Column) -> Column:
-        width = F.size(F.element_at(c, 1)["x"])
-        zero = F.array_repeat(F.lit(0.0), width)
-        total = F.aggregate(c, zero, lambda acc, r: F.zip_with(acc, r["x"], lambda a, e: a + e * r["m"]))
-        denom = F.greatest(F.aggregate(c, F.lit(0.0), lambda s, r: s + r["m"]), F.lit(1.0))
-        return F.transform(total, lambda t: t / denom)
 
-    return g.select(doc, body(F.col("_c")).alias(out))
+EXPONENT = 32.0  # scores whose floor by this is equal are summed at one scale
 
 
 def pool_attention(df: DataFrame, w: list[list[float]], b: list[float], v: list[float], doc: str = "doc",
                    embedding: str = "embedding", mask: str | None = "mask",
                    out: str = "doc_vec") -> DataFrame:
     """M7: score each chunk, mask padding with -1e4, softmax over the
-    document's chunks, weighted sum of chunk vectors."""
-    d = df
+    document's chunks, weighted sum of chunk vectors.
+
+    The softmax merges: exp(score) is kept as exp(score - k * EXPONENT) under
+    the exponent ``k = floor(score / EXPONENT)``, sums are taken per
+    (document, k) before the shuffle, and a document's few exponents are then
+    brought to its largest.  No sum overflows and none is lost that a plain
+    softmax keeps.  A null vector counts as no chunk (a document of null
+    vectors alone gets a null vector), a null mask as padding.
+    """
+    width = len(w[0]) if w else 0
     score = attention_score(F.col(embedding), w, b, v)
     if mask:
-        score = F.when(F.col(mask) == 0, F.lit(MASKED_SCORE)).otherwise(score)
-    d = d.select(doc, F.col(embedding).alias("x"), score.alias("s"))
-    g = d.groupBy(doc).agg(F.collect_list(F.struct("x", "s")).alias("_c"))
-
-    def body(c: Column) -> Column:
-        mx = F.array_max(F.transform(c, lambda r: r["s"]))
-        e = F.transform(c, lambda r: F.struct(r["x"].alias("x"), F.exp(r["s"] - mx).alias("e")))
-        z = F.aggregate(e, F.lit(0.0), lambda s, r: s + r["e"])
-        width = F.size(F.element_at(c, 1)["x"])
-        tot = F.aggregate(e, F.array_repeat(F.lit(0.0), width),
-                          lambda acc, r: F.zip_with(acc, r["x"], lambda a, x: a + x * r["e"]))
-        return F.transform(tot, lambda t: t / z)
-
-    from chunkwise.functions.text import let
-    return g.select(doc, let(F.col("_c"), body).alias(out))
+        score = F.when(F.coalesce(F.col(mask), F.lit(0)) == 0, F.lit(MASKED_SCORE)).otherwise(score)
+    # the masked score has an exponent of its own, far below those of real chunks
+    d = df.select(doc, embedding, F.when(F.col(embedding).isNotNull(), score).alias("_score"))
+    d = d.withColumn("_k", F.floor(F.col("_score") / EXPONENT)).withColumn("_e", F.exp(F.col("_score") - F.col("_k") * EXPONENT))
+    part = d.groupBy(doc, "_k").agg(F.coalesce(F.sum("_e"), F.lit(0.0)).alias("_z"), *weighted_sums(F.col("_e"), embedding, width))
+    top = F.max("_k").over(Window.partitionBy(doc))
+    part = part.withColumn("_f", F.coalesce(F.exp((F.col("_k") - top) * EXPONENT), F.lit(0.0)))
+    total = part.groupBy(doc).agg(F.sum(F.col("_f") * F.col("_z")).alias("_z"),
+                                  *[F.sum(F.col("_f") * F.col(f"_s{i}")).alias(f"_s{i}") for i in range(width)])
+    return total.select(doc, F.when(F.col("_z") > 0, F.array(*[F.col(f"_s{i}") / F.col("_z") for i in range(width)])).alias(out))
 
 
 def vector_long(df: DataFrame, keys: list[str], vec: str, pos: str = "dim", val: str = "value",

@@ -61,14 +61,14 @@ sql("linear_logits", f"SELECT vec_id, CAST(c AS INTEGER) AS class, round(logit,
 sql("argmax", f"SELECT vec_id, CAST(pred AS INTEGER) AS pred FROM ({PRED}) p")
 sql("pool_mean", f"""
 SELECT doc, CAST(i AS INTEGER) AS dim, round(sum(x * mask) / greatest(sum(mask), 1), 6) AS value
-FROM ({CV_LONG}) v WHERE chunk_no < 4 GROUP BY doc, i""")
+FROM ({CV_LONG}) v GROUP BY doc, i""")
 
 ATT = f"""
 WITH x AS ({CV_LONG}),
 h AS (SELECT x.vec_id, w.j, tanh(sum(w.w * x.x) + any_value(b.b)) * any_value(b.v) AS hv
       FROM x JOIN ({ATT_W}) w ON w.i = x.i JOIN ({ATT_B}) b ON b.j = w.j GROUP BY x.vec_id, w.j),
 s AS (SELECT c.vec_id, c.doc, CASE WHEN c.mask = 0 THEN -1e4 ELSE sum(h.hv) END AS s
-      FROM ({CV}) c JOIN h ON h.vec_id = c.vec_id WHERE c.chunk_no < 4 GROUP BY c.vec_id, c.doc, c.mask),
+      FROM ({CV}) c JOIN h ON h.vec_id = c.vec_id GROUP BY c.vec_id, c.doc, c.mask),
 e AS (SELECT vec_id, doc, exp(s - max(s) OVER (PARTITION BY doc)) AS e FROM s),
 wt AS (SELECT vec_id, doc, e / sum(e) OVER (PARTITION BY doc) AS wt FROM e)"""
 sql("pool_attention", f"""{ATT}
