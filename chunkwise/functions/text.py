@@ -7,9 +7,11 @@ scan with no Python round trip.  Packing folds keep only integers in their
 state (start positions and running token counts); chunk strings are built
 once at the end with ``slice`` + ``array_join``.
 
-Token counts of the default counter add up over a space join and over a
-``", "`` join plus one (the comma is one token), which lets every greedy
-packing step work on integers instead of re-counting a growing string.
+Token counts add up over a join: a space adds ``space`` tokens and ``", "``
+adds ``comma`` (0 and 1 for the default counter), which lets every greedy
+packing step work on integers instead of re-counting a growing string.  A
+native counter with other costs states them; a Python counter
+(``functions.counters.WordCounter``) carries its own.
 """
 
 from __future__ import annotations
@@ -164,8 +166,8 @@ def split_by_words(c: Column | str, max_tokens: int) -> Column:
 _SEG_TYPE = "array<struct<s:int,e:int,w:boolean>>"
 
 
-def _comma_segments(parts: Column, counts: Column, max_tokens: int) -> Column:
-    """Greedy packing of comma parts with ", " (one extra token per join).
+def _comma_segments(parts: Column, counts: Column, max_tokens: int, comma: int) -> Column:
+    """Greedy packing of comma parts with ", " (``comma`` tokens per join).
 
     ``parts``/``counts`` must be cheap references (lambda variables or
     columns).  Returns segments (s, e, w): parts s..e-1 joined, or, when w,
@@ -185,7 +187,7 @@ def _comma_segments(parts: Column, counts: Column, max_tokens: int) -> Column:
         has = acc["cs"] > 0
         flushed = F.when(has, F.concat(acc["segs"], seg(acc["cs"], acc["ce"], False))).otherwise(acc["segs"])
         return (
-            F.when(has & (acc["n"] + 1 + pn <= max_tokens), state(acc["segs"], acc["cs"], i + 1, acc["n"] + 1 + pn))
+            F.when(has & (acc["n"] + comma + pn <= max_tokens), state(acc["segs"], acc["cs"], i + 1, acc["n"] + comma + pn))
             .when(~has & (pn <= max_tokens), state(acc["segs"], i, i + 1, pn))
             .when(pn > max_tokens, state(F.concat(flushed, seg(i, i + 1, True)), F.lit(0), F.lit(0), F.lit(0)))
             .otherwise(state(flushed, i, i + 1, pn))
@@ -207,7 +209,7 @@ def _with_counts(arr: Column, counter: Counter) -> Column:
     return F.transform(arr, lambda p: F.struct(p.alias("t"), counter(p).alias("n")))
 
 
-def _pieces(parts: Column, pc: Column, segs: Column, max_tokens: int, counter: Counter) -> Column:
+def _pieces(parts: Column, pc: Column, segs: Column, max_tokens: int, counter: Counter, comma: int) -> Column:
     """Strings of the comma segments, with their token counts."""
     return F.flatten(F.transform(
         segs,
@@ -215,39 +217,39 @@ def _pieces(parts: Column, pc: Column, segs: Column, max_tokens: int, counter: C
         .otherwise(F.array(F.struct(
             F.array_join(F.slice(parts, sg["s"], sg["e"] - sg["s"]), ", ").alias("t"),
             (F.aggregate(F.slice(pc, sg["s"], sg["e"] - sg["s"]), F.lit(0), lambda a, x: a + x)
-             + sg["e"] - sg["s"] - 1).alias("n"))))))
+             + (sg["e"] - sg["s"] - 1) * comma).alias("n"))))))
 
 
-def _unit_pieces(u: Column, n: Column, max_tokens: int, counter: Counter) -> Column:
+def unit_pieces(u: Column, n: Column, max_tokens: int, counter: Counter, comma: int = 1) -> Column:
     """C6 for one unit with known count ``n`` -> ``array<struct<t,n>>``."""
     def over_budget(parts: Column) -> Column:
         return F.when(F.size(parts) <= 1, _with_counts(split_by_words(u, max_tokens), counter)).otherwise(
             let(F.transform(parts, lambda p: counter(p)),
-                lambda pc: let(_comma_segments(parts, pc, max_tokens),
-                               lambda segs: _pieces(parts, pc, segs, max_tokens, counter))))
+                lambda pc: let(_comma_segments(parts, pc, max_tokens, comma),
+                               lambda segs: _pieces(parts, pc, segs, max_tokens, counter, comma))))
 
     return F.when(n <= max_tokens, F.array(F.struct(u.alias("t"), n.alias("n")))).otherwise(
         let(comma_parts(u), over_budget))
 
 
 def split_long_unit(c: Column | str, max_tokens: int = DEFAULT_MAX_TOKENS,
-                    counter: Counter = count_tokens) -> Column:
+                    counter: Counter = count_tokens, comma: int = 1) -> Column:
     """A unit within budget stays whole; otherwise split at commas and
     greedily re-pack with ", "; a single part (or none) and any part over
     budget fall back to word groups."""
-    pieces = let(_col(c), lambda u: let(counter(u), lambda n: _unit_pieces(u, n, max_tokens, counter)))
+    pieces = let(_col(c), lambda u: let(counter(u), lambda n: unit_pieces(u, n, max_tokens, counter, comma)))
     return F.transform(pieces, lambda x: x["t"])
 
 
 def expand_units(units: Column | str, max_tokens: int = DEFAULT_MAX_TOKENS,
-                 counter: Counter = count_tokens) -> Column:
+                 counter: Counter = count_tokens, comma: int = 1) -> Column:
     """C6 on every unit -> ``array<struct<t:string, n:int>>``; units within
     budget are counted once and never split."""
     return F.flatten(F.transform(
-        _col(units), lambda u: let(counter(u), lambda n: _unit_pieces(u, n, max_tokens, counter))))
+        _col(units), lambda u: let(counter(u), lambda n: unit_pieces(u, n, max_tokens, counter, comma))))
 
 
-def _chunk_starts(counts: Column, max_tokens: int, max_chunks: int | None) -> Column:
+def _chunk_starts(counts: Column, max_tokens: int, max_chunks: int | None, space: int = 0) -> Column:
     """Greedy space-join packing over unit token counts (a cheap reference).
 
     Returns struct(st: 1-based chunk starts, n, k: number of chunks).  A unit
@@ -264,44 +266,46 @@ def _chunk_starts(counts: Column, max_tokens: int, max_chunks: int | None) -> Co
         grow = F.concat(acc["st"], F.array(i))
         if cap is not None:
             grow = F.when(acc["k"] < cap, grow).otherwise(acc["st"])
-        return F.when(acc["n"] + pn <= max_tokens,
-                      F.struct(acc["st"].alias("st"), (acc["n"] + pn).alias("n"), acc["k"].alias("k"))) \
+        return F.when(acc["n"] + space + pn <= max_tokens,
+                      F.struct(acc["st"].alias("st"), (acc["n"] + space + pn).alias("n"), acc["k"].alias("k"))) \
             .otherwise(F.struct(grow.alias("st"), pn.alias("n"), (acc["k"] + 1).alias("k")))
 
     empty = F.struct(F.array().cast("array<int>").alias("st"), F.lit(0).alias("n"), F.lit(0).alias("k"))
     return F.when(m == 0, empty).otherwise(F.aggregate(idx, init, step))
 
 
+def packed(pieces: Column, n_units: Column, max_tokens: int, max_chunks: int, space: int = 0) -> Column:
+    """Chunks of counted pieces (``array<struct<t,n>>``, a column or a let-bound
+    value) as the struct that ``chunk_table`` describes."""
+    def with_st(st: Column) -> Column:
+        def one(start, j):
+            end = F.coalesce(F.get(st["st"], j + 1), F.size(pieces) + 1)
+            sl = F.slice(pieces, start, end - start)
+            return F.struct(
+                F.array_join(F.transform(sl, lambda x: x["t"]), " ").alias("chunk"),
+                (F.aggregate(sl, F.lit(0), lambda a, x: a + x["n"]) + (F.size(sl) - 1) * space).alias("n_tokens"))
+
+        return F.struct(F.transform(F.slice(st["st"], 1, max_chunks), one).alias("chunks"),
+                        st["k"].alias("total_chunks"), F.greatest(st["k"] - max_chunks, F.lit(0)).alias("dropped_chunks"),
+                        n_units.alias("units"))
+
+    return let(_chunk_starts(F.transform(pieces, lambda x: x["n"]), max_tokens, max_chunks, space), with_st)
+
+
 def chunk_table(c: Column | str, max_tokens: int = DEFAULT_MAX_TOKENS, max_chunks: int = DEFAULT_MAX_CHUNKS,
                 counter: Counter = count_tokens, titles: list[str] | None = None,
-                units: Column | None = None) -> Column:
+                units: Column | None = None, space: int = 0, comma: int = 1) -> Column:
     """Chunks of a cleaned text with packing facts, as one struct:
 
     ``chunks array<struct<chunk:string, n_tokens:int>>`` (first ``max_chunks``),
-    ``total_chunks`` (before the cut, Q10), ``units`` (number of units).
-    Every intermediate is let-bound, so it is evaluated once per row.
+    ``total_chunks`` (before the cut, Q10), ``dropped_chunks`` (cut off),
+    ``units`` (number of units).  Every intermediate is let-bound, so it is
+    evaluated once per row.  ``space`` and ``comma`` are the tokens that the
+    counter adds for a join.
     """
-    def with_exp(exp: Column, n_units: Column) -> Column:
-        texts, counts = F.transform(exp, lambda x: x["t"]), F.transform(exp, lambda x: x["n"])
-
-        def with_st(st: Column) -> Column:
-            m = F.size(exp)
-
-            def one(start, j):
-                end = F.coalesce(F.get(st["st"], j + 1), m + 1)
-                sl = F.slice(exp, start, end - start)
-                return F.struct(
-                    F.array_join(F.transform(sl, lambda x: x["t"]), " ").alias("chunk"),
-                    F.aggregate(sl, F.lit(0), lambda a, x: a + x["n"]).alias("n_tokens"))
-
-            return F.struct(F.transform(F.slice(st["st"], 1, max_chunks), one).alias("chunks"),
-                            st["k"].alias("total_chunks"), n_units.alias("units"))
-
-        del texts
-        return let(_chunk_starts(counts, max_tokens, max_chunks), with_st)
-
     u = units if units is not None else split_units(c, titles)
-    return let(u, lambda us: let(expand_units(us, max_tokens, counter), lambda exp: with_exp(exp, F.size(us))))
+    return let(u, lambda us: let(expand_units(us, max_tokens, counter, comma),
+                                 lambda exp: packed(exp, F.size(us), max_tokens, max_chunks, space)))
 
 
 def build_chunks(c: Column | str, max_tokens: int = DEFAULT_MAX_TOKENS, max_chunks: int = DEFAULT_MAX_CHUNKS,
@@ -313,15 +317,19 @@ def build_chunks(c: Column | str, max_tokens: int = DEFAULT_MAX_TOKENS, max_chun
 
 def with_chunks(df: DataFrame, text_col: str, out_col: str = "chunks", max_tokens: int = DEFAULT_MAX_TOKENS,
                 max_chunks: int = DEFAULT_MAX_CHUNKS, counter: Counter = count_tokens,
-                titles: list[str] | None = None) -> DataFrame:
+                titles: list[str] | None = None, full: bool = False) -> DataFrame:
     """Add ``out_col array<struct<chunk:string, n_tokens:int>>`` for the
-    (cleaned) ``text_col``.  The column is produced once per row (see
-    ``filters.materialize``): rewrites around a later ``explode`` or filter
-    cannot copy the chunking expression."""
+    (cleaned) ``text_col``; with ``full`` the whole struct of ``chunk_table``.
+    The column is produced once per row (see ``filters.materialize``):
+    rewrites around a later ``explode`` or filter cannot copy the chunking
+    expression.  ``counter`` is native or a ``counters.WordCounter``."""
+    from chunkwise.functions.counters import WordCounter, with_counted_chunks
     from chunkwise.operators.filters import materialize
 
-    ch = chunk_table(F.col(text_col), max_tokens, max_chunks, counter, titles)["chunks"]
-    return materialize(df, {out_col: ch})
+    if isinstance(counter, WordCounter):
+        return with_counted_chunks(df, text_col, out_col, max_tokens, max_chunks, counter, titles, full)
+    ch = chunk_table(F.col(text_col), max_tokens, max_chunks, counter, titles)
+    return materialize(df, {out_col: ch if full else ch["chunks"]})
 
 
 def chunk_texts(c: Column | str) -> Column:

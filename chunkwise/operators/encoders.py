@@ -54,11 +54,11 @@ def hashed_vector(chunk: Column, dim: int = ENCODER_DIM) -> Column:
     return T.let(T.let(F.array_join(F.transform(tokens, letter), ""), counts), unit)
 
 
-def named_encoder(path: str) -> MakeEncoder:
+def named_factory(path: str) -> Callable:
     """The factory that ``package.module:name`` names; imported where it is called."""
     module, _, name = path.partition(":")
     if not module or not name:
-        raise ValueError(f"an encoder is named package.module:factory, not {path!r}")
+        raise ValueError(f"a factory is named package.module:factory, not {path!r}")
     return lambda: getattr(importlib.import_module(module), name)()
 
 

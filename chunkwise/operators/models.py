@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkwise.functions import text as T
+from chunkwise.functions.counters import WordCounter
 from chunkwise.operators import encoders as EN
 from chunkwise.operators import filters as FL
 from chunkwise.operators import metrics as M
@@ -32,7 +33,9 @@ class ChunkModel:
 
     ``encoder`` names a user encoder as ``package.module:factory``;
     ``make_encoder`` gives one directly (not persisted).  Without either the
-    native encoder of width ``dim`` is used.
+    native encoder of width ``dim`` is used.  ``counter`` names a factory of
+    the function that a ``counters.WordCounter`` takes; chunks are then
+    packed by its counts, with its ``joins`` (space, comma).
     """
     head_w: list[list[float]]
     head_b: list[float]
@@ -46,10 +49,12 @@ class ChunkModel:
     encoder: str | None = None
     batch_size: int = 64
     make_encoder: MakeEncoder | None = None
+    counter: str | None = None
+    joins: tuple[int, int] = (0, 1)
     extra: dict = field(default_factory=dict)
 
     def factory(self) -> MakeEncoder | None:
-        return self.make_encoder or (EN.named_encoder(self.encoder) if self.encoder else None)
+        return self.make_encoder or (EN.named_factory(self.encoder) if self.encoder else None)
 
 
 def default_model(n_classes: int, dim: int = ENCODER_DIM) -> ChunkModel:
@@ -63,6 +68,10 @@ def document_vectors(df: DataFrame, model: ChunkModel, text: str = "text", clean
     """C1 -> C7 -> C9 -> M5 -> M6/M7 for every row (no shuffle)."""
     t = T.clean_text(text) if clean else F.col(text)
     padded = T.pad_chunks(T.build_chunks(t, model.max_tokens, model.max_chunks), model.max_chunks)
+    if model.counter:
+        words = WordCounter(EN.named_factory(model.counter), *model.joins)
+        df = T.with_chunks(FL.materialize(df, {"_clean": t}), "_clean", "_chunks", model.max_tokens, model.max_chunks, words)
+        padded = T.pad_chunks(T.chunk_texts("_chunks"), model.max_chunks)
 
     def pool(vecs: Column, mask: Column) -> Column:
         if model.pooling == "attention":
@@ -73,10 +82,10 @@ def document_vectors(df: DataFrame, model: ChunkModel, text: str = "text", clean
     if make is None:
         def body(p: Column) -> Column:
             return T.let(F.transform(p["chunks"], lambda c: hashed_vector(c, model.dim)), lambda v: pool(v, p["chunk_mask"]))
-        return df.withColumn(out, T.let(padded, body))
+        return df.withColumn(out, T.let(padded, body)).drop("_clean", "_chunks")
     d = FL.materialize(df, {"_padded": padded})
     d = d.withColumn("_vecs", EN.encoder_udf(make, model.batch_size)(F.col("_padded")["chunks"]))
-    return d.withColumn(out, T.let(F.col("_vecs"), lambda v: pool(v, F.col("_padded")["chunk_mask"]))).drop("_padded", "_vecs")
+    return d.withColumn(out, T.let(F.col("_vecs"), lambda v: pool(v, F.col("_padded")["chunk_mask"]))).drop("_padded", "_vecs", "_clean", "_chunks")
 
 
 def predict_labels(df: DataFrame, model: ChunkModel, text: str = "text", out: str = "label") -> DataFrame:

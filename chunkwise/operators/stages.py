@@ -43,11 +43,14 @@ class _ChunkParams(Params):
     maxChunks = Param(Params._dummy(), "maxChunks", "chunks of a text", TypeConverters.toInt)
     dim = Param(Params._dummy(), "dim", "width of the chunk vectors", TypeConverters.toInt)
     encoder = Param(Params._dummy(), "encoder", "user encoder as package.module:factory; empty for the native one", TypeConverters.toString)
+    counter = Param(Params._dummy(), "counter", "token counter of the chunks as package.module:factory; empty for the native one", TypeConverters.toString)
+    joins = Param(Params._dummy(), "joins", "tokens that the counter adds for a space and for a comma between texts", TypeConverters.toListInt)
     batchSize = Param(Params._dummy(), "batchSize", "chunks given to a user encoder at a time", TypeConverters.toInt)
 
     def _defaults(self) -> None:
         self._setDefault(textCol="text", labelCol="label", predictionCol="prediction", categoryCol="category", pooling="attention",
-                         maxTokens=T.DEFAULT_MAX_TOKENS, maxChunks=T.DEFAULT_MAX_CHUNKS, dim=MD.ENCODER_DIM, encoder="", batchSize=64)
+                         maxTokens=T.DEFAULT_MAX_TOKENS, maxChunks=T.DEFAULT_MAX_CHUNKS, dim=MD.ENCODER_DIM, encoder="", batchSize=64,
+                         counter="", joins=[0, 1])
 
     def get(self, name: str):
         return self.getOrDefault(self.getParam(name))
@@ -137,7 +140,8 @@ class ChunkClassifierModel(Model, _ChunkParams, MLReadable, MLWritable):
         """A ``ChunkModel`` with this stage's params; the attention scorer is the rule-made one unless given."""
         w, b, v = (None, None, None) if self.get("pooling") == "mean" else attention or V.attention_weights(width)
         return MD.ChunkModel(head_w, head_b, w, b, v, self.get("pooling"), self.get("maxTokens"), self.get("maxChunks"), width,
-                             self.get("encoder") or None, self.get("batchSize"))
+                             self.get("encoder") or None, self.get("batchSize"), counter=self.get("counter") or None,
+                             joins=tuple(self.get("joins")))
 
     def categories(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.classes, CLASSES)

@@ -43,9 +43,9 @@ def write_label_lines(df: DataFrame, path: str) -> None:
 
 
 def chunk_records(df: DataFrame, max_tokens: int = T.DEFAULT_MAX_TOKENS, max_chunks: int = T.DEFAULT_MAX_CHUNKS,
-                  id_col: str = "id", keep: list[str] | None = None) -> DataFrame:
+                  id_col: str = "id", keep: list[str] | None = None, counter: T.Counter = T.count_tokens) -> DataFrame:
     """K4 rows: ``id, text, label, chunks, chunk_count``, after the columns of ``keep``."""
-    c = T.with_chunks(df, "text", "_ch", max_tokens, max_chunks)
+    c = T.with_chunks(df, "text", "_ch", max_tokens, max_chunks, counter)
     return c.select(*(keep or []), F.col(id_col).cast("bigint").alias("id"), "text", "label",
                     T.chunk_texts("_ch").alias("chunks"), F.size("_ch").alias("chunk_count"))
 
