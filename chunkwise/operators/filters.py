@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chunkwise.functions import text as T
@@ -96,6 +96,29 @@ def filter_with_reason(df: DataFrame, limits: Limits = Limits(), text: str = "te
     return kept, counts
 
 
+def write_with_reason(df: DataFrame, path: str, limits: Limits = Limits(), text: str = "text", counter: T.Counter = T.count_tokens,
+                      given: str | None = None, given_reasons: list[str] | None = None) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """D4 in one job: kept rows, rejected rows (with ``reason``) and the
+    number of rows per reason.
+
+    Every row is tagged once and written under ``path`` by reason; the counts
+    are metrics of that write, and both frames read their folders back.
+    ``given`` names a column whose reason, where it has one, goes first;
+    ``given_reasons`` are the values to be counted.
+    """
+    tag = removal_reason(F.col(text), limits, counter)
+    if given:
+        df, tag = df.withColumnRenamed(given, "_given"), F.coalesce(F.col("_given"), tag)
+    tagged = materialize(df, {"reason": tag}).drop("_given")
+    seen = Observation()
+    named = [REASON_KEPT, REASON_SHORT_CHARS, REASON_SHORT_TOKENS, REASON_OVERLONG, *(given_reasons or [])]
+    tagged.observe(seen, *[F.count_if(F.col("reason") == r).alias(r) for r in named]) \
+        .write.mode("overwrite").partitionBy("reason").parquet(path)
+    counts = {r: n for r, n in seen.get.items() if n}
+    back = df.sparkSession.read.schema(tagged.schema).parquet(path)
+    return back.where(F.col("reason") == REASON_KEPT).drop("reason"), back.where(F.col("reason") != REASON_KEPT), counts
+
+
 def empty_reason(text: str = "text") -> Column:
     """``empty`` for null and blank texts, null for others: tags a table in one pass."""
     return F.when(F.col(text).isNull() | (T.strip_ws(F.col(text)) == ""), F.lit(REASON_EMPTY))

@@ -94,10 +94,12 @@ def count_labels(lines: DataFrame, value: str = "value") -> DataFrame:
 
 def dataset_manifest(split_df: DataFrame, chunk_count: str = "chunk_count", label: str = "label",
                      test_size: float = 0.1, max_tokens: int = T.DEFAULT_MAX_TOKENS,
-                     max_chunks: int = T.DEFAULT_MAX_CHUNKS) -> DataFrame:
-    """One-row manifest: sizes, ratio, label list, three label distributions
-    (string -> count maps) and chunk statistics; ``to_json(struct(*))``
-    gives the file body.  One per-label aggregate (one row per class), then
+                     max_chunks: int = T.DEFAULT_MAX_CHUNKS, paths: dict[str, str] | None = None,
+                     dropped: str | None = None) -> DataFrame:
+    """One-row manifest: ``paths`` (input, output_dir) if given, sizes, ratio,
+    label list, three label distributions (string -> count maps) and chunk
+    statistics; ``to_json(struct(*))`` gives the file body.  ``dropped``
+    names a column with the chunks cut off a text, whose sums are added.  One per-label aggregate (one row per class), then
     one global aggregate over it."""
     def on(s):
         return F.col("split") == s
@@ -108,7 +110,8 @@ def dataset_manifest(split_df: DataFrame, chunk_count: str = "chunk_count", labe
         F.sum(F.when(on("train"), F.col(chunk_count))).alias("cs_train"),
         F.sum(F.when(on("test"), F.col(chunk_count))).alias("cs_test"),
         F.max(F.when(on("train"), F.col(chunk_count))).alias("cm_train"),
-        F.max(F.when(on("test"), F.col(chunk_count))).alias("cm_test"))
+        F.max(F.when(on("test"), F.col(chunk_count))).alias("cm_test"),
+        *[F.sum(F.when(on(s), F.col(dropped))).alias(f"cd_{s}") for s in ("train", "test") if dropped])
 
     def dist(col):
         k = F.col(label).cast("string")
@@ -121,19 +124,22 @@ def dataset_manifest(split_df: DataFrame, chunk_count: str = "chunk_count", labe
     def max_of(s):
         return F.coalesce(F.max(f"cm_{s}").cast("double"), F.lit(0.0))
 
+    cut = [F.coalesce(F.sum(f"cd_{s}"), F.lit(0)).alias(f"{s}_dropped_chunks") for s in ("train", "test") if dropped]
     m = per.agg(
         F.sum("n").alias("total_samples"), F.sum("n_train").alias("train_samples"),
         F.sum("n_test").alias("test_samples"), F.array_sort(F.collect_list(label)).alias("labels"),
         dist("n").alias("label_distribution_total"), dist("n_train").alias("label_distribution_train"),
         dist("n_test").alias("label_distribution_test"),
         avg_of("train").alias("train_avg_chunks"), max_of("train").alias("train_max_chunks"),
-        avg_of("test").alias("test_avg_chunks"), max_of("test").alias("test_max_chunks"))
+        avg_of("test").alias("test_avg_chunks"), max_of("test").alias("test_max_chunks"), *cut)
     return m.select(
+        *[F.lit(v).alias(k) for k, v in (paths or {}).items()],
         "total_samples", "train_samples", "test_samples", F.lit(test_size).alias("test_size"),
         F.size("labels").alias("num_labels"), "labels", "label_distribution_total", "label_distribution_train",
         "label_distribution_test",
         F.struct(F.lit(max_tokens).alias("max_tokens_per_chunk"), F.lit(max_chunks).alias("max_chunks"),
-                 "train_avg_chunks", "train_max_chunks", "test_avg_chunks", "test_max_chunks").alias("hbert"),
+                 "train_avg_chunks", "train_max_chunks", "test_avg_chunks", "test_max_chunks",
+                 *(["train_dropped_chunks", "test_dropped_chunks"] if dropped else [])).alias("hbert"),
         F.from_json(F.lit(json.dumps(OUTPUT_NAMES)), "map<string,string>").alias("outputs"),
     )
 

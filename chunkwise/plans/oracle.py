@@ -133,7 +133,13 @@ SELECT count(*) AS total_samples, count(*) FILTER (WHERE split = 'train') AS tra
        round(coalesce(avg(chunk_count) FILTER (WHERE split = 'train'), 0.0), 6) AS train_avg_chunks,
        coalesce(CAST(max(chunk_count) FILTER (WHERE split = 'train') AS DOUBLE), 0.0) AS train_max_chunks,
        round(coalesce(avg(chunk_count) FILTER (WHERE split = 'test'), 0.0), 6) AS test_avg_chunks,
-       coalesce(CAST(max(chunk_count) FILTER (WHERE split = 'test') AS DOUBLE), 0.0) AS test_max_chunks FROM c""")
+       coalesce(CAST(max(chunk_count) FILTER (WHERE split = 'test') AS DOUBLE), 0.0) AS test_max_chunks,
+       (SELECT string_agg(CAST(label AS VARCHAR), ',' ORDER BY label) FROM (SELECT DISTINCT label FROM c) l) AS labels,
+       (SELECT string_agg(k || ':' || n, ',' ORDER BY k) FROM (SELECT CAST(label AS VARCHAR) AS k, count(*) AS n FROM c GROUP BY 1) l) AS label_distribution_total,
+       (SELECT string_agg(k || ':' || n, ',' ORDER BY k) FROM (SELECT CAST(label AS VARCHAR) AS k, count(*) AS n FROM c WHERE split = 'train' GROUP BY 1) l)
+         AS label_distribution_train,
+       (SELECT string_agg(k || ':' || n, ',' ORDER BY k) FROM (SELECT CAST(label AS VARCHAR) AS k, count(*) AS n FROM c WHERE split = 'test' GROUP BY 1) l)
+         AS label_distribution_test FROM c""")
 sql("chunk_records", f"""
 SELECT split, row_number() OVER (PARTITION BY split ORDER BY {S.okey('doc_id', 42, 'order')}, doc_id) - 1 AS id,
        label, CAST(len(c) AS INTEGER) AS chunk_count, text, array_to_string(c, chr(10)) AS chunks

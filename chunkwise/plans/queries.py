@@ -17,6 +17,7 @@ from chunkwise.operators import filters as FL
 from chunkwise.operators import splits as SP
 from chunkwise.operators import stats as ST
 from chunkwise.operators.store import written
+from chunkwise.sources import readers as R
 from chunkwise.sources import sinks as K
 from chunkwise.plans import tables as TB
 
@@ -200,8 +201,8 @@ def q_with_category(spark, sf):
 
 @query("default_categories")
 def q_default_categories(spark, sf):
-    ids = TB.labelled_documents(spark, sf).select("label").distinct()
-    return ids.select("label", F.col("label").cast("string").alias("name"))
+    ids = TB.raw_documents(spark, sf).select("label").distinct()
+    return R.default_categories(spark).join(ids, "label", "left_semi")
 
 
 @query("count_labels")
@@ -274,7 +275,14 @@ def q_dataset_manifest(spark, sf):
     h = F.col("hbert")
     return m.select("total_samples", "train_samples", "test_samples", "test_size", "num_labels",
                     r6(h["train_avg_chunks"]).alias("train_avg_chunks"), h["train_max_chunks"].alias("train_max_chunks"),
-                    r6(h["test_avg_chunks"]).alias("test_avg_chunks"), h["test_max_chunks"].alias("test_max_chunks"))
+                    r6(h["test_avg_chunks"]).alias("test_avg_chunks"), h["test_max_chunks"].alias("test_max_chunks"),
+                    F.array_join("labels", ",").alias("labels"), *[_map_text(f"label_distribution_{s}") for s in ("total", "train", "test")])
+
+
+def _map_text(name):
+    """A map as ``key:value`` parts in key order."""
+    parts = F.transform(F.array_sort(F.map_entries(name)), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
+    return F.array_join(parts, ",").alias(name)
 
 
 @query("chunk_records")

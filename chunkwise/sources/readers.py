@@ -7,12 +7,14 @@ no quoting: a ``"`` or backslash in the text is kept as it is.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as TY
 
 from chunkwise.functions import text as T
 from chunkwise.operators import filters as FL
+from chunkwise.operators.store import written
 
 # ---------------------------------------------------------------------------
 # Default number of categories when no map is available.
@@ -25,51 +27,99 @@ REASON_NO_TAB = "no_tab"
 REASON_BAD_LABEL = "bad_label"
 
 
+BROADCAST_BLOCKS = 50_000  # line offsets are broadcast up to this many file blocks (about 10 MB)
+
+
 class BadRowsError(ValueError):
     pass
 
 
+def numbered_lines(spark: SparkSession, path: str, name: str = "row_id") -> DataFrame:
+    """(value, ``name``): every line with its 0-based number over all files in path order.
+
+    A first pass counts the lines of each file block without keeping them;
+    a block's offset is the count of the blocks before it, and the second
+    pass numbers its lines where they are.  The number depends on the files
+    alone, not on how they are cut into tasks.
+    """
+    # the columns that tell a line's block, and its place among the lines of its task
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
+                                         F.monotonically_increasing_id().alias("_id"))
+    blocks = written(lines.groupBy("_f", "_b").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")), "line-blocks")
+    # one row a file block: bounded by the input's bytes over the block size
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = blocks.select("_f", "_b", (before - F.col("_first")).alias("_o"))
+    small = blocks.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS
+    return lines.join(F.broadcast(offsets) if small else offsets, ["_f", "_b"]).select("value", (F.col("_id") + F.col("_o")).alias(name))
+
+
+def _lines(spark: SparkSession, path: str, row_id: str | None) -> DataFrame:
+    return numbered_lines(spark, path, row_id) if row_id else spark.read.text(path)
+
+
 def _first_line(spark: SparkSession, path: str) -> str | None:
-    """The first line of the input (one row to the driver, like Spark's own
-    CSV header handling)."""
-    r = spark.read.text(path).limit(1).collect()
+    """The first line of the input's first file in path order (one row to the
+    driver, like Spark's own CSV header handling).  The files are listed, not
+    read: a scan of several files starts with the largest."""
+    files = spark.read.format("binaryFile").load(path).where("length > 0").agg(F.min("path")).first()[0]
+    r = spark.read.text(files).limit(1).collect() if files else None
     return r[0][0] if r else None
 
 
-def read_labeled(spark: SparkSession, path: str, text_col: str = "text", label_col: str = "label",
-                 min_chars: int | None = FL.MIN_CHARS, mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:
-    """Headered or headerless ``text<TAB>label`` -> (rows, quarantine).
-
-    If the first line names both columns it is the header (and lines equal to
-    it are skipped); otherwise the file is headerless with fields
-    ``text, label``.  Text is cleaned, the label cast to int (rows whose
-    label is not an integer go to the quarantine frame, or raise with
-    ``mode="fail"``), then the ``min_chars`` filter applies.
-    """
+def tagged_labeled(spark: SparkSession, path: str, text_col: str = "text", label_col: str = "label",
+                   row_id: str | None = None) -> DataFrame:
+    """S1 in one pass: ``[row_id,] text (cleaned), label, value, reason`` of
+    every line that is not blank or a header; ``reason`` says why a line is
+    malformed (it then keeps its ``value``) and is null for the others."""
     first = _first_line(spark, path)
     names = first.split("\t") if first is not None else []
-    lines = spark.read.text(path).where(T.strip_ws(F.col("value")) != "")
+    lines = _lines(spark, path, row_id).where(T.strip_ws(F.col("value")) != "")
     if text_col in names and label_col in names:
         ti, li = names.index(text_col), names.index(label_col)
         lines = lines.where(F.col("value") != first)
     else:
         ti, li = 0, 1
     f = F.split(F.col("value"), "\t")
-    rows = lines.select(F.get(f, ti).alias("_t"), F.get(f, li).alias("_l"), "value")
-    label = T.strip_ws(F.col("_l")).try_cast("int")
-    rows = rows.withColumn("label", label)
-    bad = rows.where(F.col("label").isNull()).select(
-        "value", F.when(F.col("_l").isNull(), F.lit(REASON_NO_TAB)).otherwise(F.lit(REASON_BAD_LABEL)).alias("reason"))
-    good = rows.where(F.col("label").isNotNull()).select(T.clean_text("_t").alias("text"), "label")
-    if min_chars is not None:
-        good = FL.filter_min_chars(good, min_chars)
+    return _tagged(lines, row_id, F.get(f, ti), F.get(f, li), T.clean_text)
+
+
+def _tagged(lines: DataFrame, row_id: str | None, text: Column, label: Column, clean) -> DataFrame:
+    rows = lines.select(*([row_id] if row_id else []), text.alias("_t"), label.alias("_l"), "value")
+    rows = rows.withColumn("label", T.strip_ws(F.col("_l")).try_cast("int"))
+    reason = F.when(F.col("_l").isNull(), F.lit(REASON_NO_TAB)).when(F.col("label").isNull(), F.lit(REASON_BAD_LABEL))
+    rows = rows.withColumn("reason", reason)
+    return rows.select(*([row_id] if row_id else []), F.when(F.col("reason").isNull(), clean("_t")).alias("text"), "label",
+                       F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"), "reason")
+
+
+def _parted(tagged: DataFrame, path: str, mode: str) -> tuple[DataFrame, DataFrame]:
+    good = tagged.where(F.col("reason").isNull()).drop("value", "reason")
+    bad = tagged.where(F.col("reason").isNotNull()).drop("text", "label")
     if mode == "fail" and not bad.isEmpty():
         raise BadRowsError(f"rows without an integer label in {path}")
     return good, bad
 
 
+def read_labeled(spark: SparkSession, path: str, text_col: str = "text", label_col: str = "label",
+                 min_chars: int | None = FL.MIN_CHARS, mode: str = "quarantine",
+                 row_id: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Headered or headerless ``text<TAB>label`` -> (rows, quarantine).
+
+    If the first line names both columns it is the header (and lines equal to
+    it are skipped); otherwise the file is headerless with fields
+    ``text, label``.  Text is cleaned, the label cast to int (rows whose
+    label is not an integer go to the quarantine frame, or raise with
+    ``mode="fail"``), then the ``min_chars`` filter applies.  ``row_id``
+    names a column with the line's number, a stable key for splits.
+    """
+    good, bad = _parted(tagged_labeled(spark, path, text_col, label_col, row_id), path, mode)
+    if min_chars is not None:
+        good = FL.filter_min_chars(good, min_chars)
+    return good, bad
+
+
 def read_labeled_lines(spark: SparkSession, path: str, limits: FL.Limits = FL.Limits(),
-                       mode: str = "quarantine") -> tuple[DataFrame, DataFrame, DataFrame]:
+                       mode: str = "quarantine", row_id: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Line reader -> (kept rows, removal counts, quarantine).
 
     A ``text<TAB>label`` header line (any case, surrounding spaces allowed)
@@ -77,20 +127,12 @@ def read_labeled_lines(spark: SparkSession, path: str, limits: FL.Limits = FL.Li
     first tab; text is stripped, the label cast to int; then the length
     filters D1-D3 run with a reason per removed row.  Lines without a tab or
     with a non-integer label are quarantined (the reference raises; use
-    ``mode="fail"`` for that).
+    ``mode="fail"`` for that).  ``row_id`` as in ``read_labeled``.
     """
-    v = T.strip_ws(F.col("value"))
-    lines = spark.read.text(path).select(v.alias("line"))
-    lines = lines.where(F.col("line") != "").where(F.lower("line") != HEADER_LINE)
-    p = F.split(F.col("line"), "\t", 2)
-    rows = lines.select("line", F.get(p, 0).alias("_t"), F.get(p, 1).alias("_l"))
-    rows = rows.withColumn("label", T.strip_ws(F.col("_l")).try_cast("int"))
-    bad = rows.where(F.col("label").isNull()).select(
-        F.col("line").alias("value"),
-        F.when(F.col("_l").isNull(), F.lit(REASON_NO_TAB)).otherwise(F.lit(REASON_BAD_LABEL)).alias("reason"))
-    if mode == "fail" and not bad.isEmpty():
-        raise BadRowsError(f"malformed lines in {path}")
-    good = rows.where(F.col("label").isNotNull()).select(T.strip_ws("_t").alias("text"), "label")
+    lines = _lines(spark, path, row_id).withColumn("value", T.strip_ws(F.col("value")))
+    lines = lines.where(F.col("value") != "").where(F.lower("value") != HEADER_LINE)
+    p = F.split(F.col("value"), "\t", 2)
+    good, bad = _parted(_tagged(lines, row_id, F.get(p, 0), F.get(p, 1), lambda c: T.strip_ws(F.col(c))), path, mode)
     kept, counts = FL.filter_with_reason(good, limits)
     return kept, counts, bad
 
@@ -98,9 +140,15 @@ def read_labeled_lines(spark: SparkSession, path: str, limits: FL.Limits = FL.Li
 def read_categories(spark: SparkSession, path: str) -> DataFrame:
     """S3: ``label, name`` from a category map; separator tab, else first
     comma, else whitespace; rows whose id is not all digits are dropped;
-    sorted by id.  An empty map falls back to ``default_categories``."""
+    sorted by id.  An empty or missing map falls back to ``default_categories``."""
     v = T.strip_ws(F.col("value"))
-    lines = spark.read.text(path).select(v.alias("line")).where(F.col("line") != "")
+    try:
+        raw = spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return default_categories(spark)
+    lines = raw.select(v.alias("line")).where(F.col("line") != "")
     parts = (F.when(F.instr("line", "\t") > 0, F.split("line", "\t", 2))
              .when(F.instr("line", ",") > 0, F.split("line", ",", 2))
              .otherwise(F.split("line", f"{T.WS}+", 2)))

@@ -60,6 +60,11 @@ def write_json_row(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct(*df.columns)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_json_map(df: DataFrame, path: str) -> None:
+    """The one map column of a one-row frame as a JSON object of its own."""
+    df.select(F.to_json(F.col(df.columns[0])).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_label_maps(maps: DataFrame, path: str) -> None:
     """K5: ``label2id`` and ``id2label`` (from ``stats.label_maps``)."""
     write_json_row(maps.select("label2id"), f"{path}/label2id")
