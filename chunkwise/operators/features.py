@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from chunkwise.functions import text as T
 from chunkwise.operators import splits as SP
+from chunkwise.operators.store import written
 
 # Terms: maximal runs of Unicode letters, digits and underscore, length >= 2
 # (the "two or more word characters" rule with an explicit character class
@@ -130,13 +131,40 @@ def encode_ids(df: DataFrame, vocab: DataFrame, text: str = "chunk", keys: list[
     return g.select(*keys, e["input_ids"].alias("input_ids"), e["attention_mask"].alias("attention_mask"))
 
 
-def rebalance(df: DataFrame, label: str = "label", key: str = "doc_id", seed: int = SP.SEED) -> DataFrame:
+COPIES = 4096  # copies of a row that one task makes
+
+
+def rebalance(df: DataFrame, label: str = "label", key: str = "doc_id", seed: int = SP.SEED, copies: int = COPIES) -> DataFrame:
     """Replicate rows so every class reaches the largest class size
     exactly: each row of a class with n rows appears ``M div n`` times and the
-    first ``M mod n`` rows of the seeded order once more.  Adds ``copy_no``."""
-    r = SP.exact_rank(df, [label], SP.order_key(key, seed, "rebalance"), key, name="_r", with_total="_n")
-    largest = df.groupBy(label).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).scalar()
-    r = r.withColumn("_m", largest)
-    reps = (F.col("_m") / F.col("_n")).cast("bigint") + F.when(F.col("_r") <= F.col("_m") % F.col("_n"), 1).otherwise(0)
-    out = r.withColumn("copy_no", F.explode(F.sequence(F.lit(1), reps.cast("int"))))
-    return out.drop("_r", "_n", "_m")
+    first ``M mod n`` rows of the seeded order once more.  Adds ``copy_no``
+    (bigint, from 1).
+
+    Class sizes and the rows with one more copy come from a narrow table, as
+    in ``stratified_split``.  A row of more than ``copies`` copies becomes
+    ranges of that many, which are dealt over the tasks before they are
+    expanded; other rows are copied where they are.
+    """
+    rows = SP.narrow_rows(df, label, key)
+    sizes = written(rows.groupBy("g").agg(F.count(F.lit(1)).alias("cut")), "class-sizes")
+    least, most = sizes.agg(F.min("cut"), F.max("cut")).first()
+    most = most or 0
+    found = {"_cut": SP.cuts(rows, lambda n: F.lit(most) % n, seed, "rebalance"), "_n": sizes}
+    d = SP.with_cuts(df.withColumn("_place", SP.place_of({"_cut": found["_cut"]})), label, found)
+    more = SP.held_out(F.col("_cut"), F.col(key), F.col("_place"), seed, "rebalance")
+    d = d.withColumn("_reps", F.expr(f"{most}L div _n") + more.cast("long")).drop("_cut", "_n", "_place")
+
+    def numbers(first: Column, last: Column, step: int = 1) -> Column:
+        return F.explode(F.sequence(first, last, F.lit(step).cast("long")))
+
+    one = F.lit(1).cast("long")
+    if not least or most // least < copies:
+        return d.withColumn("copy_no", numbers(one, F.col("_reps"))).drop("_reps")
+    few = d.where(F.col("_reps") <= copies).withColumn("copy_no", numbers(one, F.col("_reps")))
+    # two levels of ranges, so that no row holds more than ``copies`` of them
+    many = d.where(F.col("_reps") > copies).withColumn("_a", numbers(one, F.col("_reps"), copies * copies))
+    many = many.withColumn("_b", numbers(F.col("_a"), F.least(F.col("_reps"), F.col("_a") + copies * copies - 1), copies))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = many.repartition(parts, F.col(key), F.col("_b"))
+    many = many.withColumn("copy_no", numbers(F.col("_b"), F.least(F.col("_reps"), F.col("_b") + copies - 1)))
+    return few.drop("_reps").unionByName(many.drop("_reps", "_a", "_b"))

@@ -19,6 +19,8 @@ each bucket its offset; ``row_number`` runs per (class, bucket).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,9 +107,9 @@ def kth(df: DataFrame, order: list[str], n: str = "n") -> DataFrame:
     return d.withColumn("need", F.col("need") - F.col("before")).drop("before")
 
 
-def cuts(rows: DataFrame, ratio: float, seed: int, salt: str) -> DataFrame:
-    """(g, cut) of every class with held-out rows; ``cut`` has the hash, key
-    and place of the last of them in the seeded order.
+def cuts(rows: DataFrame, want: Callable[[Column], Column], seed: int, salt: str) -> DataFrame:
+    """(g, cut) of every class with held-out rows, ``want`` of its size;
+    ``cut`` has the hash, key and place of the last of them in the seeded order.
 
     Rows equal in label and key follow each other by their place in the
     input; ``cut.tied`` says that the cut runs between such rows.
@@ -115,7 +117,7 @@ def cuts(rows: DataFrame, ratio: float, seed: int, salt: str) -> DataFrame:
     d = rows.withColumn("h", order_key("k", seed, salt)).withColumn("b", F.substring("h", 1, BUCKET_DIGITS))
     sizes = d.groupBy("g", "b").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy("g"))
-    bucket = kth(sizes.withColumn("need", held_out_count(total, ratio)), ["b"]).select("g", "b", "need")
+    bucket = kth(sizes.withColumn("need", want(total)).where("need > 0"), ["b"]).select("g", "b", "need")
     # the rows of one bucket a class, summed over equal keys before they meet
     inside = null_safe_join(d, bucket, ["g", "b"]).groupBy("g", "h", "k", "need").agg(F.count(F.lit(1)).alias("n"))
     row = written(kth(inside, ["h", "k"]), "split-cuts")
@@ -170,7 +172,7 @@ def stratified_split(df: DataFrame, label: str = "label", ratio: float = TEST_RA
     the same order twice, as files and written tables do.
     """
     salt = salt or names[1]
-    found = {"_cut": cuts(narrow_rows(df, label, key), ratio, seed, salt)}
+    found = {"_cut": cuts(narrow_rows(df, label, key), lambda n: held_out_count(n, ratio), seed, salt)}
     d = with_cuts(df.withColumn("_place", place_of(found)), label, found)
     out = F.when(held_out(F.col("_cut"), F.col(key), F.col("_place"), seed, salt), F.lit(names[1])).otherwise(F.lit(names[0]))
     return d.withColumn(split_col, out).drop("_cut", "_place")
@@ -181,9 +183,9 @@ def three_way_split(df: DataFrame, label: str = "label", test_ratio: float = TES
     """Test first, then dev out of the remaining train rows (its own salt);
     both cuts come from one narrow table, as in ``stratified_split``."""
     rows = narrow_rows(df, label, key)
-    test = cuts(rows, test_ratio, seed, "test")
+    test = cuts(rows, lambda n: held_out_count(n, test_ratio), seed, "test")
     left = with_cuts(rows, "g", {"_cut": test}).where(~held_out(F.col("_cut"), F.col("k"), F.col("id"), seed, "test")).select("g", "k", "id")
-    found = {"_test": test, "_dev": cuts(left, dev_ratio, seed, "dev")}
+    found = {"_test": test, "_dev": cuts(left, lambda n: held_out_count(n, dev_ratio), seed, "dev")}
     d = with_cuts(df.withColumn("_place", place_of(found)), label, found)
     side = F.when(held_out(F.col("_test"), F.col(key), F.col("_place"), seed, "test"), F.lit("test")) \
         .when(held_out(F.col("_dev"), F.col(key), F.col("_place"), seed, "dev"), F.lit("dev")).otherwise(F.lit("train"))

@@ -153,10 +153,11 @@ i AS (SELECT u.doc_id, u.chunk_no, list(coalesce(v.term_id, 1) ORDER BY u.pos) A
 f AS (SELECT doc_id, chunk_no, list_concat([2], ids, [3]) AS r FROM i)
 SELECT doc_id, chunk_no, CAST(len(r) AS INTEGER) AS n_real,
   array_to_string(list_concat(r, list_transform(range(512 - len(r)), lambda x: 0)), ' ') AS ids FROM f""")
-sql("rebalance", """
+sql("rebalance", f"""
 WITH l AS (SELECT doc_id, quality * 2 + toxic AS label FROM labels),
-c AS (SELECT label, count(*) AS n FROM l GROUP BY label), m AS (SELECT max(n) AS m FROM c)
-SELECT label, m.m AS n, c.n AS n_docs, CAST(CEIL(m.m / c.n) AS INTEGER) AS max_copies FROM c, m""")
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {S.okey('doc_id', 42, 'rebalance')}, doc_id) AS r, count(*) OVER (PARTITION BY label) AS n FROM l),
+m AS (SELECT max(n) AS m FROM r)
+SELECT doc_id, label, unnest(range(1, m.m // n + CASE WHEN r <= m.m % n THEN 2 ELSE 1 END)) AS copy_no FROM r, m""")
 
 # ------------------------------------------------------------------ encoder and prediction
 from chunkwise.plans.oracle import CATS  # noqa: E402

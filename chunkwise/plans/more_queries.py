@@ -174,9 +174,7 @@ def q_encode_ids(spark, sf):
 @query("rebalance")
 def q_rebalance(spark, sf):
     lab = TB.table(spark, sf, "labels").select("doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("label"))
-    r = FE.rebalance(lab)
-    return r.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_docs"),
-                                  F.max("copy_no").alias("max_copies"))
+    return FE.rebalance(lab).select("doc_id", "label", "copy_no")
 
 
 # ---------------------------------------------------------------- models and stream (rows-only)
@@ -252,5 +250,5 @@ def q_fit_select(spark, sf):
 @query("score_stream")
 def q_score_stream(spark, sf):
     stream = SC.document_stream(spark, sf).select("doc_id", "text")
-    scored = SC.score_stream(stream, MD.default_model(DOC_CLASSES), TB.categories(spark, sf), keep=["doc_id"])
-    return spark.read.parquet(SC.run_to_table(spark, scored))
+    scored, _ = SC.score_to_table(spark, stream, MD.default_model(DOC_CLASSES), TB.categories(spark, sf))
+    return scored.select("doc_id", "label", "category")
