@@ -34,3 +34,14 @@ def test_results_do_not_depend_on_ansi_mode(spark):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
     assert on == off
+
+
+def test_a_missing_optional_library_leaves_the_core():
+    """In a process of its own, as the modules are loaded here already."""
+    import subprocess
+    import sys
+
+    code = ("import sys, warnings; sys.modules['public_tokenizers'] = None; warnings.simplefilter('ignore'); "
+            "import __spark_entry__ as E; print(len(E.queries()), len(E.oracle_sql()))")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=E.__file__.rsplit("/", 1)[0])
+    assert out.stdout.split() == ["60", "56"]
