@@ -154,30 +154,10 @@ def evaluate(df: DataFrame, model, truth: str = "label", text: str = "text", lab
 
 def reduce_dims(weights: DataFrame, vocab: DataFrame, k: int = 16, key: str = "doc_id") -> DataFrame:
     """M2: truncated SVD (no centring) of the TF-IDF matrix; returns the
-    document coordinates ``U * S`` as ``key, dim, value``.  Rows are sparse
-    vectors of the vocabulary width; the decomposition is Spark's
-    distributed ``IndexedRowMatrix.computeSVD``."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
+    document coordinates ``U * S`` as ``key, dim, value`` (``operators.svd``)."""
+    from chunkwise.operators.svd import reduce_rows
 
-    from chunkwise.session import checkpoint_dir
-
-    n = vocab.count()  # vocabulary width (bounded by max_features)
-    rows = weights.join(F.broadcast(vocab.select("term", "term_id")), "term") \
-        .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("e"))
-    # the eigen-solver passes over the rows many times: cut the lineage once
-    # (shared checkpoint folder), keep the vectors cached between passes
-    checkpoint_dir(weights.sparkSession)
-    rows = rows.checkpoint(eager=True)
-    rdd = rows.rdd.map(lambda r: IndexedRow(r[0], Vectors.sparse(n, [x[0] for x in r[1]], [x[1] for x in r[1]])))
-    rdd = rdd.cache()
-    svd = IndexedRowMatrix(rdd).computeSVD(k, computeU=True)
-    s = [float(x) for x in svd.s.toArray()]
-    spark = weights.sparkSession
-    u = spark.createDataFrame(svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()])),
-                              f"{key} bigint, u array<double>")
-    sv = V.const_vector(s)
-    return u.select(key, F.posexplode(F.zip_with("u", sv, lambda a, b: a * b)).alias("dim", "value"))
+    return reduce_rows(weights, vocab, k, key)[0]
 
 
 # ------------------------------------------------------------------ M3 / M4 baselines

@@ -181,6 +181,8 @@ def q_rebalance(spark, sf):
 
 from chunkwise.operators import models as MD  # noqa: E402
 from chunkwise.operators import splits as SP  # noqa: E402
+from chunkwise.operators import wordvec as WV  # noqa: E402
+from chunkwise.operators.store import written  # noqa: E402
 from chunkwise.streaming import scoring as SC  # noqa: E402
 
 DOC_CLASSES = 20
@@ -212,10 +214,7 @@ def q_reduce_dims(spark, sf):
 def _split_docs(spark, sf):
     """Three-way split of the kept documents, materialised once in the
     shared checkpoint folder: model fitting scans it many times."""
-    from chunkwise.session import checkpoint_dir
-
-    checkpoint_dir(spark)
-    return SP.three_way_split(kept_documents(spark, sf)).checkpoint(eager=True)
+    return written(SP.three_way_split(written(kept_documents(spark, sf), "kept-documents")), "split-documents")
 
 
 @query("tree_baseline")
@@ -229,9 +228,8 @@ def q_tree_baseline(spark, sf):
 @query("wordvec_baseline")
 def q_wordvec_baseline(spark, sf):
     s = _split_docs(spark, sf)
-    m = MD.fit_wordvec_baseline(s.where("split = 'train'"))
-    return m.transform(s.where("split = 'test'")).select("doc_id", "label", F.col("prediction").cast("int")
-                                                         .alias("pred"))
+    m = WV.SupervisedWordVectors(predictionCol="pred").fit(s.where("split = 'train'"))
+    return m.transform(s.where("split = 'test'")).select("doc_id", "label", "pred")
 
 
 @query("fit_select")
