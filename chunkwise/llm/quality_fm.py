@@ -73,7 +73,8 @@ class FactorisationMachine:
 
 
 def held_out():
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    """Whether a row is kept from learning; a row without a doc_id is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> FactorisationMachine:

@@ -197,3 +197,20 @@ def test_pipeline_decides_by_row(spark, tmp_path):
     assert look(near) == sorted(map(str, [(1, a), (2, b), (3, c), (None, d), (4, None), (None, None)]))
     clean = corpus_pipeline.benchmark(spark, docs, str(tmp_path))
     assert look(clean) == sorted(map(str, [x for x in rows if x[1] != d]))
+
+
+def test_line_dedup_clashing_columns(spark):
+    names = ["copy_", "gone_", "d_", "t_", "th_", "r_", "lead_", "rest", "d", "th", "pos", "k", "line", "at", "n_lines"]
+    text = "one line that is long enough to be compared\nshort\none line that is long enough to be compared"
+    docs = spark.createDataFrame([(1, text, *range(len(names))), (1, text, *range(len(names))), (None, None, *range(len(names)))],
+                                 "doc_id long, text string, " + ", ".join(f"{c} int" for c in names))
+    got = line_dedup.dedup_lines(docs, grow=line_dedup.GROW, every=True)
+    assert got.columns == ["doc_id", "text", *names[:-1], "n_lines", "n_removed"]
+    rows = got.collect()
+    assert all([r[c] for c in names[:-1]] == list(range(len(names) - 1)) for r in rows)
+    assert sorted(("-" if r["text"] is None else r["text"], r["n_removed"]) for r in rows) == [("", 3), ("-", 0), (text.rsplit("\n", 1)[0], 1)]
+
+
+def test_rows_without_an_id_are_not_held_out(spark):
+    d = spark.createDataFrame([(None,), (5,), (6,)], "doc_id long").select(quality_fm.held_out().alias("h")).collect()
+    assert all(r["h"] in (True, False) for r in d) and d[0]["h"] is False
