@@ -55,11 +55,29 @@ def with_ngrams(toks: Column, n_max: int = 2) -> Column:
     return T.let(toks, body)
 
 
+def counted(grams: Column) -> Column:
+    """``array<struct<term, tf>>`` of a list of terms: sorted, and each run of equal terms measured."""
+    def runs(s: Column) -> Column:
+        n = F.size(s)
+        at = F.when(n == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), n))
+        # the places where a run starts
+        starts = F.filter(at, lambda i: (i == 1) | (F.element_at(s, i) != F.get(s, i - 2)))
+        return T.let(starts, lambda b: F.transform(b, lambda i, j: F.struct(
+            F.element_at(s, i).alias("term"), (F.coalesce(F.get(b, j + 1), n + 1) - i).cast("bigint").alias("tf"))))
+
+    return T.let(F.array_sort(grams), runs)
+
+
 def term_counts(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_max: int = 2,
                 stop_words: list[str] | None = None) -> DataFrame:
-    """(key, term, tf) rows."""
-    g = df.select(key, F.explode(with_ngrams(terms(F.col(text), stop_words), ngram_max)).alias("term"))
-    return g.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(key, row, counts ``array<struct<term, tf>>``) of each row, written
+    once.  Terms are counted inside the row, so nothing is shuffled; ``row``
+    tells rows of one key apart."""
+    from chunkwise.operators.filters import materialize
+
+    d = df.select(key, F.monotonically_increasing_id().alias("row"), F.col(text).alias("_text"))
+    grams = with_ngrams(terms(F.coalesce(F.col("_text"), F.lit("")), stop_words), ngram_max)
+    return written(materialize(d, {"counts": counted(grams)}).select(key, "row", "counts"), "term-counts")
 
 
 def tfidf(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_max: int = 2, max_features: int = 50000,
@@ -69,13 +87,15 @@ def tfidf(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_max: int
     df limits first (``min_df`` documents, at most ``max_df`` share), then
     the ``max_features`` terms with the largest corpus count (ties by term);
     weight ``tf * (ln((1 + N) / (1 + df)) + 1)``, L2-normalised per document.
+    Every row is a document, whatever its key; a null text has no terms.
+
+    The texts are read once and not shuffled: the statistics shuffle distinct
+    terms after map-side aggregation, and of the counted terms only those in
+    the vocabulary are shuffled, for the norm.
     """
-    # Partition the documents by key once: the per-(key, term) counts and the
-    # per-key norm window are then both satisfied by that partitioning, so the
-    # exploded term rows (about twice the tokens) are never shuffled by key;
-    # only the per-term statistics shuffle, after map-side aggregation.
-    tc = term_counts(df.select(key, text).repartition(key), text, key, ngram_max, stop_words)
-    n_docs = df.select(key).distinct().agg(F.count(F.lit(1))).scalar()  # scalar subquery, evaluated once
+    rows = term_counts(df, text, key, ngram_max, stop_words)
+    n_docs = rows.agg(F.count(F.lit(1))).scalar()  # scalar subquery, evaluated once
+    tc = rows.select(key, "row", F.inline("counts"))
     stats = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")) \
         .withColumn("n_docs", n_docs)
     keep = (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * F.col("n_docs"))
@@ -84,7 +104,7 @@ def tfidf(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_max: int
         .withColumn("idf", F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1) \
         .select("term", "term_id", "df", "idf")
     w = tc.join(F.broadcast(vocab.select("term", "idf")), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("row")))
     return w.select(key, "term", (F.col("w") / norm).alias("weight")), vocab
 
 

@@ -1,10 +1,11 @@
-"""M2: truncated SVD of a sparse document-term matrix by randomised subspace iteration.
+"""M2: truncated SVD of a sparse document-term matrix by randomised block Krylov iteration.
 
 Documents stay in their tasks as sparse rows; what travels is bounded by the
 vocabulary times the rank, whatever the number of documents:
 
 * the range finder starts from Gaussian columns, made in each task from the
-  seed, and continues from the right vectors of the round before;
+  seed; each round adds the directions that the matrix makes of it, until
+  the singular values stand still;
 * the orthonormal basis of the tall product comes from a tree of QR blocks:
   a batch gives its R, groups of them are stacked and factored again;
 * the small matrix (rank x vocabulary) is a sum over batches, added up in
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from chunkwise.operators.store import written
 
-OVERSAMPLE, ROUNDS, SEED = 10, 4, 42
+OVERSAMPLE, ROUNDS, STILL, SEED = 10, 20, 1e-12, 42
+KEPT = 8  # the basis is cut back to two starts of it when it holds more than so many
 BLOCK = 4096  # columns of the small matrix that are added up together
 FAN = 16  # R factors that are stacked at each level of the tree
 
@@ -117,16 +119,25 @@ def small_matrix(rows: DataFrame, right, back: np.ndarray, width: int) -> np.nda
 def truncated_svd(rows: DataFrame, width: int, k: int, oversample: int = OVERSAMPLE, rounds: int = ROUNDS,
                   seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """(singular values, right vectors as columns) of the sparse rows: the
-    largest ``k``, fewer if the matrix is smaller."""
-    rank = max(1, min(k + oversample, width))
-    right = lambda: gaussian(width, rank, seed)
-    s, vt = np.zeros(0), np.zeros((0, width))
+    largest ``k``, fewer if the matrix is smaller.  At most ``rounds`` rounds
+    of two passes over the rows, fewer once no value changes by more than
+    ``STILL`` of the largest."""
+    start = max(1, min(k + oversample, width))
+    right, rank = (lambda: gaussian(width, start, seed)), start
+    before, s, vt = None, np.zeros(0), np.zeros((0, width))
     for _ in range(max(1, rounds)):
         back = np.linalg.pinv(tree_qr(rows, right, rank))
         _, s, vt = np.linalg.svd(small_matrix(rows, right, back, width), full_matrices=False)
-        basis = np.ascontiguousarray(vt.T)
-        rank = basis.shape[1]
-        right = lambda b=basis: b
+        top = np.r_[s, np.zeros(k)][:k]
+        if before is not None and np.abs(top - before).max(initial=0.0) <= STILL * max(top.max(initial=0.0), 1e-300):
+            break
+        before = top
+        old = np.hstack([right(), vt.T]) if rank + start <= KEPT * start else vt[:2 * start].T
+        u, size, _ = np.linalg.svd(old, full_matrices=False)  # vocabulary x rank: an orthonormal basis of both
+        basis = np.ascontiguousarray(u[:, size > 1e-10 * size.max(initial=0.0)])
+        if not basis.shape[1]:
+            break
+        right, rank = (lambda b=basis: b), basis.shape[1]
     return s[:k], vt[:k].T
 
 

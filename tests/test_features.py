@@ -69,3 +69,24 @@ def test_reduce_dims_matches_numpy_svd(spark):
     for j in range(k):
         ref = u[:, j] * s[j]
         assert min(np.abs(us[:, j] - ref).max(), np.abs(us[:, j] + ref).max()) < 1e-6
+
+
+def test_tfidf_equals_plain_counts(spark):
+    """Null, empty and repeated texts and keys: each row is a document."""
+    from collections import Counter
+
+    rows = [(1, "red fish blue fish"), (1, "red fish"), (None, "one fish two fish red"), (2, ""), (3, None), (4, "a b c"), (4, "red red red blue")]
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    w, vocab = FE.tfidf(df, ngram_max=2, max_features=6, min_df=2, max_df=0.9)
+    docs = [[t for t in (x or "").split() if len(t) > 1] for _, x in rows]
+    docs = [Counter(t + [" ".join(p) for p in zip(t, t[1:])]) for t in docs]
+    df_of, total = Counter(t for d in docs for t in d), sum(docs, Counter())
+    terms = sorted((t for t in df_of if 2 <= df_of[t] <= 0.9 * len(rows)), key=lambda t: (-total[t], t))[:6]
+    assert [r["term"] for r in vocab.orderBy("term_id").collect()] == terms
+    want = []
+    for (key, _), d in zip(rows, docs, strict=True):
+        x = {t: d[t] * (math.log((1 + len(rows)) / (1 + df_of[t])) + 1) for t in terms if d[t]}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        want += [(key, t, round(v / norm, 9)) for t, v in x.items()]
+    got = [(r["doc_id"], r["term"], round(r["weight"], 9)) for r in w.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))

@@ -27,7 +27,7 @@ def frames(spark, a, parts):
 def test_singular_values_equal_numpy(spark, monkeypatch, n, width, parts, fan):
     monkeypatch.setattr(svd, "FAN", fan)
     a, k = matrix(n, width), 6
-    u, s = svd.reduce_rows(*frames(spark, a, parts), k, "doc_id", rounds=8)
+    u, s = svd.reduce_rows(*frames(spark, a, parts), k, "doc_id")
     full_u, full_s, vt = np.linalg.svd(a, full_matrices=False)
     assert np.allclose(s, full_s[:k], rtol=1e-6)
     got = np.zeros((n, k))
