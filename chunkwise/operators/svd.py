@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from chunkwise.operators.store import written
 
-OVERSAMPLE, ROUNDS, STILL, SEED = 10, 20, 1e-12, 42
+OVERSAMPLE, ROUNDS, STILL, SEED = 10, 8, 1e-12, 42
 KEPT = 8  # the basis is cut back to two starts of it when it holds more than so many
 BLOCK = 4096  # columns of the small matrix that are added up together
 FAN = 16  # R factors that are stacked at each level of the tree
