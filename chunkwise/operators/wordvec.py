@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkwise.functions import text as T
+from chunkwise.operators.filters import materialize
 from chunkwise.operators.store import written
 
 BLOCK = 1024  # buckets that are averaged together
@@ -174,7 +175,9 @@ class SupervisedWordVectorsModel(Model, _Params, MLReadable, MLWritable):
             v, h = state.value
             return pd.Series((means(ids.tolist(), v)[0] @ h.T).argmax(axis=1).astype(np.int32))
 
-        return df.withColumn(self.get("predictionCol"), classify(bucket_ids(F.col(self.get("textCol")), self.get("buckets"), self.get("wordPairs"))))
+        ids = bucket_ids(F.col(self.get("textCol")), self.get("buckets"), self.get("wordPairs"))
+        d = materialize(df, {"_ids": ids})  # so that a filter above leaves them where they are
+        return d.withColumn(self.get("predictionCol"), classify("_ids")).drop("_ids")
 
     def write(self) -> MLWriter:
         return _Writer(self)

@@ -180,6 +180,7 @@ def q_rebalance(spark, sf):
 # ---------------------------------------------------------------- models and stream (rows-only)
 
 from chunkwise.operators import models as MD  # noqa: E402
+from chunkwise.operators import boosting as BT  # noqa: E402
 from chunkwise.operators import splits as SP  # noqa: E402
 from chunkwise.operators import wordvec as WV  # noqa: E402
 from chunkwise.operators.store import written  # noqa: E402
@@ -220,9 +221,8 @@ def _split_docs(spark, sf):
 @query("tree_baseline")
 def q_tree_baseline(spark, sf):
     s = _split_docs(spark, sf)
-    m = MD.fit_tree_baseline(s.where("split = 'train'"), STOP_WORDS, vocab_size=TFIDF_FEATURES)
-    return m.transform(s.where("split = 'test'")).select("doc_id", "label", F.col("prediction").cast("int")
-                                                         .alias("pred"))
+    m = BT.BoostedTrees(predictionCol="pred", stopWords=STOP_WORDS).fit(s.where("split = 'train'"))
+    return m.transform(s.where("split = 'test'")).select("doc_id", "label", "pred")
 
 
 @query("wordvec_baseline")

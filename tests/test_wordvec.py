@@ -85,3 +85,4 @@ def test_gradient_equals_differences():
 def test_every_row_is_predicted(spark, fitted):
     d = spark.createDataFrame([(1, None), (1, ""), (None, "sign00 " * 50)], "doc_id int, text string")
     assert fitted.transform(d).count() == 3 and fitted.transform(d.limit(0)).count() == 0
+    assert fitted.transform(d).where("prediction >= 0").count() == 3  # a filter above the prediction
