@@ -90,6 +90,28 @@ def test_sharding(spark, docs):
     assert len(sizes) == 24 and max(sizes) < 1.02 * min(sizes)
 
 
+def test_shards_keep_groups_whole(spark):
+    """Sizes, checksums, slots and groups against a plain loop; a group of 0.19 of a shard stays together."""
+    import zlib
+
+    rows = [(i, f"text {i % 700} " + "é" * (i % 700 % 97)) for i in range(2400)]
+    per = sum(len(t.encode()) + 8 for _, t in rows) / 24
+    rows += [(5000 + i, "G" * int(per * 0.19 / 20 - 8)) for i in range(20)] + [(6000 + i, "H" * int(per * 3 / 50)) for i in range(50)]
+    rows += [(7000 + i, t) for i, t in enumerate([None, None, "", "", " "])] + [(None, "text 1 é"), (1, rows[1][1]), (1, rows[1][1])]
+    out = sharding.shard(spark.createDataFrame([(d, t, 1, 2) for d, t in rows], "doc_id long, text string, unit int, g int")).collect()
+    want = sorted((str(d), len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in rows)
+    assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in out) == want
+    slots, shards, size = {}, {}, Counter()
+    for r in out:
+        slots.setdefault(r.shard, []).append(r.slot)
+        shards.setdefault((r.text_crc32, r.size), set()).add(r.shard)
+        size[r.shard] += r.size
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and set(slots) == set(range(24))
+    text_of = {(zlib.crc32((t or "").encode()), len((t or "").encode()) + 8): t for _, t in rows}
+    assert {k for k, v in shards.items() if len(v) > 1} == {k for k in shards if (text_of[k] or "").startswith("H")}
+    assert max(size.values()) < 1.05 * min(size.values())
+
+
 def test_secret_scan(docs):
     net = secret_scan.train(docs)
     r = {x.doc_id: x for x in secret_scan.scan(docs, net).collect()}[11]
