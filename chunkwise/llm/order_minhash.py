@@ -10,10 +10,12 @@ connected components; equal texts are one class.  Null or wordless texts only jo
 
 In a bucket all members are first compared with its centre, the member whose buckets are largest
 together (of a group of copies, the one most like the others); a bucket that then holds one
-component is done.  One whose members of different components make at most ``SMALL`` pairs a
-member compares those; in the others a pair must share a second sketch, is met in one of its
-buckets alone, and goes from the bucket's join straight to verification.  Pairs whose k-mer counts alone rule out the threshold are
-left out before any k-mers are joined.  Texts are told apart by their digest, not by doc_id.
+component is done.  The members of the others meet in a prefix join: k-mers are ordered by how many of
+these texts hold them, rarest first, and two texts of similarity ``SIMILARITY`` share one of the first
+n - ceil(SIMILARITY n) + 1, at places that leave enough k-mers behind both.  So every link between members of
+such buckets is found, however large a bucket is, and frequent passages are not compared text by text.
+Pairs whose k-mer counts alone rule out the threshold are left out before any k-mers are joined.
+Texts are told apart by their digest, not by doc_id.
 """
 
 from __future__ import annotations
@@ -24,14 +26,13 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkwise.llm.store import stored
 
-K, SKETCHES, ELL, SIMILARITY, SMALL = 5, 24, 3, 0.8, 32
+K, SKETCHES, ELL, SIMILARITY = 5, 24, 3, 0.8
 WORD = re.compile(rb"[0-9a-z\x80-\xFF]+")  # of the lower-cased UTF-8 bytes
-SLICE = 1024  # members of a heavy bucket that one task compares with all of it
 BLOCK = 1 << 21  # numbers hashed at a time
 SHORT, HELD = 4000, 1 << 20  # k-mers of a pair that is compared as sets first; k-mers held in such sets
 _R = np.random.default_rng(11)
@@ -185,28 +186,29 @@ def classes(docs: DataFrame) -> DataFrame:
         return m.where(F.col("first.id") != F.col("id")).where(fits("first.n", "n")).select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct()
 
     def unresolved(m: DataFrame, comp: DataFrame) -> DataFrame:
-        """Members of buckets of several components, with the pairs of different components a member."""
+        """(id, n, comp) of the members of buckets that hold several components."""
         x = m.select("key", "id", "n").join(comp, "id")
-        b = (x.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-             .where("s * s > q").select("key", F.ceil(F.col("s") / SLICE).cast("int").alias("slices"), ((F.col("s") * F.col("s") - F.col("q")) / (2 * F.col("s"))).alias("load")))
-        return stored(x.join(b, "key"), "unresolved")
-
-    def cross(x: DataFrame, *more: str, also=lambda: F.lit(True)) -> DataFrame:
-        """Pairs of a bucket from different components; the second member's columns end in 2.
-
-        The first members of a bucket are dealt over its slices of about ``SLICE`` rows, and the
-        second ones go to each slice, so a large bucket is the work of several tasks.
-        """
-        parts = int(x.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        y = (x.select(*[F.col(c).alias(f"{c}2") for c in ("key", "id", "comp", "n", *more)], F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice2"))
-             .repartition(parts, "key2", "slice2"))
-        x = x.withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")).repartition(parts, "key", "slice")
-        return x.join(y, (F.col("key") == F.col("key2")) & (F.col("slice") == F.col("slice2")) & (F.col("id") < F.col("id2")) & (F.col("comp") != F.col("comp2")) & fits("n", "n2") & also())
-
-    def second() -> Column:
-        """Two shared sketches or more, and of their buckets the one that a hash of the pair names."""
-        both = F.array_intersect("keys", "keys2")
-        return (F.size(both) > 1) & (both[F.pmod(F.xxhash64("id", "id2"), F.size(both)).cast("int")] == F.col("key"))
+        mixed = x.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+        return stored(x.join(mixed, "key", "left_semi").select("id", "n", "comp").distinct(), "unresolved")
+
+    def prefix_pairs(x: DataFrame, known: DataFrame) -> DataFrame:
+        """(a, b) of different components that share a k-mer of both prefixes at places that allow the threshold."""
+        grams = known.join(x.select("id"), "id", "left_semi").select("id", F.explode("g").alias("gram"))
+        held = grams.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
+        # a k-mer of one text alone joins nothing; it only moves the others behind it
+        some = grams.join(held, "gram").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("c", "gram"))).alias("s"))
+        size = (F.col("n") - F.ceil(F.col("n") * SIMILARITY - 1e-9) + 1).cast("int")
+        alone = F.col("n") - F.size("s")
+        rows = (some.join(x, "id").where(size > alone)
+                .select("id", "comp", "n", alone.alias("alone"), F.posexplode(F.slice("s", F.lit(1), size - alone)).alias("i", "v"))
+                .select(F.col("v.gram").alias("key"), "id", "comp", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest")))
+        rows = stored(rows, "prefix")
+        mixed = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+        rows = stored(rows.join(mixed, "key", "left_semi"), "prefix-mixed")
+        y = rows.select(*[F.col(c).alias(f"{c}2") for c in rows.columns])
+        enough = F.least("rest", "rest2") >= (F.col("n") + F.col("n2")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9
+        return (rows.join(y, (F.col("key") == F.col("key2")) & (F.col("id") < F.col("id2")) & (F.col("comp") != F.col("comp2")) & fits("n", "n2") & enough)
+                .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
 
     member = shared(member)
     nodes = member.select("id").distinct()
@@ -219,11 +221,7 @@ def classes(docs: DataFrame) -> DataFrame:
 
     comp = merged(stored(nodes.select("id", F.col("id").alias("comp")), "comp"), linked(star(member)))
     left = unresolved(member, comp)
-    few = linked(cross(left.where(F.col("load") <= SMALL)).select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
-    many = left.where(F.col("load") > SMALL).join(sk.select("id", "keys"), "id").join(known, "id")
-    far = stored(cross(many, "keys", "g", also=second).select(F.col("id").alias("a"), F.col("id2").alias("b"), F.col("g").alias("ga"), F.col("g2").alias("gb"))
-                 .mapInPandas(verify, "a binary, b binary"), "far")
-    comp = merged(comp, few.union(far))
+    comp = merged(comp, linked(prefix_pairs(left, known)))
     of = texts.select("id", "low").join(comp, "id", "left").select("id", "low", F.coalesce("comp", "id").alias("comp"))
     least = of.groupBy("comp").agg(F.min("low").alias("class_id"))
     out = of.join(least, "comp").select("id", "class_id")

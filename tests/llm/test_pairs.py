@@ -4,7 +4,6 @@ import random
 
 import numpy as np
 import public_tokenizers
-import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 import corpus_pipeline
@@ -95,9 +94,7 @@ def test_line_dedup_whole(spark):
     assert line_dedup.allowed(600, 2, line_dedup.GROW) == 19
 
 
-@pytest.mark.parametrize("small", [32, 0])
-def test_near_duplicates_brute_force(spark, monkeypatch, small):
-    monkeypatch.setattr(order_minhash, "SMALL", small)
+def test_near_duplicates_brute_force(spark):
     r = random.Random(3)
     vocab = [f"w{i}" for i in range(500)]
     rows = []
@@ -214,3 +211,27 @@ def test_line_dedup_clashing_columns(spark):
 def test_rows_without_an_id_are_not_held_out(spark):
     d = spark.createDataFrame([(None,), (5,), (6,)], "doc_id long").select(quality_fm.held_out().alias("h")).collect()
     assert all(r["h"] in (True, False) for r in d) and d[0]["h"] is False
+
+
+def test_near_duplicates_short_texts_in_hot_buckets(spark):
+    """A passage that all texts share, with short endings: links against all pairs, none false and none missed."""
+    r = random.Random(12)
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [(i, " ".join([passage, *[f"e{r.randrange(6)}" for _ in range(r.randint(1, 9))]])) for i in range(300)]
+    rows += [(300 + i, " ".join(f"p{j}" for j in range(r.randint(5, 9)))) for i in range(30)]
+    got = {x.doc_id: x.class_id for x in order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    k = {d: order_minhash.kmers(t) for d, t in rows}
+    par = {d: d for d in k}
+
+    def find(x):
+        while par[x] != x:
+            x = par[x]
+        return x
+
+    links = [(a, b) for a in k for b in k if a < b and order_minhash.similarity(k[a], k[b]) >= 0.8]
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        par[y] = x
+    assert len(links) > 1000 and len({find(d) for d in k}) > 20
+    assert all(got[d] <= d and find(got[d]) == find(d) for d in k)
+    assert sum(got[a] == got[b] for a, b in links) >= 0.99 * len(links)
