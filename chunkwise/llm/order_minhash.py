@@ -10,10 +10,12 @@ connected components; equal texts are one class.  Null or wordless texts only jo
 
 In a bucket all members are first compared with its centre, the member whose buckets are largest
 together (of a group of copies, the one most like the others); a bucket that then holds one
-component is done.  The members of the others meet in a prefix join: k-mers are ordered by how many of
-these texts hold them, rarest first, and two texts of similarity ``SIMILARITY`` share one of the first
-n - ceil(SIMILARITY n) + 1, at places that leave enough k-mers behind both.  So every link between members of
-such buckets is found, however large a bucket is, and frequent passages are not compared text by text.
+component is done.  Of the others, one whose members of different components make at most ``PAIRS`` pairs a member
+compares those pairs: its members outside the largest component are then few and meet all members.  The
+members of the heavier ones meet in a prefix join: k-mers are ordered by how many of these texts hold them,
+rarest first, and two texts of similarity ``SIMILARITY`` share one of the first n - ceil(SIMILARITY n) + 1, at
+places that leave enough k-mers behind both.  Both ways find every link between members of a bucket, however
+large it is, and frequent passages are not compared text by text.
 Pairs whose k-mer counts alone rule out the threshold are left out before any k-mers are joined.
 Texts are told apart by their digest, not by doc_id.
 """
@@ -26,13 +28,14 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chunkwise.llm.store import stored
 
-K, SKETCHES, ELL, SIMILARITY = 5, 24, 3, 0.8
+K, SKETCHES, ELL, SIMILARITY, PAIRS = 5, 24, 3, 0.8, 32
 WORD = re.compile(rb"[0-9a-z\x80-\xFF]+")  # of the lower-cased UTF-8 bytes
+SLICE = 1024  # members of a bucket that one task compares
 BLOCK = 1 << 21  # numbers hashed at a time
 SHORT, HELD = 4000, 1 << 20  # k-mers of a pair that is compared as sets first; k-mers held in such sets
 _R = np.random.default_rng(11)
@@ -186,22 +189,36 @@ def classes(docs: DataFrame) -> DataFrame:
         return m.where(F.col("first.id") != F.col("id")).where(fits("first.n", "n")).select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct()
 
     def unresolved(m: DataFrame, comp: DataFrame) -> DataFrame:
-        """(id, n, comp) of the members of buckets that hold several components."""
+        """Members of buckets of several components, with the largest one and the pairs of different components a member."""
         x = m.select("key", "id", "n").join(comp, "id")
-        mixed = x.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-        return stored(x.join(mixed, "key", "left_semi").select("id", "n", "comp").distinct(), "unresolved")
+        b = (x.groupBy("key", "comp").agg(F.count("*").alias("c"))
+             .groupBy("key").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"), F.max(F.struct("c", "comp")).alias("most"))
+             .where("s * s > q").select("key", F.ceil(F.col("s") / SLICE).cast("int").alias("slices"), F.col("most.comp").alias("most"),
+                                        ((F.col("s") * F.col("s") - F.col("q")) / (2 * F.col("s"))).alias("load")))
+        return stored(x.join(b, "key"), "unresolved")
+
+    def bucket_pairs(x: DataFrame) -> DataFrame:
+        """(a, b) of different components of a bucket.
+
+        One of the two is outside the largest component; such members are at most 4 ``PAIRS`` and go to each slice of their bucket.
+        """
+        y = (x.where("comp <> most").select(*[F.col(c).alias(f"{c}2") for c in ("key", "id", "comp", "n")],
+                                            F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice2")))
+        x = x.withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
+        once = (F.col("comp") != F.col("comp2")) & ((F.col("comp") == F.col("most")) | (F.col("id") < F.col("id2")))
+        return (x.join(y, (F.col("key") == F.col("key2")) & (F.col("slice") == F.col("slice2")) & once & fits("n", "n2"))
+                .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
 
     def prefix_pairs(x: DataFrame, known: DataFrame) -> DataFrame:
         """(a, b) of different components that share a k-mer of both prefixes at places that allow the threshold."""
         grams = known.join(x.select("id"), "id", "left_semi").select("id", F.explode("g").alias("gram"))
         held = grams.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
         # a k-mer of one text alone joins nothing; it only moves the others behind it
-        some = grams.join(held, "gram").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("c", "gram"))).alias("s"))
-        size = (F.col("n") - F.ceil(F.col("n") * SIMILARITY - 1e-9) + 1).cast("int")
-        alone = F.col("n") - F.size("s")
-        rows = (some.join(x, "id").where(size > alone)
-                .select("id", "comp", "n", alone.alias("alone"), F.posexplode(F.slice("s", F.lit(1), size - alone)).alias("i", "v"))
-                .select(F.col("v.gram").alias("key"), "id", "comp", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest")))
+        own = Window.partitionBy("id")
+        some = grams.join(held, "gram").select("id", "gram", F.row_number().over(own.orderBy("c", "gram")).alias("i"), F.count("*").over(own).alias("some"))
+        size = F.col("n") - F.ceil(F.col("n") * SIMILARITY - 1e-9) + 1
+        place = F.col("n") - F.col("some") + F.col("i")
+        rows = some.join(x, "id").where(place <= size).select(F.col("gram").alias("key"), "id", "comp", "n", (F.col("n") - place + 1).alias("rest"))
         rows = stored(rows, "prefix")
         mixed = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
         rows = stored(rows.join(mixed, "key", "left_semi"), "prefix-mixed")
@@ -221,7 +238,8 @@ def classes(docs: DataFrame) -> DataFrame:
 
     comp = merged(stored(nodes.select("id", F.col("id").alias("comp")), "comp"), linked(star(member)))
     left = unresolved(member, comp)
-    comp = merged(comp, linked(prefix_pairs(left, known)))
+    heavy = left.where(F.col("load") > PAIRS).select("id", "n", "comp").distinct()
+    comp = merged(comp, linked(bucket_pairs(left.where(F.col("load") <= PAIRS)).union(prefix_pairs(heavy, known)).distinct()))
     of = texts.select("id", "low").join(comp, "id", "left").select("id", "low", F.coalesce("comp", "id").alias("comp"))
     least = of.groupBy("comp").agg(F.min("low").alias("class_id"))
     out = of.join(least, "comp").select("id", "class_id")

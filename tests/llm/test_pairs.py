@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 import corpus_pipeline
@@ -94,7 +95,9 @@ def test_line_dedup_whole(spark):
     assert line_dedup.allowed(600, 2, line_dedup.GROW) == 19
 
 
-def test_near_duplicates_brute_force(spark):
+@pytest.mark.parametrize("pairs", [32, 0])
+def test_near_duplicates_brute_force(spark, monkeypatch, pairs):
+    monkeypatch.setattr(order_minhash, "PAIRS", pairs)
     r = random.Random(3)
     vocab = [f"w{i}" for i in range(500)]
     rows = []
@@ -213,8 +216,10 @@ def test_rows_without_an_id_are_not_held_out(spark):
     assert all(r["h"] in (True, False) for r in d) and d[0]["h"] is False
 
 
-def test_near_duplicates_short_texts_in_hot_buckets(spark):
+@pytest.mark.parametrize("pairs", [1000, 32, 0])
+def test_near_duplicates_short_texts_in_hot_buckets(spark, monkeypatch, pairs):
     """A passage that all texts share, with short endings: links against all pairs, none false and none missed."""
+    monkeypatch.setattr(order_minhash, "PAIRS", pairs)
     r = random.Random(12)
     passage = " ".join(f"p{i}" for i in range(20))
     rows = [(i, " ".join([passage, *[f"e{r.randrange(6)}" for _ in range(r.randint(1, 9))]])) for i in range(300)]
