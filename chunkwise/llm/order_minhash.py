@@ -16,7 +16,9 @@ members of the heavier ones meet in a prefix join: k-mers are ordered by how man
 rarest first, and two texts of similarity ``SIMILARITY`` share one of the first n - ceil(SIMILARITY n) + 1, at
 places that leave enough k-mers behind both.  Both ways find every link between members of a bucket, however
 large it is, and frequent passages are not compared text by text.
-Pairs whose k-mer counts alone rule out the threshold are left out before any k-mers are joined.
+Pairs whose k-mer counts or signatures rule out the threshold are left out before any k-mers are joined: a
+signature holds the parities of the k-mers' numbers in 1,024 bins, and two of them differ in no more bits than
+the texts do in k-mers.
 Texts are told apart by their digest, not by doc_id.
 """
 
@@ -28,7 +30,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chunkwise.llm.store import stored
@@ -36,6 +38,7 @@ from chunkwise.llm.store import stored
 K, SKETCHES, ELL, SIMILARITY, PAIRS = 5, 24, 3, 0.8, 32
 WORD = re.compile(rb"[0-9a-z\x80-\xFF]+")  # of the lower-cased UTF-8 bytes
 SLICE = 1024  # members of a bucket that one task compares
+WORDS = 16  # of 64 bits, of a signature
 BLOCK = 1 << 21  # numbers hashed at a time
 SHORT, HELD = 4000, 1 << 20  # k-mers of a pair that is compared as sets first; k-mers held in such sets
 _R = np.random.default_rng(11)
@@ -90,6 +93,18 @@ def sketches(g: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def signature(g: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of k-mers in each of 64 ``WORDS`` bins, as words."""
+    odd = np.bincount((g & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def alike(n: str, m: str, sig: str, sig2: str, least: float = SIMILARITY) -> Column:
+    """Whether the signatures let two texts of n and m k-mers reach the threshold."""
+    bits = sum((F.bit_count(F.col(sig)[i].bitwiseXOR(F.col(sig2)[i])) for i in range(WORDS)), F.lit(0))
+    return bits <= (F.col(n) + F.col(m)) * ((1 - least) / (1 + least)) + 1e-6
+
+
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     n, m = len(a), len(b)
     if not n or not m or min(n, m) < least * max(n, m):
@@ -145,7 +160,7 @@ def classes(docs: DataFrame) -> DataFrame:
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             g = [kmers(t) for t in f["text"]]
-            yield pd.DataFrame({"id": f["id"], "n": [len(x) for x in g], "keys": [sketches(x) for x in g]})
+            yield pd.DataFrame({"id": f["id"], "n": [len(x) for x in g], "sig": [signature(x) for x in g], "keys": [sketches(x) for x in g]})
 
     def grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -173,7 +188,7 @@ def classes(docs: DataFrame) -> DataFrame:
                 keep.append(not short and similarity(x, y) >= SIMILARITY)
             yield f.loc[keep, ["a", "b"]]
 
-    sk = stored(texts.select("id", "text").mapInPandas(sketch, "id binary, n int, keys array<long>"), "sketches")
+    sk = stored(texts.select("id", "text").mapInPandas(sketch, "id binary, n int, sig array<long>, keys array<long>"), "sketches")
     member = sk.select("id", "n", F.explode("keys").alias("key"))
 
     def shared(m: DataFrame) -> DataFrame:
@@ -218,13 +233,14 @@ def classes(docs: DataFrame) -> DataFrame:
         some = grams.join(held, "gram").select("id", "gram", F.row_number().over(own.orderBy("c", "gram")).alias("i"), F.count("*").over(own).alias("some"))
         size = F.col("n") - F.ceil(F.col("n") * SIMILARITY - 1e-9) + 1
         place = F.col("n") - F.col("some") + F.col("i")
-        rows = some.join(x, "id").where(place <= size).select(F.col("gram").alias("key"), "id", "comp", "n", (F.col("n") - place + 1).alias("rest"))
+        rows = (some.join(x.join(sk.select("id", "sig"), "id"), "id").where(place <= size)
+                .select(F.col("gram").alias("key"), "id", "comp", "n", (F.col("n") - place + 1).alias("rest"), "sig"))
         rows = stored(rows, "prefix")
         mixed = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
         rows = stored(rows.join(mixed, "key", "left_semi"), "prefix-mixed")
         y = rows.select(*[F.col(c).alias(f"{c}2") for c in rows.columns])
         enough = F.least("rest", "rest2") >= (F.col("n") + F.col("n2")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9
-        return (rows.join(y, (F.col("key") == F.col("key2")) & (F.col("id") < F.col("id2")) & (F.col("comp") != F.col("comp2")) & fits("n", "n2") & enough)
+        return (rows.join(y, (F.col("key") == F.col("key2")) & (F.col("id") < F.col("id2")) & (F.col("comp") != F.col("comp2")) & fits("n", "n2") & enough & alike("n", "n2", "sig", "sig2"))
                 .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
 
     member = shared(member)
@@ -232,6 +248,8 @@ def classes(docs: DataFrame) -> DataFrame:
     known = stored(texts.select("id", "text").join(nodes, "id", "left_semi").mapInPandas(grams, "id binary, g array<long>"), "grams")
 
     def linked(pairs: DataFrame) -> DataFrame:
+        side = lambda c: sk.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sig").alias(f"s{c}"))
+        pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(alike("na", "nb", "sa", "sb")).select("a", "b")
         return stored(pairs.join(known.select(F.col("id").alias("b"), F.col("g").alias("gb")), "b")
                       .join(known.select(F.col("id").alias("a"), F.col("g").alias("ga")), "a")
                       .mapInPandas(verify, "a binary, b binary"), "edges")

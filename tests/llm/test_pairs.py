@@ -240,3 +240,15 @@ def test_near_duplicates_short_texts_in_hot_buckets(spark, monkeypatch, pairs):
     assert len(links) > 1000 and len({find(d) for d in k}) > 20
     assert all(got[d] <= d and find(got[d]) == find(d) for d in k)
     assert sum(got[a] == got[b] for a, b in links) >= 0.99 * len(links)
+
+
+def test_signatures_bound_the_difference(spark):
+    r = np.random.default_rng(5)
+    pool = r.integers(0, 1 << 63, 4000, dtype=np.uint64)
+    sets = [np.unique(r.choice(pool, n)) for n in (1, 30, 200, 900, 2000) for _ in range(6)] + [np.zeros(0, np.uint64)]
+    sig = [order_minhash.signature(x) for x in sets]
+    for a, s in zip(sets, sig, strict=True):
+        for b, t in zip(sets, sig, strict=True):
+            assert sum(int(x).bit_count() for x in (s ^ t).view(np.uint64)) <= len(np.setxor1d(a, b))
+    rows = spark.createDataFrame([(4, 5, sig[0].tolist(), sig[1].tolist()), (9, 9, sig[7].tolist(), sig[7].tolist())], "n int, m int, s array<long>, t array<long>")
+    assert [x[0] for x in rows.select(order_minhash.alike("n", "m", "s", "t")).collect()] == [False, True]
