@@ -29,13 +29,15 @@ ws AS (SELECT rid, s, array_to_string(w[s:s + 4], ' ') AS g
        FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS s FROM w WHERE len(w) >= 5)),
 rep AS (SELECT rid, s FROM (SELECT rid, s, count(*) OVER (PARTITION BY rid, g) AS n FROM ws) WHERE n > 1),
 cov AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(s, s + 5)) AS p FROM rep) GROUP BY rid),
-l AS (SELECT rid, x, length(regexp_replace(x, '{SPACE}', '', 'g')) AS c
+l AS (SELECT rid, x, length(regexp_replace(x, '{SPACE}', '', 'g')) AS c, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n
       FROM (SELECT rid, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
 k AS (SELECT rid, count(*) - count(DISTINCT x) AS dup, coalesce(sum(c) FILTER (WHERE
         length(regexp_replace(x, '[^\p{{L}}]+', '', 'g')) * 10 >= c * 4
         AND length(regexp_replace(x, '[^|]+', '', 'g')) * 6 < len(regexp_split_to_array(x, '{SPACE}')) * 2
         AND NOT (length(x) < 80 AND regexp_matches(x,
-            '(?i)cookie|privacy policy|terms of (use|service)|all rights reserved|click here|subscribe'))), 0) AS kept
+            '(?i)cookie|privacy policy|terms of (use|service)|all rights reserved|click here|subscribe'))
+        AND NOT (length(x) < 80 AND n < 5 AND NOT regexp_matches(x, '[.!?:;…。！？؟۔।)\]}}\x22\x27”’»」』][\x20\x09-\x0D]*\z'))
+        AND NOT (n >= 30 AND c < n * 12 AND NOT regexp_matches(x, '\p{{P}}'))), 0) AS kept
       FROM l GROUP BY rid),
 m AS (SELECT d.doc_id, CAST(len(w.w) AS BIGINT) AS n_words,
              CAST(length(regexp_replace(d.t, '{SPACE}', '', 'g')) AS BIGINT) AS word_chars,

@@ -2,7 +2,10 @@
 
 Per line: a line with words fails if it holds a navigation mark (``|``) for every three of its words or
 fewer, if fewer than 40 % of its characters are letters, or if it holds a boilerplate phrase and is short.
-There is no punctuation rule.  Failed lines are removed (``cleaned``, blank lines stay); a document that keeps under half of its word characters is rejected.  The base
+Punctuation: it also fails as a fragment, if it is short, has fewer than 5 words and ends in no mark (menus,
+buttons), and as a list, if it has 30 or more words of under 12 code points on average and no punctuation
+mark at all (keyword lists).  The bound on the words keeps scripts written without spaces.  Short is under
+80 code points.  Failed lines are removed (``cleaned``, blank lines stay); a document that keeps under half of its word characters is rejected.  The base
 counts are over whole texts.  A repeated 5-word window is found by sorting (hash, position) pairs
 inside the row; the words covered are the sum of min(5, gap to the next repeated window).
 
@@ -17,7 +20,8 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
 BOILERPLATE = r"(?i)cookie|privacy policy|terms of (use|service)|all rights reserved|click here|subscribe"
-LOST = 0.5
+END = r"[.!?:;…。！？؟۔।)\]}\x22\x27”’»」』][\x20\x09-\x0D]*\z"  # ends of a sentence, with closing marks
+SHORT, FRAGMENT, LIST, LETTERS, LOST = 80, 5, 30, 12, 0.5
 
 
 def let(value, body):
@@ -52,8 +56,11 @@ def cleaned(docs: DataFrame) -> DataFrame:
     def passes(x):
         letters = F.length(F.regexp_replace(x, r"[^\p{L}]+", ""))
         bars = F.length(F.regexp_replace(x, r"[^|]+", ""))
+        n = F.size(F.array_remove(F.split(x, SPACE), ""))
+        fragment = (F.length(x) < SHORT) & ~x.rlike(END) & (n < FRAGMENT)
+        listed = ~x.rlike(r"\p{P}") & (n >= LIST) & (chars(x) < n * LETTERS)
         return ((letters * 10 >= chars(x) * 4) & (bars * 6 < F.size(F.split(x, SPACE)) * 2)
-                & ~(x.rlike(BOILERPLATE) & (F.length(x) < 80)))
+                & ~((F.length(x) < SHORT) & x.rlike(BOILERPLATE)) & ~fragment & ~listed)
 
     kept_chars = F.aggregate(F.filter("lines", passes), F.lit(0), lambda a, x: a + chars(x))
     blank = lambda x: ~x.rlike(r"[^\x20\x09-\x0D]")

@@ -68,6 +68,18 @@ def test_quality_rules_clean_text(spark):
     assert got == {1: f"{good}\n\n{good}", 2: None, 3: "", 4: rows[3][1]}
 
 
+def test_quality_rules_punctuation(spark):
+    """Menus and keyword lists go; headings go from documents that stay; sentences, long lines and unspaced scripts stay."""
+    sentence = "A whole line of some words."
+    menu, words_ = "Home\nAbout us\nOur best offers\nContact the team", " ".join(f"shoe{i}" for i in range(40))
+    thai = "ภาษาไทยไม่มีวรรคตอนระหว่างคำ" * 20
+    rows = [(1, f"Heading\n{sentence}\nOther things follow in a second one, and so on."), (2, menu + "\n" + menu.upper()), (3, words_), (4, thai), (5, "one two three four five " * 5 + "\nYes, it is."), (6, f"{words_}.")]
+    got = {r.doc_id: (r.cleaned, r.kept) for r in quality_rules.cleaned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == (rows[0][1].split("\n", 1)[1], True)
+    assert got[2] == ("", False) and got[3] == ("", False)
+    assert got[4][0] == thai and got[5][0] == rows[4][1] and got[6] == (rows[5][1], True)
+
+
 def test_piece_codec(docs):
     path = public_tokenizers.path("piece_bpe_32k.model")
     sp, c = sentencepiece.SentencePieceProcessor(model_file=path), piece_codec.codec(path)

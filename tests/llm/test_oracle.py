@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 ITEM = "one two three four five six seven eight nine ten eleven"
 DOCS = [(1, None), (2, ""), (3, f"Start {ITEM.upper()} end"), (4, "short item here"), (5, " \n\t \n"), (5, " \n\t \n"),
         (6, "a b c d e a b c d e a b c d e"), (7, "| home | about |\nPlain words in a line\nPlain words in a line\nclick here"),
-        (None, "déjà vu ſhort ITEM"), (8, "x" * 5000 + " $%&")]
+        (None, "déjà vu ſhort ITEM"), (8, "x" * 5000 + " $%&"),
+        (9, "Home\nAbout us\nBest offers today\nContact"), (10, "shoes boots sandals " * 14), (11, "A whole sentence of ten words is what stands here. \r\nHome\r"),
+        (12, "ภาษาไทยไม่มีวรรคตอนระหว่างคำ " * 40), (13, "他说：“好。”\n  two words\u2028\n" + "word " * 29 + "end.")]
 ITEMS = [(1, ITEM), (2, "short item"), (3, None), (4, "...")]
 
 
