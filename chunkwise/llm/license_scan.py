@@ -4,8 +4,9 @@ A text is lower-cased to words ``[a-z0-9.]+`` over line ends, version numbers ke
 t / (2 - t) of the template's bigrams, so a text with fewer of them is pruned at once, and a window
 holds at most (2 - t) / t times as many distinct bigrams as the template.  Within that bound every
 window that starts and ends with a bigram of the template is compared (others are no better).  Units
-are the windows with Dice >= t, best first (ties by name, then place), that share no word; equal
-ones count once.  Null and empty texts match nothing; each input row gives one row; extra columns
+are the windows with Dice >= t that share no word, those of whole texts before those of notices (a notice
+may be part of several texts), then best first (ties by name, then place); equal ones count once.  The first
+unit names the licence.  A notice without its text is named as the template says, even if other licences share it.  Null and empty texts match nothing; each input row gives one row; extra columns
 are ignored.
 """
 
@@ -30,7 +31,7 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
-#: Whole licence texts, one file each.
+#: Whole public licence texts, one file each.
 TEXTS = {p.stem: p.read_text(encoding="utf-8") for p in sorted(Path(__file__).with_name("licenses").glob("*.txt"))}
 DICE = 0.8
 WORD = re.compile("[a-z0-9.]+")
@@ -48,8 +49,9 @@ def bigrams(text: str) -> list[str]:
 class Scanner:
     """Windows of a text that match a template."""
 
-    def __init__(self, templates: list[tuple[str, str]], least: float):
-        self.least, self.names = least, [k for k, _ in templates]
+    def __init__(self, templates: list[tuple[str, str]], least: float, notices: int = 0):
+        """The first ``notices`` templates are notices, the others whole texts."""
+        self.least, self.names, self.notices = least, [k for k, _ in templates], notices
         sized = [bigrams(v) for _, v in templates]
         self.n = [len(v) for v in sized]
         self.of: dict[str, int] = {}
@@ -101,25 +103,25 @@ class Scanner:
         for i, x in enumerate(zip(w, w[1:], strict=False)):
             before[i] = last.get(x, -1)
             last[x] = i
-        found = sorted((-d, self.names[t], i, j) for t in np.flatnonzero(enough).tolist()
+        found = sorted((t < self.notices, -d, self.names[t], i, j) for t in np.flatnonzero(enough).tolist()
                        for d, i, j in self.windows(known & self.has[at, t], before, self.n[t]))
         taken, units = np.zeros(len(w), bool), set()
-        for _, _, i, j in found:
+        for _, _, _, i, j in found:
             if not taken[i:j + 2].any():
                 taken[i:j + 2] = True
                 units.add(" ".join(w[i:j + 2]))
-        return (len(units), found[0][1], -found[0][0]) if found else (0, None, None)
+        return (len(units), found[0][2], -found[0][1]) if found else (0, None, None)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = DICE, texts: dict[str, str] = TEXTS) -> DataFrame:
-    """doc_id, n_license_units, license (best; null: none), dice."""
+    """doc_id, n_license_units, license (of the first unit; null: none), dice."""
     both = [(k, v) for d in (templates, texts) for k, v in sorted(d.items())]
     held: list[Scanner] = []
 
     @F.pandas_udf("n long, license string, dice double")
     def best(text: pd.Series) -> pd.DataFrame:
         if not held:
-            held.append(Scanner(both, least))
+            held.append(Scanner(both, least, len(templates)))
         return pd.DataFrame([held[0](t) for t in text], columns=["n", "license", "dice"])
 
     return (docs.select("doc_id", best("text").alias("m"))

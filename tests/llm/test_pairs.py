@@ -155,6 +155,18 @@ def test_license_windows(spark):
     assert got == {1: (1, "MIT", 1.0), 2: (1, "MIT", 1.0), 3: (1, "MIT", 1.0), 4: (1, "MIT", 1.0), 5: (1, "GPL-3.0", 1.0), 6: (2, "CC-BY-NC-4.0", 1.0)}
 
 
+def test_license_texts_before_notices(spark):
+    """A text that holds a shared notice is named by the text; every text of the package is named by itself."""
+    bsd2 = license_scan.TEXTS["BSD-2-Clause"]
+    rows = [(1, "Copyright (c) 2020 Foo\n" + bsd2), (2, license_scan.TEMPLATES["BSD-3-Clause"]), (3, license_scan.TEMPLATES["MIT"] + "\n" + bsd2), (None, bsd2), (4, bsd2 + bsd2)]
+    rows += [(10 + i, t) for i, t in enumerate(license_scan.TEXTS.values())]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, dice int, license string")
+    got = {r.doc_id: (r.n_license_units, r.license, r.dice) for r in license_scan.scan(docs).collect()}
+    assert got[1] == (1, "BSD-2-Clause", 1.0) and got[2] == (1, "BSD-3-Clause", 1.0) and got[None] == got[1]
+    assert got[3] == (2, "BSD-2-Clause", 1.0) and got[4][:2] == (1, "BSD-2-Clause")
+    assert [got[10 + i][1] for i in range(len(license_scan.TEXTS))] == list(license_scan.TEXTS)
+
+
 def test_license_scan_brute_force():
     r = random.Random(5)
     templates = [("A", "a b c d e a b f"), ("B", "d e f c")]
