@@ -4,7 +4,8 @@ Text is marked at its start and at spaces and cut before each mark.  In each wor
 automaton enumerates vocabulary matches; the best path to each position carries its score and
 its piece count.  Tie rules of the library's unigram model: starts are visited left to right, a
 later path replaces an earlier one only if its score is greater, and a position without a
-one-character match gets an unknown of the least score less 10, counted as its bytes.
+one-character match gets an unknown of the least score less 10, counted as its bytes.  Control, unknown,
+unused and byte pieces are no part of a text: they are not matched, and their scores are not used.
 Null and empty texts have no tokens; every input row gives one row; extra columns are ignored.
 """
 
@@ -26,7 +27,8 @@ class UnigramCounter:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        vocab = [(sp.id_to_piece(i), sp.get_score(i)) for i in range(sp.get_piece_size())]
+        other = (sp.is_control, sp.is_unknown, sp.is_unused, sp.is_byte)
+        vocab = [(sp.id_to_piece(i), sp.get_score(i)) for i in range(sp.get_piece_size()) if not any(is_(i) for is_ in other)]
         self.unknown = min(s for _, s in vocab) - UNKNOWN
         self.trie = ahocorasick.Automaton()
         for p, s in vocab:

@@ -140,6 +140,18 @@ def test_token_count_matches_library():
         assert c.document(t) == len(tk.encode(t).ids), t
 
 
+def test_token_count_takes_text_pieces_only(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    c = token_count.UnigramCounter(path)
+    assert c.document("a<s>b") == 5
+    rows = [(1, None, 7), (2, "", 7), (None, "a<s>b", 7), (3, "<0x0A></s><unk>", 7), (3, "<0x0A></s><unk>", 7), (4, "word " * 50000, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
+    got = sorted(((r.doc_id or 0, r.n_tokens) for r in token_count.count_tokens(docs, path).collect()))
+    assert [n for d, n in got if d in (0, 1, 2)] == [5, 0, 0]
+    assert got[3] == got[4] and got[3][1] > 10 and got[5][1] >= 50000
+    assert token_count.count_tokens(docs.limit(0), path).collect() == []
+
+
 def test_license_scan(spark):
     rows = [(1, "x y\nLicensed under the Apache License, Version 2.0.\nmore"), (2, None), (3, ""), (4, "nothing at all " * 90), (5, "released under the mit license"), (5, "released under the mit license")]
     got = sorted((r.doc_id, r.n_license_units, r.license) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
