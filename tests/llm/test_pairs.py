@@ -148,7 +148,7 @@ def test_token_count_takes_text_pieces_only(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
     got = sorted(((r.doc_id or 0, r.n_tokens) for r in token_count.count_tokens(docs, path).collect()))
     assert [n for d, n in got if d in (0, 1, 2)] == [5, 0, 0]
-    assert got[3] == got[4] and got[3][1] > 10 and got[5][1] >= 50000
+    assert got[3] == got[4] and got[3][1] > 4 and got[5][1] >= 50000  # four: a mark and the three special pieces
     assert token_count.count_tokens(docs.limit(0), path).collect() == []
 
 
