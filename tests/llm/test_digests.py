@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from chunkwise.llm import decontaminate, piece_codec, quality_rules, secret_scan, sharding
+from chunkwise.llm import decontaminate, license_scan, order_minhash, piece_codec, quality_rules, secret_scan, sharding, token_count
 
 DOC = "doc_id long, text string, n_words int, w string"
 P = "alpha beta gamma delta epsilon zeta eta theta iota kappa lam mu"
@@ -161,3 +161,10 @@ def test_secret_threshold_has_no_floor():
     net = secret_scan.CharNet().fit(xs, y, epochs=1)
     held = np.flatnonzero((np.arange(400) % 5 == 0) & (y == 1))
     assert (net.score([xs[i] for i in held]) >= net.cut).mean() >= secret_scan.RECALL
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, class_id int, dice int, kept int, n_tokens int")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    for out in (token_count.count_tokens(docs, path), quality_rules.evaluate(docs), license_scan.scan(docs), order_minhash.classes(docs)):
+        assert out.collect() == []
