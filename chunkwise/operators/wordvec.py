@@ -27,6 +27,7 @@ from chunkwise.operators.filters import materialize
 from chunkwise.operators.store import written
 
 BLOCK = 1024  # buckets that are averaged together
+PIECE = 1 << 15  # ids whose vectors are held at a time
 
 
 def bucket_ids(text: Column, buckets: int, pairs: bool = True) -> Column:
@@ -44,16 +45,29 @@ def bucket_ids(text: Column, buckets: int, pairs: bool = True) -> Column:
     return T.let(tokens, ids)
 
 
-def means(ids: list[np.ndarray], vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(mean vector of each row, all ids, row of each id); a row without ids is zero."""
-    sizes = np.array([len(x) for x in ids])
+def groups(sizes: np.ndarray, piece: int) -> list[np.ndarray]:
+    """Places of ``sizes`` in runs that add up to ``piece`` or little more; a larger one is a run of its own."""
+    long = sizes > piece
+    cut = (np.diff(np.cumsum(sizes) // piece) > 0) | long[1:] | long[:-1]
+    return np.split(np.arange(len(sizes)), np.flatnonzero(cut) + 1) if len(sizes) else []
+
+
+def means(ids: list[np.ndarray], vectors: np.ndarray, piece: int = PIECE) -> np.ndarray:
+    """Mean vector of each row; a row without ids is zero.  The vectors of
+    about ``piece`` ids are held at a time, whatever the number of rows."""
+    sizes = np.array([len(x) for x in ids], np.int64)
     out = np.zeros((len(ids), vectors.shape[1]), np.float32)
-    flat = np.concatenate(ids).astype(np.int64) if sizes.sum() else np.zeros(0, np.int64)
     full = np.flatnonzero(sizes)
-    if len(full):
-        start = np.r_[0, np.cumsum(sizes[full])[:-1]]
-        out[full] = np.add.reduceat(vectors[flat], start, axis=0) / sizes[full, None]
-    return out, flat, np.repeat(np.arange(len(ids)), sizes)
+    for rows in (full[g] for g in groups(sizes[full], piece)):
+        if len(rows) > 1 or sizes[rows[0]] <= piece:
+            flat = np.concatenate([ids[r] for r in rows]).astype(np.int64)
+            total = np.add.reduceat(vectors[flat], np.r_[0, np.cumsum(sizes[rows])[:-1]], axis=0)
+        else:  # a long row: each piece goes on from the sum before it
+            total = np.zeros((0, vectors.shape[1]), vectors.dtype)
+            for k in range(0, sizes[rows[0]], piece):
+                total = np.add.reduceat(np.concatenate([total, vectors[ids[rows[0]][k:k + piece]]]), [0], axis=0)
+        out[rows] = total / sizes[rows, None]
+    return out
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -63,15 +77,18 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 def learn(ids: list[np.ndarray], labels: np.ndarray, vectors: np.ndarray, head: np.ndarray, rate: float) -> None:
     """One gradient step for each row of a batch, taken together; parameters are changed in place."""
-    x, flat, row = means(ids, vectors)
+    x, sizes = means(ids, vectors), np.array([len(i) for i in ids], np.int64)
     p = softmax(x @ head.T)
     p[np.arange(len(labels)), labels] -= 1
-    grad = (p @ head) / np.maximum(1, np.array([len(i) for i in ids]))[:, None]
+    grad = (p @ head) / np.maximum(1, sizes)[:, None]
     head -= rate * (p.T @ x)
-    if len(flat):
+    if sizes.sum():
+        flat, row = np.concatenate(ids).astype(np.int64), np.repeat(np.arange(len(ids)), sizes)
         order = np.argsort(flat, kind="stable")
-        hit, start = np.unique(flat[order], return_index=True)
-        vectors[hit] -= rate * np.add.reduceat(grad[row[order]], start, axis=0).astype(np.float32)
+        hit, start, n = np.unique(flat[order], return_index=True, return_counts=True)
+        for g in groups(n, PIECE):
+            at = row[order[start[g[0]]:start[g[-1]] + n[g[-1]]]]
+            vectors[hit[g]] -= rate * np.add.reduceat(grad[at], start[g] - start[g[0]], axis=0).astype(np.float32)
 
 
 class _Params(Params):
@@ -173,7 +190,7 @@ class SupervisedWordVectorsModel(Model, _Params, MLReadable, MLWritable):
         @F.pandas_udf("int")
         def classify(ids: pd.Series) -> pd.Series:
             v, h = state.value
-            return pd.Series((means(ids.tolist(), v)[0] @ h.T).argmax(axis=1).astype(np.int32))
+            return pd.Series((means(ids.tolist(), v) @ h.T).argmax(axis=1).astype(np.int32))
 
         ids = bucket_ids(F.col(self.get("textCol")), self.get("buckets"), self.get("wordPairs"))
         d = materialize(df, {"_ids": ids})  # so that a filter above leaves them where they are

@@ -86,3 +86,20 @@ def test_every_row_is_predicted(spark, fitted):
     d = spark.createDataFrame([(1, None), (1, ""), (None, "sign00 " * 50)], "doc_id int, text string")
     assert fitted.transform(d).count() == 3 and fitted.transform(d.limit(0)).count() == 0
     assert fitted.transform(d).where("prediction >= 0").count() == 3  # a filter above the prediction
+
+
+def test_prediction_holds_few_vectors():
+    """Means of many rows take memory in proportion to a piece, not to the ids of the batch."""
+    import tracemalloc
+
+    r = np.random.default_rng(2)
+    v = r.normal(size=(512, 64)).astype(np.float32)
+    ids = [r.integers(0, 512, 400).astype(np.int32) for _ in range(1500)] + [np.zeros(0, np.int32), r.integers(0, 512, 90_000).astype(np.int32)]
+    tracemalloc.start()
+    got = W.means(ids, v)
+    got = got[0] if isinstance(got, tuple) else got
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # all vectors at once: 177 MB
+    want = np.array([np.add.reduceat(v[i], [0], axis=0)[0] / len(i) if len(i) else np.zeros(64) for i in ids], np.float32)
+    assert (got[:-1] == want[:-1]).all() and np.allclose(got[-1], want[-1], atol=1e-6)
