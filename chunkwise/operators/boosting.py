@@ -15,6 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -42,21 +44,26 @@ class Booster:
         self.term, self.cut = np.zeros((0, k, inner), np.int64), np.zeros((0, k, inner), np.int64)
         self.leaf = np.zeros((0, k, 2**depth))
 
-    def encode(self, counts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def known(self, counts: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, term, weight) of the known terms of a batch of count lists, without an object a term."""
+        at = self.__dict__.setdefault("_at", pa.array(self.terms, pa.string()))
+        flat = counts.flatten()
+        i = pc.index_in(flat.field("term"), value_set=at)
+        tf = flat.field("tf").to_numpy(zero_copy_only=False)
+        sizes = counts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        hit = np.flatnonzero(i.is_valid().to_numpy(zero_copy_only=False))
+        ids = i.take(pa.array(hit)).to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.searchsorted(np.cumsum(sizes), hit, side="right")
+        x = tf[hit] * self.idf[ids]
+        ends = np.searchsorted(row, np.arange(len(counts) + 1))
+        for a, z in zip(ends[:-1], ends[1:], strict=True):
+            if z > a:
+                x[a:z] /= max(np.sqrt((x[a:z] * x[a:z]).sum()), 1e-300)
+        return row, ids, x
+
+    def encode(self, counts: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, term, bin) of the known terms of a batch of count lists."""
-        at = self.__dict__.setdefault("_at", {t: i for i, t in enumerate(self.terms)})
-        rows, ids, w = [], [], []
-        for r, pairs in enumerate(counts):
-            known = [(at[p["term"]], p["tf"]) for p in (() if pairs is None else pairs) if p["term"] in at]
-            if known:
-                i, tf = (np.array(x) for x in zip(*known, strict=True))
-                x = tf * self.idf[i]
-                rows.append(np.full(len(i), r))
-                ids.append(i)
-                w.append(x / np.sqrt((x * x).sum()))
-        if not rows:
-            return (np.zeros(0, np.int64),) * 3
-        row, i, x = np.concatenate(rows), np.concatenate(ids), np.concatenate(w)
+        row, i, x = self.known(counts)
         return row, i, self.bins(i, x)
 
     def bins(self, ids: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -170,19 +177,16 @@ class BoostedTrees(Estimator, _Params, DefaultParamsReadable, DefaultParamsWrita
         q = self.get("bins")
         b = Booster([r["term"] for r in top] or [""], idf if len(top) else np.ones(1), np.zeros((max(1, len(top)), q - 1)), base, self.get("depth"))
 
-        def weights(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            at = {t: i for i, t in enumerate(b.terms)}
-            for f in frames:
-                ids, w = [], []
-                for pairs in f["counts"]:
-                    known = [(at[p["term"]], p["tf"]) for p in pairs if p["term"] in at]
-                    i = np.array([x for x, _ in known], np.int32)
-                    x = np.array([t for _, t in known], float) * b.idf[i]
-                    ids.append(i)
-                    w.append(x / max(np.sqrt((x * x).sum()), 1e-300))
-                yield pd.DataFrame({"label": f["label"], "ids": ids, "w": w})
-
-        rows = written(d.mapInPandas(weights, "label int, ids array<int>, w array<double>"), "weighted")
+        def weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for f in batches:
+                for at in range(0, len(f), SLICE):
+                    part = f.slice(at, SLICE)
+                    row, i, x = b.known(part.column("counts"))
+                    ends = pa.array(np.searchsorted(row, np.arange(len(part) + 1)), pa.int32())
+                    lists = [pa.ListArray.from_arrays(ends, pa.array(v)) for v in (i.astype(np.int32), x)]
+                    yield pa.RecordBatch.from_arrays([part.column("label"), *lists], ["label", "ids", "w"])
+
+        rows = written(d.mapInArrow(weights, "label int, ids array<int>, w array<double>"), "weighted")
         if q > 1:
             cuts = F.percentile_approx("w", [k / q for k in range(1, q)], 1000)
             for r in rows.select(F.inline(F.arrays_zip("ids", "w"))).groupBy("ids").agg(cuts.alias("e")).collect():  # one row a feature
@@ -253,13 +257,13 @@ class BoostedTreesModel(Model, _Params, MLReadable, MLWritable):
     def _transform(self, df: DataFrame) -> DataFrame:
         state = df.sparkSession.sparkContext.broadcast(self.booster)
 
-        @F.pandas_udf("int")
-        def classify(counts: pd.Series) -> pd.Series:
+        @F.arrow_udf("int")
+        def classify(counts: pa.Array) -> pa.Array:
             b, out = state.value, []
             for a in range(0, len(counts), SLICE):
-                part = counts.iloc[a:a + SLICE].tolist()
+                part = counts.slice(a, SLICE)
                 out.append(b.scores(b.dense(len(part), *b.encode(part))).argmax(axis=1))
-            return pd.Series(np.concatenate(out) if out else np.zeros(0), dtype="int32")
+            return pa.array(np.concatenate(out) if out else np.zeros(0), pa.int32())
 
         d = materialize(df, {"_counts": self.counts(self.get("textCol"))})  # so that a filter above leaves them where they are
         return d.withColumn(self.get("predictionCol"), classify("_counts")).drop("_counts")

@@ -86,3 +86,26 @@ def test_save_load_and_every_row(spark, halves, fitted, tmp_path):
     assert rows(again) == rows(fitted) and again.uid == fitted.uid
     d = spark.createDataFrame([(1, None), (1, ""), (None, "sign00 " * 50)], "doc_id int, text string")
     assert fitted.transform(d).count() == 3 and fitted.transform(d.limit(0)).count() == 0
+
+
+def test_known_terms_without_objects():
+    """Terms are looked up in Arrow memory: what Python allocates does not grow with the unknown terms."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = random.Random(3)
+    rows = [[{"term": f"t{r.randrange(2000)}", "tf": r.randrange(1, 9)} for _ in range(300)] for _ in range(500)] + [None, []]
+    b = B.Booster([f"t{k}" for k in range(50)], np.linspace(1, 2, 50), np.full((50, 1), 0.4), np.zeros(2), 1)
+    counts = pa.array(rows, pa.list_(pa.struct([("term", pa.string()), ("tf", pa.int64())]))).slice(3)
+    tracemalloc.start()
+    row, ids, bins = b.encode(counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5e6
+    want = []
+    for k, pairs in enumerate(rows[3:]):
+        known = [(int(p["term"][1:]), p["tf"]) for p in pairs or () if int(p["term"][1:]) < 50]
+        x = np.array([t for _, t in known], float) * b.idf[[i for i, _ in known]] if known else np.zeros(0)
+        want += [(k, i, 1 + int(v > 0.4)) for (i, _), v in zip(known, x / np.sqrt((x * x).sum()) if known else (), strict=True)]
+    assert list(zip(row.tolist(), ids.tolist(), bins.tolist(), strict=True)) == want
