@@ -56,6 +56,9 @@ WS = f"[{WS_CHARS}]"
 # Default token rule: a run of ASCII word characters, or any single other
 # non-whitespace character.
 TOKEN_PATTERN = f"[A-Za-z0-9_]+|[^{WS_CHARS}A-Za-z0-9_]"
+# The same for Java's matcher: word characters by its table, the commonest character of the class first.
+TOKEN_JAVA = rf"\w+|[^\x20\w{WS_CHARS}]"
+PRINTED = "(?![!-~])"  # cheap test that spares most characters the whitespace class
 
 Counter = Callable[[Column], Column]
 
@@ -66,7 +69,13 @@ def _col(c: Column | str) -> Column:
 
 def strip_ws(c: Column | str) -> Column:
     """Strip leading and trailing Unicode whitespace (Python ``str.strip()``)."""
-    return F.regexp_replace(_col(c), f"^{WS}+|{WS}+\\z", "")
+    return F.regexp_replace(_col(c), f"{PRINTED}(?:^{WS}+|{WS}+\\z)", "")
+
+
+def collapse_ws(c: Column | str) -> Column:
+    """Every run of whitespace as one space; runs that are one space already are not matched."""
+    other = WS_CHARS.replace(r"\x1C-\x20", r"\x1C-\x1F")
+    return F.regexp_replace(_col(c), f"{PRINTED}(?: {WS}|[{other}]){WS}*", " ")
 
 
 def clean_text(c: Column | str) -> Column:
@@ -78,15 +87,15 @@ def clean_text(c: Column | str) -> Column:
     strip.  The reference's intermediate CR/LF/tab collapsing steps are implied
     by the final collapse and therefore not repeated.
     """
-    s = strip_ws(F.regexp_replace(_col(c), f"{WS}+", " "))  # runs first: every later pass is linear
-    s = F.regexp_replace(s, '^"+|"+\\z', "")
+    s = F.trim(collapse_ws(c))  # from here on all whitespace is single spaces
+    s = F.btrim(s, F.lit('"'))
     s = F.replace(s, F.lit(MOJIBAKE_COMMA), F.lit(","))
-    s = F.replace(s, F.lit(MOJIBAKE_SPACE), F.lit(" "))
-    s = F.regexp_replace(s, f"{WS}+", " ")
-    # "no whitespace before a comma" and "one space after it" in one pass:
-    # whitespace on either side of a comma can only end up as that one space
-    s = F.regexp_replace(s, f"{WS}*,{WS}*", ", ")
-    return strip_ws(s)
+    # only the second repair can make longer runs again
+    s = let(s, lambda x: F.when(F.contains(x, F.lit(MOJIBAKE_SPACE)), collapse_ws(F.replace(x, F.lit(MOJIBAKE_SPACE), F.lit(" ")))).otherwise(x))
+    # no space before a comma, one after it
+    for old, new in ((" ,", ","), (", ", ","), (",", ", ")):
+        s = F.replace(s, F.lit(old), F.lit(new))
+    return F.trim(s)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -142,7 +151,7 @@ def split_units(c: Column | str, titles: list[str] | None = None) -> Column:
 def count_tokens(c: Column | str) -> Column:
     """Default token counter: ``[A-Za-z0-9_]+`` runs plus single other
     non-space characters (each non-ASCII letter counts as one token)."""
-    return F.regexp_count(_col(c), F.lit(TOKEN_PATTERN)).cast("int")
+    return F.regexp_count(_col(c), F.lit(TOKEN_JAVA)).cast("int")
 
 
 def _words(c: Column) -> Column:

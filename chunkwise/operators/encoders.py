@@ -50,7 +50,7 @@ def hashed_vector(chunk: Column, dim: int = ENCODER_DIM) -> Column:
         n = F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
         return T.let(n, lambda norm: F.transform(c, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0))))
 
-    tokens = F.regexp_extract_all(F.lower(chunk), F.lit(T.TOKEN_PATTERN), 0)
+    tokens = F.regexp_extract_all(F.lower(chunk), F.lit(T.TOKEN_JAVA), 0)
     return T.let(T.let(F.array_join(F.transform(tokens, letter), ""), counts), unit)
 
 

@@ -111,7 +111,7 @@ def tfidf(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_max: int
 def build_vocab(df: DataFrame, text: str = "text", size: int = 30000) -> DataFrame:
     """``term, term_id, n`` for the ``size`` most frequent tokens of the
     lower-cased text (ties by term); ids start after the reserved ones."""
-    toks = df.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(T.TOKEN_PATTERN), 0)).alias("term"))
+    toks = df.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(T.TOKEN_JAVA), 0)).alias("term"))
     c = toks.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     top = c.orderBy(F.col("n").desc(), F.col("term")).limit(size)
     return top.withColumn("term_id", (F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("term")))
@@ -132,7 +132,7 @@ def encode_ids(df: DataFrame, vocab: DataFrame, text: str = "chunk", keys: list[
     body_len = pad_size - 2
     # posexplode_outer keeps a chunk without tokens as one row with a null
     # term, so it still gets [CLS][SEP] without a join back to the chunks
-    toks = df.select(*keys, F.posexplode_outer(F.regexp_extract_all(F.lower(text), F.lit(T.TOKEN_PATTERN), 0))
+    toks = df.select(*keys, F.posexplode_outer(F.regexp_extract_all(F.lower(text), F.lit(T.TOKEN_JAVA), 0))
                      .alias("pos", "term")).where(F.col("pos").isNull() | (F.col("pos") < body_len))
     ids = toks.join(F.broadcast(vocab.select("term", "term_id")), "term", "left") \
         .select(*keys, "pos", F.when(F.col("pos").isNotNull(), F.coalesce("term_id", F.lit(UNK_ID))).alias("id"))

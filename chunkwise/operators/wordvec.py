@@ -32,7 +32,7 @@ PIECE = 1 << 15  # ids whose vectors are held at a time
 
 def bucket_ids(text: Column, buckets: int, pairs: bool = True) -> Column:
     """Bucket of each lower-cased token and, with ``pairs``, of each two adjacent ones."""
-    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(T.TOKEN_PATTERN), 0)
+    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(T.TOKEN_JAVA), 0)
 
     def ids(t: Column) -> Column:
         one = F.transform(t, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))

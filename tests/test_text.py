@@ -106,3 +106,41 @@ def test_over_budget_unit_kept_whole(spark):
     df = spark.createDataFrame([("a-b-c-d-e-f-g. Next",)], "t string")
     r = df.select(T.chunk_table("t", max_tokens=5, max_chunks=4).alias("c")).collect()[0]["c"]
     assert [(c["chunk"], c["n_tokens"]) for c in r["chunks"]] == [("a-b-c-d-e-f-g.", 14), ("Next", 1)]
+
+
+def test_clean_text_equals_its_steps(spark):
+    """Random mixtures of whitespace, quotes, commas and repairs against the reference's order of steps in Python."""
+    import random
+    import re
+    import time
+
+    r = random.Random(5)
+    bits = [" ", "  ", "\t", "\n", "\x1c", "\x85", " ", "　", ",", " ,", '"', '""', T.MOJIBAKE_COMMA, T.MOJIBAKE_SPACE, "?", "a", "B_9", "é", "\x0b", "\x7f", "\U0001f600", "-"]
+    rows = [(i, "".join(r.choices(bits, k=r.randrange(14)))) for i in range(6000)] + [(-1, None), (-2, "")]
+
+    def steps(s):
+        s = re.sub(r"\s+", " ", s).strip().strip('"').replace(T.MOJIBAKE_COMMA, ",").replace(T.MOJIBAKE_SPACE, " ")
+        return re.sub(r"\s*,\s*", ", ", re.sub(r"\s+", " ", s)).strip()
+
+    d = spark.createDataFrame(rows, "i int, t string")
+    got = {x.i: x for x in d.select("i", T.clean_text("t").alias("c"), T.strip_ws("t").alias("s"), T.count_tokens("t").alias("n")).collect()}
+    for i, t in rows:
+        if t is None:
+            assert got[i].c is None and got[i].s is None and got[i].n is None
+            continue
+        assert got[i].c == steps(t), repr(t)
+        assert got[i].s == t.strip(), repr(t)
+        assert got[i].n == len(re.findall(r"[A-Za-z0-9_]+|[^\sA-Za-z0-9_]", t)), repr(t)
+    # cleaning one-line texts costs little beside the plain pattern over all whitespace
+    big = spark.createDataFrame([("word of text, " * 3000,)] * 400, "t string").repartition(4).cache()
+    big.count()
+
+    def seconds(c):
+        best = 1e9
+        for _ in range(3):
+            a = time.perf_counter()
+            big.select(c).write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - a)
+        return best
+
+    assert seconds(T.clean_text("t")) < 2 * seconds(F.regexp_replace("t", f"{T.WS}+", " "))
