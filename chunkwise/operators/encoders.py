@@ -8,6 +8,7 @@ or join is needed and rows keep their place whatever their keys are.
 
 from __future__ import annotations
 
+import hashlib
 import importlib
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkwise.functions import text as T
+from chunkwise.operators.filters import materialize
 
 ENCODER_DIM = 64
 LETTERS_FROM, LETTERS = 0x4E00, 20_000  # one letter stands for each bucket of the native encoder
@@ -54,6 +56,43 @@ def hashed_vector(chunk: Column, dim: int = ENCODER_DIM) -> Column:
     return T.let(T.let(F.array_join(F.transform(tokens, letter), ""), counts), unit)
 
 
+def chunk_tokens(chunks: Column) -> Column:
+    """Lower-cased tokens of each chunk of a list."""
+    return F.transform(chunks, lambda c: F.regexp_extract_all(F.lower(c), F.lit(T.TOKEN_JAVA), 0))
+
+
+TOKENS = 1 << 20  # tokens of a batch that are looked up together
+
+
+def hashed_matrix(tokens: pa.ListArray, dim: int) -> np.ndarray:
+    """``hashed_vector`` of each token list, (lists, dim); a token is hashed once for about ``TOKENS`` of them."""
+    sizes = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    out = np.zeros((len(tokens), dim))
+    total = np.cumsum(sizes)
+    cuts = np.flatnonzero(np.diff(total // TOKENS)) + 1
+    for a, z in zip(np.r_[0, cuts], np.r_[cuts, len(tokens)], strict=True):
+        words = tokens.slice(a, z - a).flatten().dictionary_encode()
+        bucket = np.array([int(hashlib.md5(w.encode()).hexdigest()[:7], 16) % dim for w in words.dictionary.to_pylist()], np.int64)
+        at = np.repeat(np.arange(z - a), sizes[a:z]) * dim + bucket[words.indices.to_numpy(zero_copy_only=False)]
+        out[a:z] = np.bincount(at, minlength=(z - a) * dim).reshape(z - a, dim)
+    norm = np.sqrt((out * out).sum(axis=1))  # sums of whole numbers, the same in any order
+    return np.divide(out, norm[:, None], out=np.zeros_like(out), where=norm[:, None] > 0)
+
+
+def as_lists(m: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32()), pa.array(m.ravel()))
+
+
+def hashed_udf(dim: int) -> Callable[[Column], Column]:
+    """Arrow function of ``chunk_tokens`` -> vectors of the native encoder; a null list gives null."""
+    @F.arrow_udf("array<array<double>>")
+    def encode(lists: pa.Array) -> pa.Array:
+        ends = np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), as_lists(hashed_matrix(lists.flatten(), dim)), mask=lists.is_null())
+
+    return encode
+
+
 def named_factory(path: str) -> Callable:
     """The factory that ``package.module:name`` names; imported where it is called."""
     module, _, name = path.partition(":")
@@ -102,7 +141,9 @@ def encoder_udf(make_encoder: MakeEncoder, batch_size: int = 64) -> Callable[[Co
 def encode_chunks(df: DataFrame, chunks: str = "chunks", out: str = "chunk_vecs",
                   make_encoder: MakeEncoder | None = None, dim: int = ENCODER_DIM, batch_size: int = 64) -> DataFrame:
     """M5: every chunk of the ``chunks`` list -> vector.  ``make_encoder``
-    brings a user encoder; without it the native one runs in the row."""
+    brings a user encoder; without it the vectors of ``hashed_vector`` are counted in numpy."""
     if make_encoder is None:
-        return df.withColumn(out, F.transform(F.col(chunks), lambda c: hashed_vector(c, dim)))
+        if not 0 < dim <= LETTERS:
+            raise ValueError(f"dim must be between 1 and {LETTERS}")
+        return materialize(df, {"_tokens": chunk_tokens(F.col(chunks))}).withColumn(out, hashed_udf(dim)(F.col("_tokens"))).drop("_tokens")
     return df.withColumn(out, encoder_udf(make_encoder, batch_size)(F.col(chunks)))

@@ -80,9 +80,12 @@ def document_vectors(df: DataFrame, model: ChunkModel, text: str = "text", clean
 
     make = model.factory()
     if make is None:
-        def body(p: Column) -> Column:
-            return T.let(F.transform(p["chunks"], lambda c: hashed_vector(c, model.dim)), lambda v: pool(v, p["chunk_mask"]))
-        return df.withColumn(out, T.let(padded, body)).drop("_clean", "_chunks")
+        d = FL.materialize(df, {"_padded": padded})
+        d = FL.materialize(d, {"_tokens": EN.chunk_tokens(F.col("_padded")["chunks"])}).withColumn("_vecs", EN.hashed_udf(model.dim)(F.col("_tokens")))
+        mask = F.col("_padded")["chunk_mask"]
+        vec = V.pool_attention_udf(model.att_w, model.att_b, model.att_v)(F.col("_vecs"), mask) if model.pooling == "attention" \
+            else T.let(F.col("_vecs"), lambda v: pool(v, mask))
+        return d.withColumn(out, vec).drop("_padded", "_tokens", "_vecs", "_clean", "_chunks")
     d = FL.materialize(df, {"_padded": padded})
     d = d.withColumn("_vecs", EN.encoder_udf(make, model.batch_size)(F.col("_padded")["chunks"]))
     return d.withColumn(out, T.let(F.col("_vecs"), lambda v: pool(v, F.col("_padded")["chunk_mask"]))).drop("_padded", "_vecs", "_clean", "_chunks")
