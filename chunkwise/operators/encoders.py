@@ -1,6 +1,7 @@
 """Chunk encoders (M5): every chunk of a row, padding included, to a vector of fixed width.
 
-The default encoder is native.  A user encoder works on Arrow batches: the
+The default encoder counts hashed tokens (``hashed_vector`` is its native
+form).  It and a user encoder work on Arrow batches: the
 chunk lists of a batch are flattened, encoded ``batch_size`` chunks at a
 time and cut into lists again, all inside the row, so no explode, shuffle
 or join is needed and rows keep their place whatever their keys are.

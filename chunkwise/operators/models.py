@@ -5,9 +5,9 @@ chunk -> pooling -> linear head -> argmax, then a broadcast lookup of the
 category name (a dimension of one row per class).  It needs no shuffle, so
 the same Columns run in batch and in a stateless stream.
 
-The default chunk encoder is native, so the registered queries need no
-Python worker.  A user encoder runs inside the row on Arrow batches
-(``operators.encoders``) and is loaded once per Python worker.
+The default chunk encoder counts hashed tokens in numpy, and a user encoder
+runs inside the row too, both on Arrow batches (``operators.encoders``); the
+latter is loaded once per Python worker.
 """
 
 from __future__ import annotations

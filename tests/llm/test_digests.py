@@ -154,6 +154,16 @@ def test_secret_threshold_keeps_recall(spark, n):
     assert not any("net" in r.spans for r in secret_scan.scan(docs, net).collect())
 
 
+def test_secret_examples_come_from_every_text(spark):
+    rows = [(i, f"key {i * 7919:032x} end") for i in range(2100)] + [(9000, "word " * 5000 + "AKIA" + "Q" * 16), (9001, None)]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    e = secret_scan.examples(docs).where("y = 1")
+    assert e.count() == 2101 and e.where("n = 2").count() == 2101
+    scores = spark.range(30_000).selectExpr("cast(id * 17 % 30000 as double) s", "1L + id * 17 % 2 n")
+    want = np.repeat(np.arange(30_000.0), 1 + np.arange(30_000) % 2)
+    assert [secret_scan.kth(scores, k) for k in (0, 900, 44_999)] == [want[0], want[900], want[44_999]]
+
+
 def test_secret_threshold_has_no_floor():
     r = np.random.default_rng(1)
     xs = [r.integers(1, 97, 60) for _ in range(400)]
