@@ -83,8 +83,10 @@ def document_vectors(df: DataFrame, model: ChunkModel, text: str = "text", clean
         d = FL.materialize(df, {"_padded": padded})
         d = FL.materialize(d, {"_tokens": EN.chunk_tokens(F.col("_padded")["chunks"])}).withColumn("_vecs", EN.hashed_udf(model.dim)(F.col("_tokens")))
         mask = F.col("_padded")["chunk_mask"]
-        vec = V.pool_attention_udf(model.att_w, model.att_b, model.att_v)(F.col("_vecs"), mask) if model.pooling == "attention" \
-            else T.let(F.col("_vecs"), lambda v: pool(v, mask))
+        if model.pooling != "attention":
+            return d.withColumn(out, T.let(F.col("_vecs"), lambda v: pool(v, mask))).drop("_padded", "_tokens", "_vecs", "_clean", "_chunks")
+        both = F.struct(F.col("_vecs").alias("x"), V.hidden_udf(model.att_w, model.att_b)(F.col("_vecs")).alias("h"))
+        vec = T.let(both, lambda s: V.pool_attention_rows(s["x"], mask, model.att_w, model.att_b, model.att_v, s["h"]))
         return d.withColumn(out, vec).drop("_padded", "_tokens", "_vecs", "_clean", "_chunks")
     d = FL.materialize(df, {"_padded": padded})
     d = d.withColumn("_vecs", EN.encoder_udf(make, model.batch_size)(F.col("_padded")["chunks"]))

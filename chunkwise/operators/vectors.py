@@ -147,13 +147,18 @@ def attention_weights(width: int) -> tuple[list[list[float]], list[float], list[
 
 
 def pool_attention_rows(vecs: Column, mask: Column, w: list[list[float]], b: list[float],
-                        v: list[float]) -> Column:
+                        v: list[float], hidden: Column | None = None) -> Column:
     """M7 inside one row: ``vecs array<array<double>>`` (the document's
     padded chunks) and ``mask array<int>`` -> pooled vector.  Used where all
     chunks of a document are already in its row (prediction, streaming), so
-    no grouping is needed."""
+    no grouping is needed.  ``hidden`` brings ``W x + b`` of each chunk."""
     from chunkwise.functions.text import let
 
+    def score(x: Column, i: Column) -> Column:
+        if hidden is None:
+            return attention_score(x, w, b, v)
+        return dot(const_vector(v), F.transform(F.element_at(hidden, i + 1), lambda z: F.tanh(z)))
+
     def pooled(sc: Column) -> Column:
         mx = F.array_max(sc)
         e = F.transform(sc, lambda s: F.exp(s - mx))
@@ -164,7 +169,7 @@ def pool_attention_rows(vecs: Column, mask: Column, w: list[list[float]], b: lis
         return F.transform(tot, lambda t: t / z)
 
     scores = F.transform(vecs, lambda x, i: F.when(F.element_at(mask, i + 1) == 0, F.lit(MASKED_SCORE))
-                         .otherwise(attention_score(x, w, b, v)))
+                         .otherwise(score(x, i)))
     return let(scores, pooled)
 
 
@@ -176,41 +181,19 @@ def in_order(w: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-POOLED = 4096  # rows that are pooled together
-
-
-def pool_attention_udf(w: list[list[float]], b: list[float], v: list[float]) -> Callable[[Column, Column], Column]:
-    """``pool_attention_rows`` on Arrow batches, (vecs, mask) -> pooled
-    vector, for lists of one length in every row; null where ``vecs`` is."""
-    wm, bm, vm = (np.array(x, float) for x in (w, b, v))
-
-    def pool(x: np.ndarray, m: np.ndarray) -> np.ndarray:
-        n, slots, width = x.shape
-        flat, real = x.reshape(-1, width), np.flatnonzero(m.ravel() != 0)
-        score = np.full(n * slots, MASKED_SCORE)
-        score[real] = in_order(vm[None], np.tanh(in_order(wm, flat[real]) + bm))[:, 0]
-        score = score.reshape(n, slots)
-        e = np.exp(score - score.max(axis=1, keepdims=True))
-        z, out = np.zeros(n), np.zeros((n, width))
-        for j in range(slots):
-            z += e[:, j]
-            out += x[:, j] * e[:, j, None]
-        return out / z[:, None]
-
-    @F.arrow_udf("array<double>")
-    def pooled(vecs: pa.Array, mask: pa.Array) -> pa.Array:
-        null = vecs.is_null()
-        rows = np.flatnonzero(~null.to_numpy(zero_copy_only=False))
-        flat, width = vecs.flatten(), len(bm)
-        slots = len(flat) // max(len(rows), 1)
-        x = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), slots, -1)
-        m = mask.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), slots)
-        width = x.shape[2] if x.size else width
-        got = [pool(x[k:k + POOLED], m[k:k + POOLED]).ravel() for k in range(0, len(rows), POOLED)]
-        ends = np.r_[0, np.cumsum(~null.to_numpy(zero_copy_only=False))] * width
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(got) if got else np.zeros(0)), mask=null)
-
-    return pooled
+def hidden_udf(w: list[list[float]], b: list[float]) -> Callable[[Column], Column]:
+    """Arrow function ``W x + b`` of every vector of a list, equal to ``matvec``; null where the list is."""
+    wm, bm = np.array(w, float), np.array(b, float)
+
+    @F.arrow_udf("array<array<double>>")
+    def hidden(vecs: pa.Array) -> pa.Array:
+        flat = vecs.flatten()
+        h = in_order(wm, flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), wm.shape[1])) + bm
+        rows = pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1) * len(bm), pa.int32()), pa.array(h.ravel()))
+        ends = np.r_[0, np.cumsum(vecs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows, mask=vecs.is_null())
+
+    return hidden
 
 
 def pool_mean_rows(vecs: Column, mask: Column) -> Column:

@@ -79,3 +79,20 @@ def test_nulls_and_empty(spark):
     assert np.allclose(got[1], [1.0, 2.0]) and got[2] is None
     assert {r["doc"]: r["doc_vec"] for r in V.pool_mean(d).collect()} == {1: [1.0, 2.0], 2: [0.0, 0.0]}
     assert V.pool_mean(d.limit(0)).collect() == [] and V.pool_attention(d.limit(0), w, b, v).collect() == []
+
+
+def test_numpy_pooling_equals_native(spark):
+    from pyspark.sql import functions as F
+
+    from chunkwise.operators import encoders as EN
+    from chunkwise.operators import vectors as V
+
+    w, b, v = V.attention_weights(16)
+    rows = [(0, ["a b, c", "", "x"], [1, 0, 1]), (1, ["", "", ""], [1, 0, 0]), (2, ["İ Σ straße é a a", "b " * 700, "z"], [1, 1, 0]), (3, None, None)]
+    d = spark.createDataFrame(rows, "i int, c array<string>, m array<int>").repartition(2)
+    d = d.withColumn("t", EN.chunk_tokens(F.col("c"))).withColumn("native", F.transform("c", lambda x: EN.hashed_vector(x, 16)))
+    d = d.withColumn("vecs", EN.hashed_udf(16)(F.col("t")))
+    d = d.withColumn("h", V.hidden_udf(w, b)(F.col("vecs"))).localCheckpoint()
+    d = d.withColumn("p", V.pool_attention_rows(F.col("vecs"), F.col("m"), w, b, v, F.col("h"))).withColumn("q", V.pool_attention_rows(F.col("native"), F.col("m"), w, b, v))
+    for r in d.collect():
+        assert r.vecs == r.native and r.p == r.q and (r.p is None) == (r.i == 3)
