@@ -13,7 +13,8 @@ together (of a group of copies, the one most like the others); a bucket that the
 component is done.  Of the others, one whose members of different components make at most ``PAIRS`` pairs a member
 compares those pairs: its members outside the largest component are then few and meet all members.  The
 members of the heavier ones meet in a prefix join: k-mers are ordered by how many of these texts hold them,
-rarest first, and two texts of similarity ``SIMILARITY`` share one of the first n - ceil(SIMILARITY n) + 1, at
+rarest first (counts of the ``COMMON`` most frequent ones go to every task, the others come before them by
+hash; any one order is exact), and two texts of similarity ``SIMILARITY`` share one of the first n - ceil(SIMILARITY n) + 1, at
 places that leave enough k-mers behind both.  Both ways find every link between members of a bucket, however
 large it is, and frequent passages are not compared text by text.
 Pairs whose k-mer counts or signatures rule out the threshold are left out before any k-mers are joined: a
@@ -30,7 +31,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkwise.llm.store import stored
@@ -40,6 +41,7 @@ WORD = re.compile(rb"[0-9a-z\x80-\xFF]+")  # of the lower-cased UTF-8 bytes
 SLICE = 1024  # members of a bucket that one task compares
 WORDS = 16  # of 64 bits, of a signature
 BLOCK = 1 << 21  # numbers hashed at a time
+COMMON = 1 << 18  # most frequent k-mers whose counts order the prefixes
 SHORT, HELD = 4000, 1 << 20  # k-mers of a pair that is compared as sets first; k-mers held in such sets
 _R = np.random.default_rng(11)
 _MUL = _R.integers(1, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint64(1)
@@ -226,18 +228,32 @@ def classes(docs: DataFrame) -> DataFrame:
 
     def prefix_pairs(x: DataFrame, known: DataFrame) -> DataFrame:
         """(a, b) of different components that share a k-mer of both prefixes at places that allow the threshold."""
-        grams = known.join(x.select("id"), "id", "left_semi").select("id", F.explode("g").alias("gram"))
-        held = grams.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
-        # a k-mer of one text alone joins nothing; it only moves the others behind it
-        own = Window.partitionBy("id")
-        some = grams.join(held, "gram").select("id", "gram", F.row_number().over(own.orderBy("c", "gram")).alias("i"), F.count("*").over(own).alias("some"))
-        size = F.col("n") - F.ceil(F.col("n") * SIMILARITY - 1e-9) + 1
-        place = F.col("n") - F.col("some") + F.col("i")
-        rows = (some.join(x.join(sk.select("id", "sig"), "id"), "id").where(place <= size)
-                .select(F.col("gram").alias("key"), "id", "comp", "n", (F.col("n") - place + 1).alias("rest"), "sig"))
+        texts_g = known.join(x.select("id"), "id", "left_semi")
+        counts = texts_g.select(F.explode("g").alias("gram")).groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
+        top = stored(counts.orderBy(F.col("c").desc(), "gram").limit(COMMON), "common").toArrow()  # at most COMMON rows
+        gram, often = (top[c].to_numpy() for c in ("gram", "c"))
+        whole, by = len(gram) < COMMON, np.argsort(gram)
+        gram, often = np.r_[gram[by], np.iinfo(np.int64).max], np.r_[often[by], 0]
+
+        def prefix(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                for key, g in zip(f["id"], f["g"], strict=True):
+                    g = np.asarray(g, np.int64)
+                    at = np.searchsorted(gram, g)
+                    c = np.where(gram[at] == g, often[at], 0)
+                    first = np.lexsort((g, c))[:len(g) - int(np.ceil(len(g) * SIMILARITY - 1e-9)) + 1]
+                    place = np.arange(1, len(first) + 1)
+                    if whole:  # a k-mer of one text alone joins nothing
+                        first, place = first[c[first] > 0], place[c[first] > 0]
+                    yield pd.DataFrame({"key": g[first], "id": key, "place": place})
+
+        rows = (texts_g.mapInPandas(prefix, "key long, id binary, place int").join(x.join(sk.select("id", "sig"), "id"), "id")
+                .select("key", "id", "comp", "n", (F.col("n") - F.col("place") + 1).alias("rest"), "sig"))
         rows = stored(rows, "prefix")
         mixed = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-        rows = stored(rows.join(mixed, "key", "left_semi"), "prefix-mixed")
+        # dealt by text: a small table of hot k-mers makes many pairs, and is not left to one task
+        parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = stored(rows.join(mixed, "key", "left_semi").repartition(parts, "id"), "prefix-mixed")
         y = rows.select(*[F.col(c).alias(f"{c}2") for c in rows.columns])
         enough = F.least("rest", "rest2") >= (F.col("n") + F.col("n2")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9
         return (rows.join(y, (F.col("key") == F.col("key2")) & (F.col("id") < F.col("id2")) & (F.col("comp") != F.col("comp2")) & fits("n", "n2") & enough & alike("n", "n2", "sig", "sig2"))

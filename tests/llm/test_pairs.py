@@ -126,6 +126,28 @@ def test_near_duplicates_brute_force(spark, monkeypatch, pairs):
     assert got == {d: find(d) for d in k} | {None: None}
 
 
+@pytest.mark.parametrize("common", [3, 1 << 18])
+def test_prefixes_are_ranked_without_a_join(spark, monkeypatch, common):
+    """A hot passage in texts of many components: the k-mers are counted and ranked, not joined one by one."""
+    joined, join = [], type(spark.range(1)).join
+    monkeypatch.setattr(type(spark.range(1)), "join", lambda self, other, on=None, how=None: joined.append(on) or join(self, other, on, how))
+    monkeypatch.setattr(order_minhash, "PAIRS", 0)
+    monkeypatch.setattr(order_minhash, "COMMON", common, raising=False)
+    r = random.Random(8)
+    hot = " ".join(f"h{i}" for i in range(60))
+    tails = [[f"t{r.randrange(10 ** 6)}" for _ in range(r.randint(8, 24))] for _ in range(12)]
+    rows = [(i, f"{hot} {' '.join(t[:len(t) - i % 3])}") for i, t in enumerate(t for t in tails for _ in range(4))]
+    got = {x.doc_id: x.class_id for x in order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    k = {d: order_minhash.kmers(t) for d, t in rows}
+    par = {d: d for d in k}
+    for a in k:
+        for b in k:
+            if a < b and par[a] != par[b] and order_minhash.similarity(k[a], k[b]) >= 0.8:
+                low, high = sorted((par[a], par[b]))
+                par = {d: low if p == high else p for d, p in par.items()}
+    assert got == par and "gram" not in [o for o in joined if isinstance(o, str)]
+
+
 def test_token_count_matches_library():
     path = public_tokenizers.path("piece_bpe_32k.model")
     import sentencepiece
