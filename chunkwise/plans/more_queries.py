@@ -158,11 +158,9 @@ def q_build_vocab(spark, sf):
 
 @query("encode_ids")
 def q_encode_ids(spark, sf):
-    # Both the vocabulary and the chunks need the cleaned, filtered documents.
-    # Ending that shared input in one exchange gives both branches the same
-    # shuffle stage, which is computed once and reused (instead of cleaning
-    # and filtering every text twice).
-    docs = kept_documents(spark, sf).repartition("doc_id")
+    # Both the vocabulary and the chunks need the cleaned, filtered documents:
+    # every text is cleaned and filtered once.
+    docs = written(kept_documents(spark, sf).select("doc_id", "text"), "kept-texts")
     vocab = FE.build_vocab(docs, size=VOCAB_SIZE)
     ch = T.with_chunks(docs, "text", "ch").select("doc_id", F.posexplode("ch").alias("chunk_no", "c"))
     ch = ch.select("doc_id", "chunk_no", F.col("c")["chunk"].alias("chunk"))
