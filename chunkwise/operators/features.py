@@ -5,14 +5,20 @@ rebalancing by replication (M12).
 Scale notes: term rows come from ``explode``; every per-term aggregate is
 algebraic (count / sum), so a hot term is pre-aggregated map-side before
 the shuffle.  The vocabulary is cut to ``max_features`` rows with
-``orderBy(...).limit(k)`` (each task keeps only its top k), so the broadcast
-side of the term join has a proven bound of k rows.
+``orderBy(...).limit(k)`` (each task keeps only its top k), so the table that
+every task looks terms up in has a proven bound of k rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from chunkwise.functions import text as T
 from chunkwise.operators import splits as SP
@@ -31,6 +37,9 @@ FIRST_TERM_ID = 4
 # ---------------------------------------------------------------------------
 
 
+ROWS = 1024  # texts whose terms are counted at a time
+
+
 def terms(text: Column, stop_words: list[str] | None = None) -> Column:
     """Lower-cased terms of 2+ characters, stop words removed."""
     t = F.filter(F.regexp_extract_all(F.lower(text), F.lit(TERM_PATTERN), 0), lambda w: F.length(w) >= 2)
@@ -72,12 +81,41 @@ def term_counts(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_ma
                 stop_words: list[str] | None = None) -> DataFrame:
     """(key, row, counts ``array<struct<term, tf>>``) of each row, written
     once.  Terms are counted inside the row, so nothing is shuffled; ``row``
-    tells rows of one key apart."""
-    from chunkwise.operators.filters import materialize
-
-    d = df.select(key, F.monotonically_increasing_id().alias("row"), F.col(text).alias("_text"))
-    grams = with_ngrams(terms(F.coalesce(F.col("_text"), F.lit("")), stop_words), ngram_max)
-    return written(materialize(d, {"counts": counted(grams)}).select(key, "row", "counts"), "term-counts")
+    tells rows of one key apart.  The words come from Spark; they are numbered,
+    paired and counted on Arrow batches, ``ROWS`` rows at a time."""
+    d = df.select(key, F.monotonically_increasing_id().alias("row"),
+                  F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM_PATTERN), 0).alias("words"))
+    stop = pa.array(stop_words or [], pa.string())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (x.slice(i, ROWS) for x in batches for i in range(0, len(x), ROWS)):
+            lists = b.column("words")
+            words = lists.flatten()
+            fit = pc.and_(pc.greater_equal(pc.utf8_length(words), 2), pc.invert(pc.is_in(words, value_set=stop)))
+            of = np.repeat(np.arange(len(b)), np.asarray(pc.list_value_length(lists)))[fit.to_numpy(zero_copy_only=False)]
+            seen = words.filter(fit).dictionary_encode()
+            code, names = np.asarray(seen.indices).astype(np.int64), [seen.dictionary]
+            rows, codes, gram, total = [of], [code], code, len(names[0])
+            for n in range(2, ngram_max + 1):
+                left, right = gram[:max(len(code) - n + 1, 0)], code[n - 1:]
+                ok = of[:len(left)] == of[n - 1:]
+                pair, at = np.unique((left * len(names[0]) + right)[ok], return_inverse=True)
+                first, last = np.divmod(pair, max(len(names[0]), 1))
+                names.append(pc.binary_join_element_wise(names[n - 2].take(pa.array(first)), names[0].take(pa.array(last)), " "))
+                gram = np.zeros(len(left), np.int64)
+                gram[ok] = at
+                rows.append(of[:len(left)][ok])
+                codes.append(at + total)
+                total += len(pair)
+            found, tf = np.unique(np.concatenate(rows) * max(total, 1) + np.concatenate(codes), return_counts=True)
+            row, term = np.divmod(found, max(total, 1))
+            ends = pa.array(np.r_[0, np.cumsum(np.bincount(row, minlength=len(b)))].astype(np.int32))
+            items = pa.StructArray.from_arrays([pa.concat_arrays(names).take(pa.array(term)), pa.array(tf)], ["term", "tf"])
+            yield pa.RecordBatch.from_arrays([b.column(key), b.column("row"), pa.ListArray.from_arrays(ends, items)], names=[key, "row", "counts"])
+
+    item = StructType([StructField("term", StringType()), StructField("tf", LongType())])
+    out = StructType([d.schema[key], d.schema["row"], StructField("counts", ArrayType(item))])
+    return written(d.mapInArrow(count, out), "term-counts")
 
 
 def tfidf(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_max: int = 2, max_features: int = 50000,
@@ -90,22 +128,37 @@ def tfidf(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_max: int
     Every row is a document, whatever its key; a null text has no terms.
 
     The texts are read once and not shuffled: the statistics shuffle distinct
-    terms after map-side aggregation, and of the counted terms only those in
-    the vocabulary are shuffled, for the norm.
+    terms after map-side aggregation.  Weights and norms are taken inside the
+    row, from the vocabulary (at most ``max_features`` terms) in every task.
     """
     rows = term_counts(df, text, key, ngram_max, stop_words)
     n_docs = rows.agg(F.count(F.lit(1))).scalar()  # scalar subquery, evaluated once
-    tc = rows.select(key, "row", F.inline("counts"))
+    tc = rows.select(F.inline("counts"))
     stats = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")) \
         .withColumn("n_docs", n_docs)
     keep = (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * F.col("n_docs"))
     top = stats.where(keep).orderBy(F.col("total").desc(), F.col("term")).limit(max_features)
-    vocab = top.withColumn("term_id", F.row_number().over(Window.orderBy(F.col("total").desc(), F.col("term"))) - 1) \
-        .withColumn("idf", F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1) \
-        .select("term", "term_id", "df", "idf")
-    w = tc.join(F.broadcast(vocab.select("term", "idf")), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("row")))
-    return w.select(key, "term", (F.col("w") / norm).alias("weight")), vocab
+    vocab = written(
+        top.withColumn("term_id", F.row_number().over(Window.orderBy(F.col("total").desc(), F.col("term"))) - 1)
+        .withColumn("idf", F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1)
+        .select("term", "term_id", "df", "idf"), "vocabulary")
+    known = vocab.select("term", "idf").toArrow()  # at most max_features rows
+    term, idf = known["term"].combine_chunks(), known["idf"].to_numpy()
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (x.slice(i, ROWS) for x in batches for i in range(0, len(x), ROWS)):
+            c = b.column("counts")
+            items = c.flatten()
+            at = pc.index_in(items.field("term"), value_set=term)
+            pick = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+            row = np.repeat(np.arange(len(b)), np.asarray(pc.list_value_length(c)))[pick]
+            w = items.field("tf").to_numpy(zero_copy_only=False)[pick] * idf[at.take(pa.array(pick)).to_numpy(zero_copy_only=False)]
+            norm = np.sqrt(np.bincount(row, weights=w * w, minlength=len(b)))
+            yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(row)), items.field("term").take(pa.array(pick)), pa.array(w / norm[row])],
+                                             names=[key, "term", "weight"])
+
+    out = StructType([rows.schema[key], StructField("term", StringType()), StructField("weight", DoubleType())])
+    return rows.select(key, "counts").mapInArrow(weigh, out), vocab
 
 
 def build_vocab(df: DataFrame, text: str = "text", size: int = 30000) -> DataFrame:
@@ -124,31 +177,44 @@ def encode_ids(df: DataFrame, vocab: DataFrame, text: str = "chunk", keys: list[
     ``[PAD]``; unknown tokens map to ``[UNK]``.  Adds ``input_ids`` and
     ``attention_mask`` (array<int>, length ``pad_size``).
 
-    Tokens past ``pad_size - 2`` are dropped before the vocabulary join, so a
-    regrouped (keys) set never exceeds ``pad_size - 2`` rows; the vocabulary
-    is bounded by its own ``size``.
+    A chunk's tokens past ``pad_size - 2`` are dropped, and its ids are looked
+    up inside the row, in the vocabulary that every task has (bounded by its
+    own ``size``).  Chunks of equal keys are one sequence, by place and id.
     """
     keys = keys or ["doc_id", "chunk_no"]
-    body_len = pad_size - 2
-    # posexplode_outer keeps a chunk without tokens as one row with a null
-    # term, so it still gets [CLS][SEP] without a join back to the chunks
-    toks = df.select(*keys, F.posexplode_outer(F.regexp_extract_all(F.lower(text), F.lit(T.TOKEN_JAVA), 0))
-                     .alias("pos", "term")).where(F.col("pos").isNull() | (F.col("pos") < body_len))
-    ids = toks.join(F.broadcast(vocab.select("term", "term_id")), "term", "left") \
-        .select(*keys, "pos", F.when(F.col("pos").isNotNull(), F.coalesce("term_id", F.lit(UNK_ID))).alias("id"))
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))
-    g = ids.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_t"))  # collect_list skips nulls
-
-    def body(b: Column) -> Column:
-        real = F.concat(F.array(F.lit(CLS_ID)), b, F.array(F.lit(SEP_ID)))
-        n = F.size(real)
-        return F.struct(F.concat(real, F.array_repeat(F.lit(PAD_ID), F.lit(pad_size) - n)).alias("input_ids"),
-                        F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.lit(pad_size) - n))
-                        .alias("attention_mask"))
-
-    body_ids = F.transform(F.coalesce("_t", F.array().cast("array<struct<pos:int,id:int>>")), lambda x: x["id"])
-    e = T.let(body_ids, body)
-    return g.select(*keys, e["input_ids"].alias("input_ids"), e["attention_mask"].alias("attention_mask"))
+    known = vocab.select("term", "term_id").toArrow()
+    term, term_id = known["term"].combine_chunks(), known["term_id"].to_numpy()
+    tokens = F.regexp_extract_all(F.lower(text), F.lit(T.TOKEN_JAVA), 0)
+    # collect_list skips nulls, so a chunk without a text still gets [CLS][SEP]
+    g = df.select(*keys, F.slice(tokens, 1, pad_size - 2).alias("_t")).groupBy(*keys).agg(F.collect_list("_t").alias("_t"))
+
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts = b.column("_t")
+            texts = parts.flatten()
+            size = np.asarray(pc.list_value_length(texts), np.int64)
+            at = pc.index_in(texts.flatten(), value_set=term)
+            seen = at.is_valid().to_numpy(zero_copy_only=False)
+            body = np.full(len(at), UNK_ID, np.int32)
+            body[seen] = term_id[at.drop_null().to_numpy()]
+            chunks = np.asarray(pc.list_value_length(parts), np.int64)
+            of = np.repeat(np.repeat(np.arange(len(b)), chunks), size)
+            if chunks.max(initial=0) > 1:
+                pos = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+                body = body[np.lexsort((body, pos, of))]
+            n = np.bincount(of, minlength=len(b))
+            width = np.maximum(n + 2, pad_size)
+            start = np.cumsum(width) - width
+            out, mask = np.full(width.sum(), PAD_ID, np.int32), np.zeros(width.sum(), np.int32)
+            out[start], out[start + n + 1] = CLS_ID, SEP_ID
+            out[start[of] + 1 + np.arange(len(of)) - (np.cumsum(n) - n)[of]] = body
+            mask[np.repeat(start, n + 2) + np.arange((n + 2).sum()) - np.repeat(np.cumsum(n + 2) - n - 2, n + 2)] = 1
+            ends = pa.array(np.r_[start, width.sum()].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keys], *[pa.ListArray.from_arrays(ends, pa.array(x)) for x in (out, mask)]],
+                                             names=[*keys, "input_ids", "attention_mask"])
+
+    kinds = [g.schema[k] for k in keys]
+    return g.mapInArrow(ids, StructType([*kinds, *[StructField(c, ArrayType(IntegerType())) for c in ("input_ids", "attention_mask")]]))
 
 
 COPIES = 4096  # copies of a row that one task makes

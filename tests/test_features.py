@@ -90,3 +90,21 @@ def test_tfidf_equals_plain_counts(spark):
         want += [(key, t, round(v / norm, 9)) for t, v in x.items()]
     got = [(r["doc_id"], r["term"], round(r["weight"], 9)) for r in w.collect()]
     assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_terms_and_ids_are_looked_up_in_the_row(spark):
+    """Neither the weights nor the ids of a chunk shuffle or join a row for each term; longer n-grams are counted too."""
+    rows = [(1, 0, "Red fish blue fish red fish"), (1, 0, "red"), (2, None, "one red fish x"), (None, 1, None), (3, 0, "y")]
+    df = spark.createDataFrame(rows, "doc_id int, chunk_no int, chunk string").repartition(3)
+    w, vocab = FE.tfidf(df, text="chunk", ngram_max=3, min_df=1, max_df=1.0)
+    plan = w._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert {r["term"]: r["df"] for r in vocab.collect()} == {
+        t: 2 if t in ("fish", "red fish") else 3 if t == "red" else 1
+        for t in ("red", "fish", "blue", "one", "red fish", "fish blue", "blue fish", "fish red", "one red", "red fish blue",
+                  "fish blue fish", "blue fish red", "fish red fish", "one red fish")}
+    ids = FE.encode_ids(df, spark.createDataFrame([("red", 4), ("fish", 5)], "term string, term_id int"), pad_size=10)
+    assert "Join" not in ids._jdf.queryExecution().executedPlan().toString()
+    got = {(r["doc_id"], r["chunk_no"]): (r["input_ids"], sum(r["attention_mask"]), len(r["attention_mask"])) for r in ids.collect()}
+    assert got == {(1, 0): ([2, 4, 4, 5, 1, 5, 4, 5, 3, 0], 9, 10), (2, None): ([2, 1, 4, 5, 1, 3, 0, 0, 0, 0], 6, 10),
+                   (None, 1): ([2, 3, 0, 0, 0, 0, 0, 0, 0, 0], 2, 10), (3, 0): ([2, 1, 3, 0, 0, 0, 0, 0, 0, 0], 3, 10)}
