@@ -59,6 +59,8 @@ TOKEN_PATTERN = f"[A-Za-z0-9_]+|[^{WS_CHARS}A-Za-z0-9_]"
 # The same for Java's matcher: word characters by its table, the commonest character of the class first.
 TOKEN_JAVA = rf"\w+|[^\x20\w{WS_CHARS}]"
 PRINTED = "(?![!-~])"  # cheap test that spares most characters the whitespace class
+# All but the first character of each token, for Java's matcher: the rest of a word with its space, or whitespace.
+TOKEN_REST = rf"(?<=\w)\w++ ?+|{PRINTED}{WS}++"
 
 Counter = Callable[[Column], Column]
 
@@ -150,8 +152,10 @@ def split_units(c: Column | str, titles: list[str] | None = None) -> Column:
 
 def count_tokens(c: Column | str) -> Column:
     """Default token counter: ``[A-Za-z0-9_]+`` runs plus single other
-    non-space characters (each non-ASCII letter counts as one token)."""
-    return F.regexp_count(_col(c), F.lit(TOKEN_JAVA)).cast("int")
+    non-space characters (each non-ASCII letter counts as one token).  What
+    is left without the rest of every token is counted, so that no token
+    becomes a string of its own (as in ``regexp_count``)."""
+    return F.length(F.regexp_replace(_col(c), TOKEN_REST, ""))
 
 
 def _words(c: Column) -> Column:

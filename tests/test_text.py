@@ -144,3 +144,21 @@ def test_clean_text_equals_its_steps(spark):
         return best
 
     assert seconds(T.clean_text("t")) < 2 * seconds(F.regexp_replace("t", f"{T.WS}+", " "))
+
+
+def test_counting_tokens_makes_no_string_of_each(spark, capsys):
+    """Counts equal the token pattern's matches, without extracting the matches."""
+    import random
+    import re
+
+    r = random.Random(7)
+    bits = [" ", "  ", "\t", "\n", "\x1c", "\x85", "\xa0", " ", "　", "_", "a", "Zz", "9", "é", "ß1", ",", "-", "​", "\x00", "\x7f", "\U0001f600", "a b", " a "]
+    rows = [(i, "".join(r.choices(bits, k=r.randrange(20)))) for i in range(6000)] + [(-1, None), (-2, "")]
+    d = spark.createDataFrame(rows, "i int, t string").select("i", "t", T.count_tokens("t").alias("n"))
+    assert dict(d.dtypes)["n"] == "int"
+    for x in d.collect():
+        want = None if x.t is None else len(re.findall(r"[A-Za-z0-9_]+|[^\sA-Za-z0-9_]", x.t))
+        assert x.n == want, repr(x.t)
+    d.explain(True)
+    plan = capsys.readouterr().out
+    assert "regexp_extract_all" not in plan and "regexp_replace" in plan
