@@ -302,7 +302,9 @@ def packed(pieces: Column, n_units: Column, max_tokens: int, max_chunks: int, sp
                         st["k"].alias("total_chunks"), F.greatest(st["k"] - max_chunks, F.lit(0)).alias("dropped_chunks"),
                         n_units.alias("units"))
 
-    return let(_chunk_starts(F.transform(pieces, lambda x: x["n"]), max_tokens, max_chunks, space), with_st)
+    # the counts are bound: the fold refers to them at every piece
+    return let(F.transform(pieces, lambda x: x["n"]),
+               lambda counts: let(_chunk_starts(counts, max_tokens, max_chunks, space), with_st))
 
 
 def chunk_table(c: Column | str, max_tokens: int = DEFAULT_MAX_TOKENS, max_chunks: int = DEFAULT_MAX_CHUNKS,

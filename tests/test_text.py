@@ -162,3 +162,22 @@ def test_counting_tokens_makes_no_string_of_each(spark, capsys):
     d.explain(True)
     plan = capsys.readouterr().out
     assert "regexp_extract_all" not in plan and "regexp_replace" in plan
+
+
+def test_packing_grows_with_the_pieces(spark):
+    """Three times the pieces take about three times as long, and every chunk is as before."""
+    import time
+
+    def seconds(n):
+        d = spark.createDataFrame([("\n".join(["Ab cd."] * n),)], "t string").select(T.chunk_table("t", 6, 3).alias("c"))
+        best = 1e9
+        for _ in range(3):
+            a = time.perf_counter()
+            c = d.collect()[0]["c"]
+            best = min(best, time.perf_counter() - a)
+        assert c["units"] == n and c["total_chunks"] == n // 2 and c["dropped_chunks"] == n // 2 - 3
+        assert [tuple(x) for x in c["chunks"]] == [("Ab cd. Ab cd.", 6)] * 3
+        return best
+
+    few = seconds(6000)
+    assert seconds(18000) < 5 * few
