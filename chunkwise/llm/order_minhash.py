@@ -127,6 +127,52 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return len(tails) / (n + m - len(tails))
 
 
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """(gram, c) of the k-mers that two or more of the texts hold, at most ``COMMON`` of each part of them.
+
+    A task sums the counts of its own texts, up to ``BLOCK`` k-mers at a time, and gives one row a part: k-mers are not rows
+    before their counts are whole.  Parts are ranges of hashes, as many as shuffle partitions.
+    """
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = np.array([(1 << 64) * i // parts - (1 << 63) for i in range(1, parts)], np.int64)
+
+    def summed(gram: list[np.ndarray], c: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        u, at = np.unique(np.concatenate(gram), return_inverse=True)
+        total = np.zeros(len(u), np.int64)
+        np.add.at(total, at, np.concatenate(c))
+        return u, total
+
+    def own(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def dealt(u, c):
+            low = np.r_[0, np.searchsorted(u, cuts), len(u)]
+            full = [i for i in range(parts) if low[i] < low[i + 1]]
+            return pd.DataFrame({"part": np.array(full, np.int32), "gram": [u[low[i]:low[i + 1]] for i in full], "c": [c[low[i]:low[i + 1]] for i in full]})
+
+        none = np.zeros(0, np.int64)
+        u, c, more, n = none, none, [], 0
+        for f in frames:
+            for g in f["g"]:
+                more.append(np.asarray(g, np.int64))
+                n += len(g)
+                if n >= BLOCK:
+                    u, c = summed([u, *more], [c, np.ones(n, np.int64)])
+                    more, n = [], 0
+                    if len(u) >= BLOCK:
+                        yield dealt(u, c)
+                        u, c = none, none
+        if len(u) or n:
+            yield dealt(*summed([u, *more], [c, np.ones(n, np.int64)]))
+
+    def whole(f: pd.DataFrame) -> pd.DataFrame:
+        u, c = summed(f["gram"].tolist(), f["c"].tolist())
+        u, c = u[c > 1], c[c > 1]
+        top = np.lexsort((u, -c))[:COMMON]
+        return pd.DataFrame({"gram": u[top], "c": c[top]})
+
+    return (texts.select("g").mapInPandas(own, "part int, gram array<long>, c array<long>")
+            .groupBy("part").applyInPandas(whole, "gram long, c long"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, comp) of every end of an edge: least id reachable; each round is a written table."""
     both = stored(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both")
@@ -229,8 +275,7 @@ def classes(docs: DataFrame) -> DataFrame:
     def prefix_pairs(x: DataFrame, known: DataFrame) -> DataFrame:
         """(a, b) of different components that share a k-mer of both prefixes at places that allow the threshold."""
         texts_g = known.join(x.select("id"), "id", "left_semi")
-        counts = texts_g.select(F.explode("g").alias("gram")).groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
-        top = stored(counts.orderBy(F.col("c").desc(), "gram").limit(COMMON), "common").toArrow()  # at most COMMON rows
+        top = stored(gram_counts(texts_g).orderBy(F.col("c").desc(), "gram").limit(COMMON), "common").toArrow()  # at most COMMON rows
         gram, often = (top[c].to_numpy() for c in ("gram", "c"))
         whole, by = len(gram) < COMMON, np.argsort(gram)
         gram, often = np.r_[gram[by], np.iinfo(np.int64).max], np.r_[often[by], 0]

@@ -298,3 +298,23 @@ def test_signatures_bound_the_difference(spark):
             assert sum(int(x).bit_count() for x in (s ^ t).view(np.uint64)) <= len(np.setxor1d(a, b))
     rows = spark.createDataFrame([(4, 5, sig[0].tolist(), sig[1].tolist()), (9, 9, sig[7].tolist(), sig[7].tolist())], "n int, m int, s array<long>, t array<long>")
     assert [x[0] for x in rows.select(order_minhash.alike("n", "m", "s", "t")).collect()] == [False, True]
+
+
+@pytest.mark.parametrize(("block", "common"), [(40, 1 << 18), (1 << 21, 5)])
+def test_kmers_are_counted_without_a_row_each(spark, monkeypatch, capsys, block, common):
+    """Counts of k-mers held by two or more texts, against a plain count; null, empty, least and largest ones included."""
+    from collections import Counter
+
+    r = random.Random(4)
+    monkeypatch.setattr(order_minhash, "BLOCK", block)
+    monkeypatch.setattr(order_minhash, "COMMON", common)
+    edge = [-(1 << 63), (1 << 63) - 1, 0, -1]
+    rows = [(sorted({r.choice(edge + list(range(5, 30))) * (1 if r.random() < 0.5 else 1 << 58) % (1 << 63) for _ in range(r.randrange(12))} | set(r.sample(edge, 2))),) for _ in range(60)] + [([],)]
+    texts = spark.createDataFrame(rows, "g array<long>").repartition(5)
+    got = order_minhash.gram_counts(texts)
+    got.explain()
+    assert "Generate" not in capsys.readouterr().out
+    got = {x.gram: x.c for x in got.collect()}
+    want = {g: c for g, c in Counter(g for x, in rows for g in x).items() if c > 1}
+    assert got == want if common > 100 else got.items() <= want.items() and {c for _, c in sorted(want.items(), key=lambda x: -x[1])[:common]} <= set(got.values())
+    assert order_minhash.gram_counts(texts.limit(0)).collect() == []
