@@ -318,3 +318,36 @@ def test_kmers_are_counted_without_a_row_each(spark, monkeypatch, capsys, block,
     want = {g: c for g, c in Counter(g for x, in rows for g in x).items() if c > 1}
     assert got == want if common > 100 else got.items() <= want.items() and {c for _, c in sorted(want.items(), key=lambda x: -x[1])[:common]} <= set(got.values())
     assert order_minhash.gram_counts(texts.limit(0)).collect() == []
+
+
+def test_line_dedup_first_grams():
+    """Lines within their edits share a first gram, and a line has few of them: they decide what the join shuffles."""
+    r = random.Random(21)
+    spell = lambda n: "".join(r.choice("abcdefgh é") for _ in range(n))
+    none = np.zeros(line_dedup.SLOTS, np.uint8)
+    for j, (low, _, q, _) in enumerate(line_dedup.kinds(2, line_dedup.GROW, 32)):
+        lines = [spell(r.randint(max(low, 32), max(low, 32) * 2 - 1)) for _ in range(60)] + ["=" * max(low, 40)]
+        for x in lines[:60]:
+            for _ in range(line_dedup.allowed(len(x), 2, line_dedup.GROW)):
+                p = r.randrange(len(x))
+                x = x[:p] + r.choice(["", "x", "y" + x[p]]) + x[p + 1:]
+            lines.append(x)
+        e = line_dedup.reach(np.array([len(x) for x in lines]), 2, line_dedup.GROW)
+        of, key, _, _ = line_dedup.prefixes(lines, e, q, none)
+        held = [set(key[of == i].tolist()) for i in range(len(lines))]
+        assert all(held[i] & held[61 + i] for i in range(60)), j
+        assert len(key) <= 2 * (e + 1).sum(), j
+
+
+def test_line_dedup_verifies_in_batches():
+    r = random.Random(22)
+    a = ["".join(r.choice("abc é") for _ in range(r.randint(30, 200))) for _ in range(200)]
+    b = []
+    for x in a:
+        for _ in range(r.randint(0, 8)):
+            p = r.randrange(len(x))
+            x = x[:p] + r.choice(["", "x", "yz"]) + x[p + r.randint(0, 1):]
+        b.append(x)
+    most = [line_dedup.allowed(max(len(x), len(y)), 2, line_dedup.GROW) for x, y in zip(a, b, strict=True)]
+    assert line_dedup.all_near(a, b, 2, line_dedup.GROW).tolist() == [distance(x, y) <= k for x, y, k in zip(a, b, most, strict=True)]
+    assert line_dedup.banded(a, b, np.array(most)).tolist() == [distance(x, y) <= k for x, y, k in zip(a, b, most, strict=True)]
