@@ -27,6 +27,7 @@ from chunkwise.operators.filters import materialize
 from chunkwise.operators.store import written
 
 BLOCK = 1024  # buckets that are averaged together
+SHORT = 8  # rows of a run that is added together with others of its length
 PIECE = 1 << 15  # ids whose vectors are held at a time
 
 
@@ -70,6 +71,23 @@ def means(ids: list[np.ndarray], vectors: np.ndarray, piece: int = PIECE) -> np.
     return out
 
 
+def run_sums(x: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows that start there and hold n each, to the same bits as ``reduceat``; short runs of one length are added together."""
+    out = np.empty((len(start), x.shape[1]), x.dtype)
+    for k in range(1, SHORT + 1):
+        at = np.flatnonzero(n == k)
+        out[at] = x[start[at]]
+        if k > 1:  # the rows after the first are added up first, as reduceat does
+            rest = x[start[at] + 1]
+            for i in range(2, k):
+                rest += x[start[at] + i]
+            out[at] += rest
+    at = np.flatnonzero(n > SHORT)
+    for i, a, b in zip(at.tolist(), start[at].tolist(), n[at].tolist(), strict=True):
+        out[i] = np.add.reduceat(x[a:a + b], [0], axis=0)[0]
+    return out
+
+
 def softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -83,12 +101,14 @@ def learn(ids: list[np.ndarray], labels: np.ndarray, vectors: np.ndarray, head:
     grad = (p @ head) / np.maximum(1, sizes)[:, None]
     head -= rate * (p.T @ x)
     if sizes.sum():
-        flat, row = np.concatenate(ids).astype(np.int64), np.repeat(np.arange(len(ids)), sizes)
-        order = np.argsort(flat, kind="stable")
-        hit, start, n = np.unique(flat[order], return_index=True, return_counts=True)
+        flat, row = np.concatenate(ids), np.repeat(np.arange(len(ids)), sizes)
+        order = np.argsort(flat.astype(np.uint16) if len(vectors) <= 1 << 16 else flat, kind="stable")
+        flat = flat[order]
+        start = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+        hit, n = flat[start], np.diff(np.r_[start, len(flat)])
         for g in groups(n, PIECE):
             at = row[order[start[g[0]]:start[g[-1]] + n[g[-1]]]]
-            vectors[hit[g]] -= rate * np.add.reduceat(grad[at], start[g] - start[g[0]], axis=0).astype(np.float32)
+            vectors[hit[g]] -= rate * run_sums(grad[at], start[g] - start[g[0]], n[g]).astype(np.float32)
 
 
 class _Params(Params):

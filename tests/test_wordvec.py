@@ -103,3 +103,13 @@ def test_prediction_holds_few_vectors():
     assert peak < 60e6  # all vectors at once: 177 MB
     want = np.array([np.add.reduceat(v[i], [0], axis=0)[0] / len(i) if len(i) else np.zeros(64) for i in ids], np.float32)
     assert (got[:-1] == want[:-1]).all() and np.allclose(got[-1], want[-1], atol=1e-6)
+
+
+def test_sums_of_runs():
+    """Runs of any length: the same bits as one run at a time."""
+    r = np.random.default_rng(3)
+    n = np.r_[r.integers(1, 12, 300), 500, 1]
+    start = np.cumsum(n) - n
+    x = r.normal(size=(n.sum(), 16)).astype(np.float32)
+    assert (W.run_sums(x, start, n) == np.add.reduceat(x, start, axis=0)).all()
+    assert W.run_sums(x[:0], start[:0], n[:0]).shape == (0, 16)
