@@ -26,6 +26,7 @@ from chunkwise.operators.store import written
 OVERSAMPLE, ROUNDS, STILL, SEED = 10, 8, 1e-12, 42
 KEPT = 8  # the basis is cut back to two starts of it when it holds more than so many
 BLOCK = 4096  # columns of the small matrix that are added up together
+PIECE = 1 << 21  # numbers of a matrix that are taken out of it at a time
 FAN = 16  # R factors that are stacked at each level of the tree
 
 
@@ -44,19 +45,11 @@ def gaussian(width: int, rank: int, seed: int) -> np.ndarray:
 
 def product(f: pd.DataFrame, right: np.ndarray) -> np.ndarray:
     """Sparse rows of a batch times a dense matrix."""
-    sizes = f["ids"].map(len).to_numpy()
     out = np.zeros((len(f), right.shape[1]))
-    if sizes.sum():
-        ids, w = np.concatenate(f["ids"].tolist()), np.concatenate(f["w"].tolist())
-        start = np.r_[0, np.cumsum(sizes)[:-1]]
-        full = sizes > 0
-        # in slices of rows, so that no product is larger than a few million numbers
-        step = max(1, (1 << 21) // max(1, right.shape[1] * int(sizes.max())))
-        for a in range(0, len(f), step):
-            pick = np.flatnonzero(full[a:a + step]) + a
-            if len(pick):
-                lo, hi = start[pick[0]], start[pick[-1]] + sizes[pick[-1]]
-                out[pick] = np.add.reduceat(right[ids[lo:hi]] * w[lo:hi, None], start[pick] - lo, axis=0)
+    step = max(1, PIECE // max(1, right.shape[1]))  # so that no slice of the matrix is larger than a few million numbers
+    for i, (ids, w) in enumerate(zip(f["ids"], f["w"], strict=True)):
+        for k in range(0, len(ids), step):
+            out[i] += w[k:k + step] @ right[ids[k:k + step]]
     return out
 
 

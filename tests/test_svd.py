@@ -48,3 +48,21 @@ def test_no_rows(spark):
     w, v = frames(spark, np.zeros((4, 3)), 1)
     u, _ = svd.reduce_rows(w, v, 2, "doc_id")
     assert u.collect() == []
+
+
+def test_product_holds_few_numbers():
+    """A batch takes the memory of one row's slice of the matrix, not of all rows'."""
+    import tracemalloc
+
+    import pandas as pd
+
+    r = np.random.default_rng(4)
+    ids = [r.permutation(3000)[:n].astype(np.int32) for n in [400] * 300 + [0, 3000]]
+    f = pd.DataFrame({"ids": ids, "w": [r.normal(size=len(i)) for i in ids]})
+    right = r.normal(size=(3000, 100))
+    tracemalloc.start()
+    got = svd.product(f, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = np.array([w @ right[i] if len(i) else np.zeros(100) for i, w in zip(f["ids"], f["w"], strict=True)])
+    assert np.allclose(got, want, rtol=1e-12, atol=1e-12) and peak < 6e6
