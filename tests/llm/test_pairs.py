@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
@@ -351,3 +352,31 @@ def test_line_dedup_verifies_in_batches():
     most = [line_dedup.allowed(max(len(x), len(y)), 2, line_dedup.GROW) for x, y in zip(a, b, strict=True)]
     assert line_dedup.all_near(a, b, 2, line_dedup.GROW).tolist() == [distance(x, y) <= k for x, y, k in zip(a, b, most, strict=True)]
     assert line_dedup.banded(a, b, np.array(most)).tolist() == [distance(x, y) <= k for x, y, k in zip(a, b, most, strict=True)]
+
+
+def test_line_dedup_large_group(spark):
+    """Lines alike in one large group: those to remove are found, without a row for each pair, and a pair is met once."""
+    r = random.Random(23)
+    base = [f"{r.choice('abcdefgh')}{r.randrange(1000)}x" for _ in range(60)]
+
+    def vary(edits):
+        w = list(base)
+        for _ in range(edits):
+            w[r.randrange(60)] = f"{r.choice('abcdefgh')}{r.randrange(1000)}y"
+        return " ".join(w)
+
+    lines = [vary(r.randint(1, 8)) for _ in range(160)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {x.doc_id: x.n_removed for x in line_dedup.dedup_lines(docs, grow=line_dedup.GROW, every=True).collect()}
+    most = lambda x, y: line_dedup.allowed(max(len(x), len(y)), 2, line_dedup.GROW)
+    want = {i: int(any(line_dedup.within(x, y, most(x, y)) for y in lines[:i])) for i, x in enumerate(lines)}
+    assert got == want and 20 < sum(want.values()) < 140
+    found = line_dedup.candidates(docs.selectExpr("xxhash64(text) h", "length(text) n", "text line"), sum(map(len, lines)), 2, line_dedup.GROW, 32).collect()
+    assert sum(x.grams > 0 for x in found) < 160 * line_dedup.HOT  # all pairs: 12,720
+    rows = [(k, i, len(x), i, s, True, [0, 1, 2]) for i, (x, s) in enumerate(zip(lines, line_dedup.sketch(lines), strict=True)) for k in range(3)]
+    f = pd.DataFrame(rows, columns=["key", "id", "n", "place", "sketch", "open", "least"])
+    pairs = line_dedup.neighbours(f, 2, line_dedup.GROW, False)
+    met = set(zip(pairs["late"], pairs["early"], strict=True))
+    assert len(pairs) == len(met) and all((i, j) in met for i in range(160) for j in range(i) if line_dedup.within(lines[i], lines[j], most(lines[i], lines[j])))
+    first = line_dedup.neighbours(f, 2, line_dedup.GROW, True)
+    assert set(first["late"]) == {i for i, _ in met} and set(zip(first["late"], first["early"], strict=True)) <= met
